@@ -120,17 +120,53 @@ def dim_date(logs: DataFrame, reviews: DataFrame, mode: str = INTENT, weighted:
     return _dim_rows(logs, reviews, DATE_KEY, attrs, mode, weighted)
 
 
+FACT_DIMS = ("dim_devices", "dim_location", "dim_os")
+LOG_KEY = "_log_key"
+
+
+def log_keys(logs: DataFrame, reviews: DataFrame, mode: str = INTENT) -> DataFrame:
+    """The key every dim gives a reviewed user's log: (user_id, _log_key[, _n]).
+
+    All dims come from one builder keyed by ``md5(log_id)``, so the three
+    foreign keys of the fact are one lookup; joining it once replaces three
+    dim builds that differ only in the attribute the fact never reads.
+    """
+    _check_mode(mode)
+    return _dim_rows(logs, reviews, LOG_KEY, [], mode, weighted=True)
+
+
 def _dim_key_per_user(dim: DataFrame, key: str) -> DataFrame:
     """One key per user; ``min`` keeps the fact at one row per customer even if
     a user ever had logs under several keys."""
     return dim.groupBy("user_id").agg(F.min(key).alias(key))
 
 
+def _join_dim_keys(fact: DataFrame, dims: dict[str, DataFrame], per_user) -> DataFrame:
+    """Left-join each distinct dim frame once (frames passed under several
+    names are joined once and their key is copied to each name)."""
+    groups: dict[int, list[str]] = {}
+    frames: dict[int, DataFrame] = {}
+    for name in FACT_DIMS:
+        groups.setdefault(id(dims[name]), []).append(name)
+        frames[id(dims[name])] = dims[name]
+    for ident, names in groups.items():
+        frame = frames[ident]
+        src = LOG_KEY if LOG_KEY in frame.columns else DIMS[names[0]][0]
+        looked_up = per_user(frame, src).withColumnRenamed("user_id", "customer_id")
+        fact = fact.join(looked_up, "customer_id", "left")
+        extra = [c for c in looked_up.columns if c not in ("customer_id", src)]
+        fact = fact.select(*[c for c in fact.columns if c != src and c not in extra],
+                           *[F.col(src).alias(DIMS[n][0]) for n in names], *extra)
+    return fact
+
+
 def fact_intent(purchases: DataFrame, reviews: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """One row per customer with purchases and reviews.
 
     Spend and review measures are aggregated per customer first, so the join
     is one-to-one; ``insert_date`` is the latest classification time.
+    ``dims`` maps dim_devices / dim_location / dim_os to the dim frames (or
+    one shared ``log_keys`` frame).
     """
     spend = purchases.groupBy("customer_id").agg(
         F.sum(amount("quantity", "unit_price")).alias("amount_spent"))
@@ -140,10 +176,7 @@ def fact_intent(purchases: DataFrame, reviews: DataFrame, dims: dict[str, DataFr
         F.max("insert_date").alias("insert_date"),
     )
     fact = spend.join(scores, spend.customer_id == scores.user_id).drop("user_id")
-    for name in ("dim_devices", "dim_location", "dim_os"):
-        key = DIMS[name][0]
-        per_user = _dim_key_per_user(dims[name], key).withColumnRenamed("user_id", "customer_id")
-        fact = fact.join(per_user, "customer_id", "left")
+    fact = _join_dim_keys(fact, dims, _dim_key_per_user)
     return fact.select(
         surrogate_key("customer_id").alias("fact_key"),
         "customer_id", "id_dim_devices", "id_dim_location", "id_dim_os",
@@ -164,7 +197,8 @@ def fact_as_written(purchases: DataFrame, reviews: DataFrame,
     * review_count = review ids(c, t) x purchases(c) x w_dev x w_loc x w_os
 
     where ``w`` is the as-written dim row count of that user and key (1 when
-    the left join finds nothing).  Decimal sums stay exact.
+    the left join finds nothing).  Decimal sums stay exact.  A frame passed
+    for several dims is joined once and its weight counts once per dim.
     """
     spend = purchases.groupBy("customer_id").agg(
         F.sum(amount("quantity", "unit_price")).alias("_spend"),
@@ -177,11 +211,22 @@ def fact_as_written(purchases: DataFrame, reviews: DataFrame,
     )
     fact = spend.join(per_day, spend.customer_id == per_day.user_id).drop("user_id")
     weights = []
-    for name in ("dim_devices", "dim_location", "dim_os"):
+    seen: dict[int, str] = {}
+    for name in FACT_DIMS:
+        frame = weighted_dims[name]
         key = DIMS[name][0]
+        if id(frame) in seen:
+            # same lookup as an earlier dim: copy its key, its weight counts again
+            first = seen[id(frame)]
+            fact = fact.withColumn(key, F.col(DIMS[first][0]))
+            weights.append(F.coalesce(F.col(f"_w_{first}"), F.lit(1)))
+            continue
+        seen[id(frame)] = name
+        src = LOG_KEY if LOG_KEY in frame.columns else key
         w = f"_w_{name}"
-        per_key = weighted_dims[name].groupBy("user_id", key).agg(F.sum(WEIGHT).alias(w))
-        fact = fact.join(per_key.withColumnRenamed("user_id", "customer_id"), "customer_id", "left")
+        per_key = frame.groupBy("user_id", src).agg(F.sum(WEIGHT).alias(w))
+        per_key = per_key.withColumnRenamed("user_id", "customer_id").withColumnRenamed(src, key)
+        fact = fact.join(per_key, "customer_id", "left")
         weights.append(F.coalesce(F.col(w), F.lit(1)))
     mult = weights[0] * weights[1] * weights[2]
     return fact.select(

@@ -36,7 +36,10 @@ def raw_purchases(spark: SparkSession, data_dir: str) -> DataFrame:
     """
     li = table(spark, data_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
-    orders = table(spark, data_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    # the invoice text is a property of the order: format it once per order,
+    # before the order rows are multiplied by their line items
+    orders = table(spark, data_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("o_invoice_text"))
     part = table(spark, data_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     customer = table(spark, data_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, data_dir, "nation").select("n_nationkey", "n_name")
@@ -51,7 +54,7 @@ def raw_purchases(spark: SparkSession, data_dir: str) -> DataFrame:
         F.when(F.col("p_partkey") % DESCRIPTION_NULL_EVERY == 0, F.lit(None).cast("string"))
          .otherwise(F.col("p_name")).alias("Description"),
         F.col("l_quantity").cast("bigint").alias("Quantity"),
-        F.date_format("o_orderdate", "M/d/yyyy H:mm").alias("InvoiceDate"),
+        F.col("o_invoice_text").alias("InvoiceDate"),
         F.col("p_retailprice").alias("UnitPrice"),
         F.when(F.col("l_linenumber") == CUSTOMER_NULL_LINE, F.lit(None).cast("double"))
          .otherwise(F.col("o_custkey").cast("double")).alias("CustomerID"),

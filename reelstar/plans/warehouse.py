@@ -69,10 +69,19 @@ class Warehouse:
     def dims(self, mode: str = M.INTENT) -> dict[str, DataFrame]:
         return {n: self.dim(n, mode) for n in ("dim_date", *M.DIMS)}
 
-    def fact(self, mode: str = M.INTENT) -> DataFrame:
+    def fact(self, mode: str = M.INTENT, shared_keys: bool = True) -> DataFrame:
+        """Customer fact.  With ``shared_keys`` the three dim keys come from one
+        lookup of reviewed users' log keys (all dims share that key); without
+        it each dim is built and joined on its own."""
         purchases, reviews = self.stg_user_purchase, self.stg_classified_movie_review
-        names = ("dim_devices", "dim_location", "dim_os")
+        logs = self.stg_review_logs
+        if shared_keys:
+            keys = M.log_keys(logs, reviews, mode)
+            dims = {n: keys for n in M.FACT_DIMS}
+        elif mode == M.INTENT:
+            dims = {n: self.dim(n) for n in M.FACT_DIMS}
+        else:
+            dims = {n: self.dim(n, M.AS_WRITTEN, weighted=True) for n in M.FACT_DIMS}
         if mode == M.INTENT:
-            return M.fact_intent(purchases, reviews, {n: self.dim(n) for n in names})
-        return M.fact_as_written(purchases, reviews,
-                                 {n: self.dim(n, M.AS_WRITTEN, weighted=True) for n in names})
+            return M.fact_intent(purchases, reviews, dims)
+        return M.fact_as_written(purchases, reviews, dims)

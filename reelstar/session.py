@@ -24,6 +24,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.autoBroadcastJoinThreshold", os.environ.get("REELSTAR_BROADCAST_BYTES", "10m"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("REELSTAR_DRIVER_MEMORY", "8g"))
         .getOrCreate()
