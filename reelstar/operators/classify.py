@@ -44,11 +44,13 @@ def _path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def load_or_fit(spark: SparkSession, training: DataFrame, model_dir: str | None = None,
+def load_or_fit(spark: SparkSession, training: DataFrame | None, model_dir: str | None = None,
                 **kw) -> PipelineModel:
     """N5: reuse the model saved in ``model_dir`` (a folder) or fit once and save it."""
     if model_dir and _path_exists(spark, model_dir):
         return PipelineModel.load(model_dir)
+    if training is None:
+        raise ValueError("no saved model and no labelled rows to train one")
     model = sentiment_pipeline(**kw).fit(training)
     if model_dir:
         model.write().overwrite().save(model_dir)
@@ -93,7 +95,7 @@ def classify_reviews(texts: DataFrame, model_dir: str | None = None,
     if scorer is not None:
         scored = score_with(scorer, reviews)
     else:
-        training = reviews.where(F.col("label").isNotNull())
+        training = reviews.where(F.col("label").isNotNull()) if "label" in reviews.columns else None
         model = load_or_fit(texts.sparkSession, training, model_dir)
         scored = score(model, reviews)
     return classified_movie_review(scored, batch_ts=batch_ts)

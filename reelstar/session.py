@@ -13,10 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "reelstar") -> SparkSession:
+                  app: str = "reelstar", warehouse: str | None = None) -> SparkSession:
     """A local session configured like the cluster defaults we rely on."""
+    builder = SparkSession.builder
+    if warehouse:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -1,4 +1,5 @@
 import os
+import tempfile
 import sys
 
 import pytest
@@ -12,6 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("*", shuffle_partitions=8, app="reelstar-tests")
+    s = local_session("*", shuffle_partitions=8, app="reelstar-tests",
+                      warehouse=tempfile.mkdtemp(prefix="reelstar-wh-"))
     yield s
     s.stop()
