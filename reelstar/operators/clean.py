@@ -14,6 +14,7 @@ from reelstar.session import cut_lineage
 
 PURCHASE_KEY = ("invoice_number", "stock_code")
 MAX_BROADCAST_PARTITIONS = 200_000
+SERIAL_CHUNK = 1 << 16
 
 
 def drop_missing_customer(raw: DataFrame, column: str = "CustomerID") -> DataFrame:
@@ -91,16 +92,33 @@ def insert_new(incoming: DataFrame, target_keys: DataFrame, key: Sequence[str] =
     return firsts.join(target_keys.select(*key), list(key), "left_anti")
 
 
-def dense_serial_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
+def dense_serial_id(df: DataFrame, order: Sequence[str], name: str = "id",
+                    chunk: int = SERIAL_CHUNK) -> DataFrame:
     """Dense 1-based id following ``order`` (a deterministic SERIAL).
 
-    A global ``row_number()`` would pull every row into one task.  Instead the
-    rows are range-sorted across partitions and materialised to the reliable
-    checkpoint folder (so that both passes below see the same partitions, even
-    after an executor loss); per-partition counts -- one row per partition, a
-    size bound known up front -- give each partition its offset.
+    A global ``row_number()`` would pull every row into one task, and a plain
+    range sort cannot split a sort key shared by a third of the rows.  So:
+
+    1. identical rows collapse to one row with a multiplicity (map-side);
+    2. each such row becomes one row per chunk of at most ``chunk`` copies,
+       so a hot row is many distinct sort keys;
+    3. the chunks are range-sorted across partitions (ties broken by every
+       column and the chunk start), expanded in place, and materialised to
+       the reliable checkpoint folder so both passes below see the same
+       partitions even after an executor loss;
+    4. per-partition counts -- one row per partition, a size bound known up
+       front -- give each partition its offset.
     """
-    sorted_df = cut_lineage(df.orderBy(*order))
+    cols = df.columns
+    rest = [c for c in cols if c not in order]
+    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
+    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_m") - 1, F.lit(chunk).cast("bigint"))
+    chunks = counted.select(*cols, "_m", F.explode(starts).alias("_c0"))
+    copies = F.least(F.lit(chunk).cast("bigint"), F.col("_m") - F.col("_c0")).cast("int")
+    expanded = (chunks.orderBy(*order, *rest, "_c0")
+                .select(*cols, F.explode(F.array_repeat(F.lit(0), copies)).alias("_r"))
+                .select(*cols))
+    sorted_df = cut_lineage(expanded)
     with_pos = sorted_df.select(
         "*",
         F.spark_partition_id().alias("_part"),
@@ -117,4 +135,4 @@ def dense_serial_id(df: DataFrame, order: Sequence[str], name: str = "id") -> Da
         offsets = F.broadcast(offsets)
     local_pos = F.col("_mono") - F.shiftleft(F.col("_part").cast("bigint"), 33)
     return with_pos.join(offsets, "_part").select(
-        (F.col("_off") + local_pos + 1).alias(name), *df.columns)
+        (F.col("_off") + local_pos + 1).alias(name), *cols)

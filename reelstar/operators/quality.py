@@ -107,27 +107,49 @@ def not_null_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFr
     return _long(wide, checks, aliases)
 
 
-def unique_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    """Repeated values of several columns with one shuffle over (column, value)."""
-    checks = [_uq(model, c) for c in columns]
-    aliases = [f"_uq{i}" for i in range(len(columns))]
+def column_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column index, value as text, rows) for several columns in one shuffle;
+    partial aggregation collapses a hot value in every task first."""
     pairs = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), F.col(c).cast("string").alias("_v"))
         for i, c in enumerate(columns)])).alias("p")).select("p._c", "p._v")
-    repeated = (pairs.where(F.col("_v").isNotNull())
-                .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k"))
-                .where(F.col("_k") > 1))
-    wide = repeated.agg(*[F.count_if(F.col("_c") == i).alias(a) for i, a in enumerate(aliases)])
-    return _long(wide, checks, aliases)
+    return pairs.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k"))
+
+
+def unique_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
+    """Repeated values of several columns with one shuffle over (column, value)."""
+    return null_and_unique_counts(df, model, [], columns)
+
+
+def null_and_unique_counts(df: DataFrame, model: str, not_null: Sequence[str],
+                           unique: Sequence[str]) -> DataFrame:
+    """not_null and unique checks of one model from a single (column, value)
+    count: nulls are the null group, repeats the non-null groups above one."""
+    columns = list(dict.fromkeys([*not_null, *unique]))
+    counts = column_value_counts(df, columns)
+    checks, aggs = [], []
+    for c in not_null:
+        i = columns.index(c)
+        checks.append(_nn(model, c))
+        aggs.append(F.sum(F.when((F.col("_c") == i) & F.col("_v").isNull(), F.col("_k"))
+                          .otherwise(0)).alias(f"_a{len(aggs)}"))
+    for c in unique:
+        i = columns.index(c)
+        checks.append(_uq(model, c))
+        aggs.append(F.count_if((F.col("_c") == i) & F.col("_v").isNotNull() & (F.col("_k") > 1))
+                    .alias(f"_a{len(aggs)}"))
+    wide = counts.agg(*aggs)
+    return _long(wide.fillna(0), checks, [f"_a{i}" for i in range(len(aggs))])
 
 
 def relationship_count(child: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
     """Child rows whose non-null value has no parent row (anti-join on
     de-duplicated parent keys)."""
     keys = parent.select(F.col(check.field).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    orphans = (child.select(F.col(check.column).alias("_k")).where(F.col("_k").isNotNull())
-               .join(keys, "_k", "left_anti"))
-    return _long(orphans.agg(F.count(F.lit(1)).alias("_f")), [check], ["_f"])
+    per_value = (child.select(F.col(check.column).alias("_k")).where(F.col("_k").isNotNull())
+                 .groupBy("_k").agg(F.count(F.lit(1)).alias("_rows")))   # a hot value is one row
+    orphans = per_value.join(keys, "_k", "left_anti")
+    return _long(orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_f")), [check], ["_f"])
 
 
 def accepted_values_count(df: DataFrame, check: Check) -> DataFrame:
@@ -147,9 +169,11 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> Data
         df = tables[model]
         nn = [c.column for c in mine if c.test == NOT_NULL]
         uq = [c.column for c in mine if c.test == UNIQUE]
-        if nn:
+        if nn and uq:
+            parts.append(null_and_unique_counts(df, model, nn, uq))
+        elif nn:
             parts.append(not_null_counts(df, model, nn))
-        if uq:
+        elif uq:
             parts.append(unique_counts(df, model, uq))
         for c in mine:
             if c.test == RELATIONSHIPS:

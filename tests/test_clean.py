@@ -78,3 +78,13 @@ def test_dense_serial_id_is_dense_and_ordered(spark):
     got = C.dense_serial_id(df, ["k"]).orderBy("id").collect()
     assert [r["id"] for r in got] == list(range(1, 5001))
     assert [r["k"] for r in got] == list(range(5000))
+
+
+def test_dense_serial_id_hot_identical_rows_split_in_chunks(spark):
+    hot = spark.range(0, 3000).select(F.lit(5).cast("bigint").alias("k"), F.lit("same").alias("v"))
+    rest = spark.range(0, 2000).select((F.col("id") % 10).alias("k"), F.col("id").cast("string").alias("v"))
+    df = hot.unionByName(rest).repartition(5)
+    got = C.dense_serial_id(df, ["k"], chunk=64).orderBy("id").collect()
+    assert [r["id"] for r in got] == list(range(1, 5001))
+    want = sorted((r["k"], r["v"]) for r in df.collect())
+    assert [(r["k"], r["v"]) for r in got] == want
