@@ -24,7 +24,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _w(spark: SparkSession, data_dir: str) -> Warehouse:
-    return Warehouse(spark, data_dir)
+    return Warehouse.of(spark, data_dir)
 
 
 # -- cleaning and staging -------------------------------------------------------

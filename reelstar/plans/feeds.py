@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.sources.files import table
+from reelstar.sources.files import spread_if_undersplit, table
 
 # Fixed values of the mapping.
 DESCRIPTION_NULL_EVERY = 50          # p_partkey % 50 = 0 -> Description missing
@@ -30,12 +30,13 @@ NO_LOCATION_EVENT = "error"          # events of this type carry no <location>
 def raw_purchases(spark: SparkSession, data_dir: str) -> DataFrame:
     """Raw purchase feed: one row per line item, CSV-typed columns.
 
-    Join order keeps the wide side (line items) for last so that it is
-    shuffled once on the order key and once on the part key; the customer and
-    nation lookups are folded into the orders side first.
+    Line items meet the base tables one at a time (orders, then customer and
+    nation, then part), so every build side is a base table whose size the
+    planner knows -- joining line items to an already joined orders side makes
+    the planner's product estimate pick the line items as the side to broadcast.
     """
-    li = table(spark, data_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity")
+    li = spread_if_undersplit(table(spark, data_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"))
     # the invoice text is a property of the order: format it once per order,
     # before the order rows are multiplied by their line items
     orders = table(spark, data_dir, "orders").select(
@@ -44,10 +45,10 @@ def raw_purchases(spark: SparkSession, data_dir: str) -> DataFrame:
     customer = table(spark, data_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, data_dir, "nation").select("n_nationkey", "n_name")
 
-    buyers = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-    orders = orders.join(buyers, orders.o_custkey == buyers.c_custkey)
-    rows = li.join(orders, li.l_orderkey == orders.o_orderkey).join(
-        part, li.l_partkey == part.p_partkey)
+    rows = (li.join(orders, li.l_orderkey == orders.o_orderkey)
+              .join(customer, F.col("o_custkey") == customer.c_custkey)
+              .join(nation, F.col("c_nationkey") == nation.n_nationkey)
+              .join(part, F.col("l_partkey") == part.p_partkey))
     return rows.select(
         F.col("l_orderkey").cast("string").alias("InvoiceNo"),
         F.col("l_partkey").cast("string").alias("StockCode"),
@@ -112,7 +113,7 @@ def _tag(name: str, value) -> F.Column:
 
 def raw_logs(spark: SparkSession, data_dir: str) -> DataFrame:
     """Raw log feed: (id_review, logs) with one XML fragment per event."""
-    ev = table(spark, data_dir, "events").select("event_id", "user_id", "event_type")
+    ev = spread_if_undersplit(table(spark, data_dir, "events").select("event_id", "user_id", "event_type"))
     eid = F.col("event_id")
     octet = lambda shift: F.shiftright(eid, shift).bitwiseAND(255).cast("string")
     location = F.when(F.col("event_type") == NO_LOCATION_EVENT, F.lit("")).otherwise(

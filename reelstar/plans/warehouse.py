@@ -4,6 +4,7 @@ prunes to the columns a query asks for."""
 
 from __future__ import annotations
 
+import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,10 +15,27 @@ from reelstar.operators import staging as S
 from reelstar.plans import feeds
 
 
+_BY_SESSION: "weakref.WeakKeyDictionary[SparkSession, dict[str, Warehouse]]" = weakref.WeakKeyDictionary()
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, data_dir: str):
         self.spark = spark
         self.data_dir = data_dir
+        self._marts: dict[tuple, DataFrame] = {}
+
+    @classmethod
+    def of(cls, spark: SparkSession, data_dir: str) -> "Warehouse":
+        """The warehouse plan of a session and folder, built once.
+
+        Only plan objects are kept (DataFrames are immutable and lazy); every
+        action still reads the files.  Building a plan costs driver round
+        trips per operator, so queries share the staged plans.
+        """
+        per_session = _BY_SESSION.setdefault(spark, {})
+        if data_dir not in per_session:
+            per_session[data_dir] = cls(spark, data_dir)
+        return per_session[data_dir]
 
     # -- feeds ---------------------------------------------------------------
     @cached_property
@@ -61,6 +79,12 @@ class Warehouse:
 
     # -- marts ---------------------------------------------------------------
     def dim(self, name: str, mode: str = M.INTENT, weighted: bool = False) -> DataFrame:
+        key = ("dim", name, mode, weighted)
+        if key not in self._marts:
+            self._marts[key] = self._dim(name, mode, weighted)
+        return self._marts[key]
+
+    def _dim(self, name: str, mode: str, weighted: bool) -> DataFrame:
         logs, reviews = self.stg_review_logs, self.stg_classified_movie_review
         if name == "dim_date":
             return M.dim_date(logs, reviews, mode, weighted)
@@ -70,6 +94,12 @@ class Warehouse:
         return {n: self.dim(n, mode) for n in ("dim_date", *M.DIMS)}
 
     def fact(self, mode: str = M.INTENT, shared_keys: bool = True) -> DataFrame:
+        key = ("fact", mode, shared_keys)
+        if key not in self._marts:
+            self._marts[key] = self._fact(mode, shared_keys)
+        return self._marts[key]
+
+    def _fact(self, mode: str, shared_keys: bool) -> DataFrame:
         """Customer fact.  With ``shared_keys`` the three dim keys come from one
         lookup of reviewed users' log keys (all dims share that key); without
         it each dim is built and joined on its own."""

@@ -52,3 +52,17 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder (``{data_dir}/{name}.parquet``)."""
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread_if_undersplit(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Re-split a scan that yields fewer partitions than the cluster has cores.
+
+    A single unsplittable file (one Parquet row group, a multi-line CSV)
+    becomes one task, and every narrow operator after it -- broadcast joins,
+    parsing -- runs on one core.  Large inputs already have many splits, so
+    this is a no-op at scale; it only spends one small shuffle on small feeds.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
