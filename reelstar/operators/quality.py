@@ -92,12 +92,15 @@ DECLARED_SUITE: tuple[Check, ...] = tuple([
 ])
 
 
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _long(one_row: DataFrame, checks: Sequence[Check], aliases: Sequence[str]) -> DataFrame:
-    """One wide row of counts -> one report row per check."""
-    rows = [F.struct(F.lit(c.model).alias("model"), F.lit(c.column).alias("column"),
-                     F.lit(c.test).alias("test"), F.col(a).cast("bigint").alias("failures"))
-            for c, a in zip(checks, aliases)]
-    return one_row.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    """One wide row of counts -> one report row per check (a single ``stack``)."""
+    args = ", ".join(f"{_sql_text(c.model)}, {_sql_text(c.column)}, {_sql_text(c.test)}, "
+                     f"CAST(`{a}` AS BIGINT)" for c, a in zip(checks, aliases))
+    return one_row.select(F.expr(f"stack({len(checks)}, {args}) AS (model, `column`, test, failures)"))
 
 
 def not_null_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
@@ -131,15 +134,13 @@ def null_and_unique_counts(df: DataFrame, model: str, not_null: Sequence[str],
     for c in not_null:
         i = columns.index(c)
         checks.append(_nn(model, c))
-        aggs.append(F.sum(F.when((F.col("_c") == i) & F.col("_v").isNull(), F.col("_k"))
-                          .otherwise(0)).alias(f"_a{len(aggs)}"))
+        aggs.append(f"coalesce(sum(CASE WHEN _c = {i} AND _v IS NULL THEN _k END), 0) AS `_a{len(aggs)}`")
     for c in unique:
         i = columns.index(c)
         checks.append(_uq(model, c))
-        aggs.append(F.count_if((F.col("_c") == i) & F.col("_v").isNotNull() & (F.col("_k") > 1))
-                    .alias(f"_a{len(aggs)}"))
-    wide = counts.agg(*aggs)
-    return _long(wide.fillna(0), checks, [f"_a{i}" for i in range(len(aggs))])
+        aggs.append(f"count_if(_c = {i} AND _v IS NOT NULL AND _k > 1) AS `_a{len(aggs)}`")
+    wide = counts.selectExpr(*aggs)
+    return _long(wide, checks, [f"_a{i}" for i in range(len(aggs))])
 
 
 def relationship_count(child: DataFrame, check: Check, parent: DataFrame) -> DataFrame:

@@ -234,7 +234,30 @@ def m8(spark, d):
 
 # -- data quality ----------------------------------------------------------------
 
-def dq_tables(w: Warehouse, mode: str = M.INTENT) -> dict[str, DataFrame]:
+def dq_tables(w: Warehouse, mode: str = M.INTENT, stored: bool = True) -> dict[str, DataFrame]:
+    """The models the declared suite checks.
+
+    With ``stored`` the three source tables are written once to the shared
+    checkpoint folder -- the suite runs against stored sources, as it would
+    in the warehouse -- and staging, dims and fact derive from those copies,
+    so the ~20 check branches do not each rebuild the feeds.
+    """
+    if stored:
+        from reelstar.plans.jobs import build_marts
+        from reelstar.session import cut_lineage
+        up = cut_lineage(w.user_purchase)
+        cr = cut_lineage(w.classified_movie_review)
+        rl = cut_lineage(w.review_logs)
+        tables = {
+            "user_purchase": up,
+            "classified_movie_review": cr,
+            "review_logs": rl,
+            "stg_review_logs": S.stg_review_logs(rl),
+            "stg_classified_movie_review": cr,
+            "stg_user_purchase": S.stg_user_purchase(up),
+        }
+        tables.update(build_marts(up, cr, rl, mode, store=False))
+        return tables
     tables = {
         "user_purchase": w.user_purchase,
         "classified_movie_review": w.classified_movie_review,
