@@ -271,11 +271,11 @@ def dq_tables(w: Warehouse, mode: str = M.INTENT, stored: bool = True) -> dict[s
     return tables
 
 
-def _dq(kind: str | None) -> Query:
+def _dq(kind: str | None, mode: str = M.INTENT) -> Query:
     def run(spark, d):
         suite = Q.DECLARED_SUITE if kind is None else Q.checks_of_kind(kind)
-        return Q.run_checks(dq_tables(_w(spark, d)), suite)
-    run.__name__ = f"dq_{kind or 'report'}"
+        return Q.run_checks(dq_tables(_w(spark, d), mode), suite)
+    run.__name__ = f"dq_{kind or 'report'}" + ("_asis" if mode == M.AS_WRITTEN else "")
     return run
 
 
@@ -357,6 +357,7 @@ QUERIES: dict[str, Query] = {
     "dq_relationships": _dq(Q.RELATIONSHIPS),
     "dq_accepted_values": _dq(Q.ACCEPTED_VALUES),
     "dq_report": _dq(None),
+    "dq_report_asis": _dq(None, M.AS_WRITTEN),
     "ingest_new_files": ingest_new_files,
     "ledger_merge": ledger_merge,
     "insert_new_purchases": insert_new_purchases,

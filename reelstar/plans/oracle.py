@@ -194,9 +194,14 @@ def sql(uses: tuple[str, ...], select: str) -> str:
     return f"WITH {body}\n{select}"
 
 
-def _dq_one(check: Q.Check) -> str:
+AS_WRITTEN_TABLES = {**{n: n + "_aw" for n in ("dim_date", *DIM_COLUMNS)},
+                     "fact_movie_analytics": "fact_movie_analytics_aw"}
+
+
+def _dq_one(check: Q.Check, tables: dict[str, str] | None = None) -> str:
     head = f"SELECT '{check.model}' AS model, '{check.column}' AS \"column\", '{check.test}' AS test, "
-    t, c = check.model, check.column
+    tables = tables or {}
+    t, c = tables.get(check.model, check.model), check.column
     if check.test == Q.NOT_NULL:
         return head + f"CAST(count(*) AS BIGINT) AS failures FROM {t} WHERE {c} IS NULL"
     if check.test == Q.UNIQUE:
@@ -216,10 +221,12 @@ DQ_MODELS = ("user_purchase", "classified_movie_review", "review_logs", "stg_rev
              "dim_ip", "dim_location", "dim_os", "dim_phone_number", "fact_movie_analytics")
 
 
-def dq_sql(kind: str | None) -> str:
+def dq_sql(kind: str | None, as_written: bool = False) -> str:
     checks = Q.DECLARED_SUITE if kind is None else Q.checks_of_kind(kind)
-    used = tuple(sorted({c.model for c in checks} | {c.to for c in checks if c.to}))
-    return sql(used, "\nUNION ALL\n".join(_dq_one(c) for c in checks))
+    tables = AS_WRITTEN_TABLES if as_written else {}
+    used = {c.model for c in checks} | {c.to for c in checks if c.to}
+    used = tuple(sorted(tables.get(m, m) for m in used))
+    return sql(used, "\nUNION ALL\n".join(_dq_one(c, tables) for c in checks))
 
 
 _MONEY = "CAST({} AS DOUBLE)"
@@ -383,6 +390,7 @@ ORACLE: dict[str, str] = {
     "dq_relationships": dq_sql(Q.RELATIONSHIPS),
     "dq_accepted_values": dq_sql(Q.ACCEPTED_VALUES),
     "dq_report": dq_sql(None),
+    "dq_report_asis": dq_sql(None, as_written=True),
     "ingest_new_files": sql((), """
         SELECT path FROM (SELECT DISTINCT source AS path FROM documents) l
         WHERE path NOT IN (SELECT DISTINCT source FROM documents
