@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,6 +68,24 @@ def cleaning_metrics(raw: DataFrame) -> DataFrame:
     )
 
 
+def clean_observed(raw: DataFrame, name: str = "cleaning") -> tuple[DataFrame, Observation]:
+    """Cleaned purchases plus an ``Observation`` whose metrics (rows read,
+    dropped, filled, kept) are filled in by whatever action runs the plan --
+    the write itself, no second pass over the data."""
+    obs = Observation(name)
+    kept = F.col("CustomerID").isNotNull()
+    text_cols = [f.name for f in raw.schema.fields if isinstance(f.dataType, T.StringType)]
+    filled = sum((F.count_if(kept & F.col(c).isNull()) for c in text_cols), F.lit(0).cast("bigint"))
+    observed = raw.observe(
+        obs,
+        F.count(F.lit(1)).alias("rows_in"),
+        F.count_if(~kept).alias("dropped_missing_customer"),
+        filled.cast("bigint").alias("filled_values"),
+        F.count_if(kept).alias("rows_out"),
+    )
+    return clean_user_purchase(observed), obs
+
+
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the first by ``order`` and then by the remaining columns.
 

@@ -22,23 +22,26 @@ from reelstar.schemas import RAW_LOG, RAW_PURCHASE, RAW_REVIEW, STG_USER_PURCHAS
 from reelstar.session import cut_lineage
 from reelstar.sources.files import read_csv, read_csv_inferred
 from reelstar.sources.sinks import create_table_if_absent, materialize
-from reelstar.streaming.ingest import ingest_with_ledger
+from reelstar.streaming.ingest import ingest_stream, ingest_with_ledger
 
 
 def load_purchases(spark: SparkSession, paths, table: str = "user_purchase",
-                   infer_schema: bool = False) -> int:
+                   infer_schema: bool = False, metrics: dict | None = None) -> int:
     """Clean the purchase CSV and append the rows whose key the table lacks.
 
-    Returns the number of rows appended.  The rows to insert are cut from
-    their lineage (reliable checkpoint) before the append, because their plan
-    reads the very table being appended to.
+    Returns the number of rows appended; ``metrics`` (if given) receives the
+    cleaning counts, observed while the rows are materialised.  The rows to
+    insert are cut from their lineage (reliable checkpoint) before the
+    append, because their plan reads the very table being appended to.
     """
     raw = read_csv_inferred(spark, paths) if infer_schema else read_csv(spark, paths, RAW_PURCHASE)
     if infer_schema:
         raw = raw.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_PURCHASE.fields])
-    clean = C.clean_user_purchase(raw)
+    clean, observation = C.clean_observed(raw)
     create_table_if_absent(spark, table, STG_USER_PURCHASE)
     new = cut_lineage(C.insert_new(clean, spark.table(table).select(*C.PURCHASE_KEY)))
+    if metrics is not None:
+        metrics.update(observation.get)
     n = new.count()
     new.write.mode("append").saveAsTable(table)
     return n
@@ -63,8 +66,15 @@ def load_reviews(spark: SparkSession, source_dir: str, ledger_path: str, sink_pa
                               multiline=True)
 
 
-def load_logs(spark: SparkSession, source_dir: str, ledger_path: str, sink_path: str) -> int:
-    """Parse the log files not yet processed and append them."""
+def load_logs(spark: SparkSession, source_dir: str, ledger_path: str, sink_path: str,
+              stream: bool = False) -> int:
+    """Parse the log files not yet processed and append them.
+
+    ``stream=True`` uses the file stream (``ledger_path`` is then its
+    checkpoint folder) and returns the number of micro-batches.
+    """
+    if stream:
+        return ingest_stream(spark, source_dir, RAW_LOG, S.parse_review_logs, sink_path, ledger_path)
     return ingest_with_ledger(spark, source_dir, ledger_path, RAW_LOG, S.parse_review_logs, sink_path)
 
 

@@ -88,3 +88,21 @@ def test_dense_serial_id_hot_identical_rows_split_in_chunks(spark):
     assert [r["id"] for r in got] == list(range(1, 5001))
     want = sorted((r["k"], r["v"]) for r in df.collect())
     assert [(r["k"], r["v"]) for r in got] == want
+
+
+def test_observed_metrics_equal_separate_pass(spark, tmp_path):
+    raw = _raw(spark, tmp_path)
+    clean, obs = C.clean_observed(raw)
+    clean.write.format("noop").mode("overwrite").save()
+    assert obs.get == C.cleaning_metrics(raw).first().asDict()
+
+
+def test_spread_only_when_undersplit(spark):
+    from reelstar.sources.files import spread_if_undersplit
+    from reelstar.session import cluster_conf
+    one = spark.range(0, 100, numPartitions=1)
+    assert spread_if_undersplit(one, 4).rdd.getNumPartitions() == 4
+    many = spark.range(0, 100, numPartitions=6)
+    assert spread_if_undersplit(many, 4).rdd.getNumPartitions() == 6
+    conf = cluster_conf(100 << 40, 1000, 8)
+    assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)

@@ -20,7 +20,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     texts = feeds.review_texts(spark, SF)
     export_csv(texts.select("cid", "review_str", "id_review").repartition(2), str(tmp_path / "reviews"))
 
-    n1 = jobs.load_purchases(spark, str(tmp_path / "purchases"), table="job_user_purchase")
+    metrics = {}
+    n1 = jobs.load_purchases(spark, str(tmp_path / "purchases"), table="job_user_purchase", metrics=metrics)
+    assert metrics["rows_in"] == raw_p.count()
+    assert metrics["rows_out"] == raw_p.where("CustomerID is not null").count()
     n2 = jobs.load_purchases(spark, str(tmp_path / "purchases"), table="job_user_purchase")
     assert n1 > 0 and n2 == 0                     # re-running inserts nothing
     purchases = spark.table("job_user_purchase")
@@ -47,3 +50,11 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert set(marts) == {"dim_date", "dim_devices", "dim_location", "dim_os", "dim_ip",
                           "dim_phone_number", "fact_movie_analytics"}
+
+
+def test_log_stream_job(spark, tmp_path):
+    logs = feeds.raw_logs(spark, SF)
+    export_csv(logs.repartition(2), str(tmp_path / "logs"))
+    assert jobs.load_logs(spark, str(tmp_path / "logs"), str(tmp_path / "ckpt"), str(tmp_path / "out"), stream=True) == 1
+    assert jobs.load_logs(spark, str(tmp_path / "logs"), str(tmp_path / "ckpt"), str(tmp_path / "out"), stream=True) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == logs.count()
