@@ -113,10 +113,9 @@ def not_null_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFr
 def column_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column index, value as text, rows) for several columns in one shuffle;
     partial aggregation collapses a hot value in every task first."""
-    pairs = df.select(F.explode(F.array(*[
-        F.struct(F.lit(i).alias("_c"), F.col(c).cast("string").alias("_v"))
-        for i, c in enumerate(columns)])).alias("p")).select("p._c", "p._v")
-    return pairs.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k"))
+    pairs = ", ".join(f"struct({i} AS _c, CAST(`{c}` AS STRING) AS _v)" for i, c in enumerate(columns))
+    return (df.selectExpr(f"inline(array({pairs}))")
+            .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k")))
 
 
 def unique_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
@@ -146,11 +145,11 @@ def null_and_unique_counts(df: DataFrame, model: str, not_null: Sequence[str],
 def relationship_count(child: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
     """Child rows whose non-null value has no parent row (anti-join on
     de-duplicated parent keys)."""
-    keys = parent.select(F.col(check.field).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    per_value = (child.select(F.col(check.column).alias("_k")).where(F.col("_k").isNotNull())
+    keys = parent.selectExpr(f"`{check.field}` AS _k").where("_k IS NOT NULL").distinct()
+    per_value = (child.selectExpr(f"`{check.column}` AS _k").where("_k IS NOT NULL")
                  .groupBy("_k").agg(F.count(F.lit(1)).alias("_rows")))   # a hot value is one row
     orphans = per_value.join(keys, "_k", "left_anti")
-    return _long(orphans.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("_f")), [check], ["_f"])
+    return _long(orphans.selectExpr("coalesce(sum(_rows), 0) AS _f"), [check], ["_f"])
 
 
 def accepted_values_count(df: DataFrame, check: Check) -> DataFrame:

@@ -244,10 +244,8 @@ def dq_tables(w: Warehouse, mode: str = M.INTENT, stored: bool = True) -> dict[s
     """
     if stored:
         from reelstar.plans.jobs import build_marts
-        from reelstar.session import cut_lineage
-        up = cut_lineage(w.user_purchase)
-        cr = cut_lineage(w.classified_movie_review)
-        rl = cut_lineage(w.review_logs)
+        from reelstar.session import cut_lineage_all
+        up, cr, rl = cut_lineage_all([w.user_purchase, w.classified_movie_review, w.review_logs])
         tables = {
             "user_purchase": up,
             "classified_movie_review": cr,

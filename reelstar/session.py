@@ -88,6 +88,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_lineage_all(dfs: list[DataFrame]) -> list[DataFrame]:
+    """Checkpoint independent DataFrames as concurrent jobs (one submitting
+    thread each), so small jobs share the cluster instead of queueing."""
+    from concurrent.futures import ThreadPoolExecutor
+    if not dfs:
+        return []
+    ensure_checkpoint_dir(dfs[0].sparkSession)
+    with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
+        return list(pool.map(cut_lineage, dfs))
+
+
 def pin_utc(spark: SparkSession) -> None:
     """Timestamps parsed from text are wall-clock values; parse them in UTC so
     that no daylight-saving gap can shift them."""

@@ -106,3 +106,15 @@ def test_spread_only_when_undersplit(spark):
     assert spread_if_undersplit(many, 4).rdd.getNumPartitions() == 6
     conf = cluster_conf(100 << 40, 1000, 8)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
+
+
+def test_inferred_schema_path_gives_same_clean_rows(spark, tmp_path):
+    from reelstar.sources.files import read_csv_inferred
+    p = tmp_path / "purchases.csv"
+    p.write_text(CSV)
+    inferred = read_csv_inferred(spark, str(p))
+    assert dict(inferred.dtypes)["CustomerID"] == "double"       # '17850.0' infers as double
+    typed = inferred.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_PURCHASE.fields])
+    a = sorted(map(tuple, C.clean_user_purchase(typed).collect()))
+    b = sorted(map(tuple, C.clean_user_purchase(_raw(spark, tmp_path)).collect()))
+    assert a == b

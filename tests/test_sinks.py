@@ -43,3 +43,10 @@ def test_materialize_bucketed(spark):
     df = spark.createDataFrame(ROWS, STG_USER_PURCHASE)
     t = sinks.materialize(df, "reelstar_mat_t", sort_within=["customer_id"], bucket_by=(4, ["customer_id"]))
     assert t.count() == 3
+
+
+def test_append_table_accumulates(spark):
+    df = spark.createDataFrame(ROWS, STG_USER_PURCHASE)
+    sinks.append_table(df, "reelstar_append_t", partition_by=["country"])
+    sinks.append_table(df, "reelstar_append_t", partition_by=["country"])
+    assert spark.table("reelstar_append_t").count() == 6
