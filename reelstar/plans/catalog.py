@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.functions import money, parse_date, season, surrogate_key, xml_tag
+from reelstar.functions import money, parse_date, parse_invoice_ts, season, surrogate_key, xml_tag
 from reelstar.operators import clean as C
 from reelstar.operators import marts as M
 from reelstar.operators import quality as Q
@@ -43,7 +43,6 @@ def fill_missing_text(spark, d):
 
 def parse_invoice_date(spark, d):
     raw = _w(spark, d).raw_purchases
-    from reelstar.functions import parse_invoice_ts
     return raw.select(F.col("InvoiceNo").alias("invoice_number"),
                       F.col("StockCode").alias("stock_code"),
                       F.col("InvoiceDate").alias("invoice_date_text"),

@@ -18,6 +18,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = SparkSession.builder
     if warehouse:
         builder = builder.config("spark.sql.warehouse.dir", warehouse)
+    event_log = os.environ.get("REELSTAR_EVENT_LOG_DIR")
+    if event_log:  # stage and task times for offline reading, no UI
+        builder = (builder.config("spark.eventLog.enabled", "true")
+                   .config("spark.eventLog.dir", event_log))
     spark = (
         builder.master(f"local[{cores}]")
         .appName(app)
