@@ -107,3 +107,32 @@ def test_mode_is_checked(spark):
     L, R, _ = _fixture(spark)
     with pytest.raises(ValueError):
         M.named_dim("dim_os", L, R, "sideways")
+
+
+def test_as_written_fact_hot_customer_without_fanout(spark):
+    """One customer with 3,000 purchases, 200 reviews and 40 logs: the declared
+    join would hold 3,000 x 200 x (40 x 200)^3 ~ 3e17 rows; the plan computes
+    the groups from aggregates in seconds, and the values follow in closed form."""
+    from pyspark.sql import functions as F
+    P_, R_, L_ = 3000, 200, 40
+    purchases = spark.range(P_).select(
+        F.col("id").cast("string").alias("invoice_number"), F.lit("s").alias("stock_code"),
+        F.lit("").alias("detail"), F.lit(2).cast("bigint").alias("quantity"),
+        F.lit("2024-01-01").cast("timestamp_ntz").alias("invoice_date"),
+        F.lit("1.250").cast("decimal(8,3)").alias("unit_price"),
+        F.lit(1).cast("bigint").alias("customer_id"), F.lit("FR").alias("country"))
+    reviews = spark.range(R_).select(
+        F.lit(1).cast("bigint").alias("user_id"), (F.col("id") % 2).cast("int").alias("positive_review"),
+        F.col("id").alias("review_id"), F.lit("2024-02-01").cast("timestamp_ntz").alias("insert_date"))
+    logs = spark.range(L_).select(
+        F.lit(1).cast("bigint").alias("log_id"), F.lit("2024-01-01").alias("log_date"),
+        F.lit("Mobile").alias("device"), F.lit("iOS").alias("os"), F.lit("L").alias("location"),
+        F.lit("ip").alias("ip"), F.lit("p").alias("phone_number"), F.lit("").alias("browser"))
+    keys = M.log_keys(logs, reviews, M.AS_WRITTEN)
+    rows = M.fact_as_written(purchases, reviews, {n: keys for n in M.FACT_DIMS}).collect()
+    assert len(rows) == 1
+    w = (L_ * R_) ** 3                                   # rows per customer in each as-written dim, cubed
+    r = rows[0]
+    assert r.amount_spent == Decimal("2.500") * P_ * R_ * w
+    assert r.review_score == (R_ // 2) * P_ * w
+    assert r.review_count == R_ * P_ * w
