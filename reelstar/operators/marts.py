@@ -41,6 +41,10 @@ DIMS = {
 }
 DATE_KEY = "id_dim_date"
 
+# Review column a log id is matched to: the declared join uses the user id.
+USER_KEY = "user_id"
+LOG_JOIN_KEYS = (USER_KEY, "review_id")
+
 # Copies of one row emitted by a single generator call before a re-split.
 REPLICATE_CHUNK = 1 << 16
 
@@ -77,38 +81,55 @@ def replicate(df: DataFrame, weight: str = WEIGHT, chunk: int = REPLICATE_CHUNK)
 
 
 def _dim_rows(logs: DataFrame, reviews: DataFrame, key_name: str, attrs: Sequence, mode: str,
-              weighted: bool) -> DataFrame:
-    proj = [surrogate_key("log_id").alias(key_name), *attrs, F.col("log_id").alias("user_id")]
-    if mode == INTENT:
-        users = review_users(reviews).withColumnRenamed("user_id", "log_id")
-        return logs.join(users, "log_id", "left_semi").select(*proj).distinct()
-    counts = review_counts(reviews).withColumnRenamed("user_id", "log_id")
+              weighted: bool, log_join_key: str = USER_KEY) -> DataFrame:
+    proj = [surrogate_key("log_id").alias(key_name), *attrs]
+    if log_join_key == USER_KEY:
+        # declared join: log_id = user_id, so the dim's user_id is the log id
+        proj.append(F.col("log_id").alias("user_id"))
+        if mode == INTENT:
+            users = review_users(reviews).withColumnRenamed("user_id", "log_id")
+            return logs.join(users, "log_id", "left_semi").select(*proj).distinct()
+        counts = review_counts(reviews).withColumnRenamed("user_id", "log_id")
+    else:
+        # log_id = review_id: the user comes from the matched review
+        proj.append(F.col("user_id"))
+        counts = (reviews.where(F.col(log_join_key).isNotNull())
+                  .groupBy(F.col(log_join_key).alias("log_id"), "user_id")
+                  .agg(F.count(F.lit(1)).alias(WEIGHT)))
+        if mode == INTENT:
+            return logs.join(counts, "log_id").select(*proj).distinct()
     rows = logs.join(counts, "log_id").select(*proj, F.col(WEIGHT))
     return rows if weighted else replicate(rows)
 
 
 def build_dim(logs: DataFrame, reviews: DataFrame, attr_cols: Sequence[str], key_name: str,
-              mode: str = INTENT, weighted: bool = False) -> DataFrame:
-    """Dimension of log attributes for logs whose id is a reviewing user.
+              mode: str = INTENT, weighted: bool = False, log_join_key: str = USER_KEY) -> DataFrame:
+    """Dimension of log attributes for logs that match a review.
 
     ``logs`` is ``stg_review_logs``; ``reviews`` is
-    ``stg_classified_movie_review``.  With ``weighted=True`` the as-written
-    form keeps one row per log and a ``_n`` multiplicity column.
+    ``stg_classified_movie_review``.  ``log_join_key`` is the review column
+    the log id is matched to: ``user_id`` as declared, or ``review_id``.
+    With ``weighted=True`` the as-written form keeps one row per (log, user)
+    and a ``_n`` multiplicity column instead of repeating rows.
     """
     _check_mode(mode)
-    return _dim_rows(logs, reviews, key_name, [F.col(c) for c in attr_cols], mode, weighted)
+    if log_join_key not in LOG_JOIN_KEYS:
+        raise ValueError(f"log_join_key must be one of {LOG_JOIN_KEYS}")
+    return _dim_rows(logs, reviews, key_name, [F.col(c) for c in attr_cols], mode, weighted, log_join_key)
 
 
 def named_dim(name: str, logs: DataFrame, reviews: DataFrame, mode: str = INTENT,
-              weighted: bool = False) -> DataFrame:
+              weighted: bool = False, log_join_key: str = USER_KEY) -> DataFrame:
     key, attrs = DIMS[name]
-    return build_dim(logs, reviews, attrs, key, mode, weighted)
+    return build_dim(logs, reviews, attrs, key, mode, weighted, log_join_key)
 
 
 def dim_date(logs: DataFrame, reviews: DataFrame, mode: str = INTENT, weighted: bool = False,
-             date_formats: Sequence[str] = DEFAULT_DATE_FORMATS) -> DataFrame:
+             date_formats: Sequence[str] = DEFAULT_DATE_FORMATS, log_join_key: str = USER_KEY) -> DataFrame:
     """Date dimension: parsed log date, day/month/year (bigint), season."""
     _check_mode(mode)
+    if log_join_key not in LOG_JOIN_KEYS:
+        raise ValueError(f"log_join_key must be one of {LOG_JOIN_KEYS}")
     d = parse_date("log_date", date_formats)
     attrs = [
         d.alias("log_date"),
@@ -117,14 +138,15 @@ def dim_date(logs: DataFrame, reviews: DataFrame, mode: str = INTENT, weighted:
         F.year(d).cast("bigint").alias("year"),
         season(d).alias("season"),
     ]
-    return _dim_rows(logs, reviews, DATE_KEY, attrs, mode, weighted)
+    return _dim_rows(logs, reviews, DATE_KEY, attrs, mode, weighted, log_join_key)
 
 
 FACT_DIMS = ("dim_devices", "dim_location", "dim_os")
 LOG_KEY = "_log_key"
 
 
-def log_keys(logs: DataFrame, reviews: DataFrame, mode: str = INTENT) -> DataFrame:
+def log_keys(logs: DataFrame, reviews: DataFrame, mode: str = INTENT,
+             log_join_key: str = USER_KEY) -> DataFrame:
     """The key every dim gives a reviewed user's log: (user_id, _log_key[, _n]).
 
     All dims come from one builder keyed by ``md5(log_id)``, so the three
@@ -132,7 +154,7 @@ def log_keys(logs: DataFrame, reviews: DataFrame, mode: str = INTENT) -> DataFra
     dim builds that differ only in the attribute the fact never reads.
     """
     _check_mode(mode)
-    return _dim_rows(logs, reviews, LOG_KEY, [], mode, weighted=True)
+    return _dim_rows(logs, reviews, LOG_KEY, [], mode, weighted=True, log_join_key=log_join_key)
 
 
 def _dim_key_per_user(dim: DataFrame, key: str) -> DataFrame:
@@ -197,8 +219,7 @@ def fact_as_written(purchases: DataFrame, reviews: DataFrame,
     * review_count = review ids(c, t) x purchases(c) x w_dev x w_loc x w_os
 
     where ``w`` is the as-written dim row count of that user and key (1 when
-    the left join finds nothing).  Decimal sums stay exact.  A frame passed
-    for several dims is joined once and its weight counts once per dim.
+    the left join finds nothing).  Decimal sums stay exact.
     """
     spend = purchases.groupBy("customer_id").agg(
         F.sum(amount("quantity", "unit_price")).alias("_spend"),
@@ -211,21 +232,20 @@ def fact_as_written(purchases: DataFrame, reviews: DataFrame,
     )
     fact = spend.join(per_day, spend.customer_id == per_day.user_id).drop("user_id")
     weights = []
-    seen: dict[int, str] = {}
+    per_frame: dict[int, DataFrame] = {}
     for name in FACT_DIMS:
+        # every dim is joined even when one shared frame serves all three: a
+        # user with several log keys gets the declared cross product of keys.
+        # The per-key weights of a shared frame are one DataFrame, renamed
+        # above the aggregate, so the three joins reuse one shuffle.
         frame = weighted_dims[name]
         key = DIMS[name][0]
-        if id(frame) in seen:
-            # same lookup as an earlier dim: copy its key, its weight counts again
-            first = seen[id(frame)]
-            fact = fact.withColumn(key, F.col(DIMS[first][0]))
-            weights.append(F.coalesce(F.col(f"_w_{first}"), F.lit(1)))
-            continue
-        seen[id(frame)] = name
         src = LOG_KEY if LOG_KEY in frame.columns else key
+        if id(frame) not in per_frame:
+            per_frame[id(frame)] = frame.groupBy("user_id", src).agg(F.sum(WEIGHT).alias("_w"))
         w = f"_w_{name}"
-        per_key = frame.groupBy("user_id", src).agg(F.sum(WEIGHT).alias(w))
-        per_key = per_key.withColumnRenamed("user_id", "customer_id").withColumnRenamed(src, key)
+        per_key = per_frame[id(frame)].select(
+            F.col("user_id").alias("customer_id"), F.col(src).alias(key), F.col("_w").alias(w))
         fact = fact.join(per_key, "customer_id", "left")
         weights.append(F.coalesce(F.col(w), F.lit(1)))
     mult = weights[0] * weights[1] * weights[2]

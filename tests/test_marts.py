@@ -136,3 +136,46 @@ def test_as_written_fact_hot_customer_without_fanout(spark):
     assert r.amount_spent == Decimal("2.500") * P_ * R_ * w
     assert r.review_score == (R_ // 2) * P_ * w
     assert r.review_count == R_ * P_ * w
+
+
+def _review_keyed_logs(spark):
+    rows = []
+    for u in range(1, 8):
+        for j in range(3 if u == 1 else 1):
+            rows.append((u * 100 + j, f"2024-0{1 + j}-01", ["Mobile", "Tablet"][j % 2], "iOS", f"L{u % 3}",
+                         "ip", "p", ""))
+    rows.append((999, "2024-01-01", "Mobile", "iOS", "L0", "ip", "p", ""))     # matches no review
+    return spark.createDataFrame(rows, "log_id bigint, log_date string, device string, os string, "
+                                       "location string, ip string, phone_number string, browser string")
+
+
+def test_review_id_join_key_dims_and_fact_match_brute_force(spark):
+    _, R, P = _fixture(spark)
+    L = _review_keyed_logs(spark)
+    lp, rp, pp = L.toPandas(), R.toPandas(), P.toPandas()
+    pairs = lp.merge(rp[["review_id", "user_id"]], left_on="log_id", right_on="review_id")
+    want = sorted((_md5(a), b, int(c)) for a, b, c in zip(pairs.log_id, pairs.device, pairs.user_id))
+    got = M.named_dim("dim_devices", L, R, M.AS_WRITTEN, log_join_key="review_id")
+    assert sorted(tuple(r) for r in got.collect()) == want
+    intent = M.named_dim("dim_devices", L, R, log_join_key="review_id")
+    assert sorted(tuple(r) for r in intent.collect()) == sorted(set(want))
+
+    # as-written fact with these dims against the literal fan-out join
+    dims = {n: M.named_dim(n, L, R, M.AS_WRITTEN, weighted=True, log_join_key="review_id") for n in M.FACT_DIMS}
+    keys = M.log_keys(L, R, M.AS_WRITTEN, log_join_key="review_id")
+    shared = {n: keys for n in M.FACT_DIMS}
+    d = pairs[["log_id", "user_id"]].copy()
+    d["k"] = d["log_id"].map(_md5)
+    j = pp.merge(rp, left_on="customer_id", right_on="user_id")
+    for i in range(3):
+        j = j.merge(d[["k", "user_id"]].rename(columns={"k": f"k{i}", "user_id": f"u{i}"}),
+                    left_on="user_id", right_on=f"u{i}", how="left")
+    j["amt"] = j["quantity"].map(Decimal) * j["unit_price"]
+    g = j.groupby(["customer_id", "k0", "k1", "k2", "insert_date"], dropna=False).agg(
+        a=("amt", "sum"), s=("positive_review", "sum"), c=("review_id", "count")).reset_index()
+    brute = sorted((r.customer_id, None if pd.isna(r.k0) else r.k0, r.insert_date.to_pydatetime(),
+                    r.a, int(r.s), int(r.c)) for r in g.itertuples())
+    for variant in (dims, shared):
+        rows = M.fact_as_written(P, R, variant).collect()
+        assert sorted((r.customer_id, r.id_dim_devices, r.insert_date, r.amount_spent, r.review_score,
+                       r.review_count) for r in rows) == brute
