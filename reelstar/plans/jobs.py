@@ -79,7 +79,8 @@ def load_logs(spark: SparkSession, source_dir: str, ledger_path: str, sink_path:
 
 
 def build_marts(purchases: DataFrame, reviews: DataFrame, logs: DataFrame,
-                mode: str = M.INTENT, prefix: str = "", store: bool = True) -> dict[str, DataFrame]:
+                mode: str = M.INTENT, prefix: str = "", store: bool = True,
+                log_join_key: str = M.USER_KEY) -> dict[str, DataFrame]:
     """Staging -> six dims -> fact; stored as tables named ``{prefix}{mart}``.
 
     ``purchases`` is the purchase table, ``reviews`` the classified reviews,
@@ -88,12 +89,12 @@ def build_marts(purchases: DataFrame, reviews: DataFrame, logs: DataFrame,
     stg_p = S.stg_user_purchase(purchases)
     stg_r = S.stg_classified_movie_review(reviews)
     stg_l = S.stg_review_logs(logs)
-    out: dict[str, DataFrame] = {"dim_date": M.dim_date(stg_l, stg_r, mode)}
+    out: dict[str, DataFrame] = {"dim_date": M.dim_date(stg_l, stg_r, mode, log_join_key=log_join_key)}
     for name in M.DIMS:
         if name == "dim_browser" and "browser" not in stg_l.columns:
             continue
-        out[name] = M.named_dim(name, stg_l, stg_r, mode)
-    keys = M.log_keys(stg_l, stg_r, mode)
+        out[name] = M.named_dim(name, stg_l, stg_r, mode, log_join_key=log_join_key)
+    keys = M.log_keys(stg_l, stg_r, mode, log_join_key=log_join_key)
     fact_dims = {n: keys for n in M.FACT_DIMS}
     out["fact_movie_analytics"] = (M.fact_intent(stg_p, stg_r, fact_dims) if mode == M.INTENT
                                    else M.fact_as_written(stg_p, stg_r, fact_dims))

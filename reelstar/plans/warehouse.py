@@ -19,13 +19,14 @@ _BY_SESSION: "weakref.WeakKeyDictionary[SparkSession, dict[str, Warehouse]]" = w
 
 
 class Warehouse:
-    def __init__(self, spark: SparkSession, data_dir: str):
+    def __init__(self, spark: SparkSession, data_dir: str, log_join_key: str = M.USER_KEY):
         self.spark = spark
         self.data_dir = data_dir
+        self.log_join_key = log_join_key
         self._marts: dict[tuple, DataFrame] = {}
 
     @classmethod
-    def of(cls, spark: SparkSession, data_dir: str) -> "Warehouse":
+    def of(cls, spark: SparkSession, data_dir: str, log_join_key: str = M.USER_KEY) -> "Warehouse":
         """The warehouse plan of a session and folder, built once.
 
         Only plan objects are kept (DataFrames are immutable and lazy); every
@@ -33,9 +34,9 @@ class Warehouse:
         trips per operator, so queries share the staged plans.
         """
         per_session = _BY_SESSION.setdefault(spark, {})
-        if data_dir not in per_session:
-            per_session[data_dir] = cls(spark, data_dir)
-        return per_session[data_dir]
+        if (data_dir, log_join_key) not in per_session:
+            per_session[(data_dir, log_join_key)] = cls(spark, data_dir, log_join_key)
+        return per_session[(data_dir, log_join_key)]
 
     # -- feeds ---------------------------------------------------------------
     @cached_property
@@ -87,8 +88,8 @@ class Warehouse:
     def _dim(self, name: str, mode: str, weighted: bool) -> DataFrame:
         logs, reviews = self.stg_review_logs, self.stg_classified_movie_review
         if name == "dim_date":
-            return M.dim_date(logs, reviews, mode, weighted)
-        return M.named_dim(name, logs, reviews, mode, weighted)
+            return M.dim_date(logs, reviews, mode, weighted, log_join_key=self.log_join_key)
+        return M.named_dim(name, logs, reviews, mode, weighted, log_join_key=self.log_join_key)
 
     def dims(self, mode: str = M.INTENT) -> dict[str, DataFrame]:
         return {n: self.dim(n, mode) for n in ("dim_date", *M.DIMS)}
@@ -106,7 +107,7 @@ class Warehouse:
         purchases, reviews = self.stg_user_purchase, self.stg_classified_movie_review
         logs = self.stg_review_logs
         if shared_keys:
-            keys = M.log_keys(logs, reviews, mode)
+            keys = M.log_keys(logs, reviews, mode, log_join_key=self.log_join_key)
             dims = {n: keys for n in M.FACT_DIMS}
         elif mode == M.INTENT:
             dims = {n: self.dim(n) for n in M.FACT_DIMS}
