@@ -236,17 +236,20 @@ def fact_as_written(purchases: DataFrame, reviews: DataFrame,
     for name in FACT_DIMS:
         # every dim is joined even when one shared frame serves all three: a
         # user with several log keys gets the declared cross product of keys.
-        # The per-key weights of a shared frame are one DataFrame, renamed
-        # above the aggregate, so the three joins reuse one shuffle.
+        # A shared frame's per-key weights are one DataFrame joined under an
+        # alias and renamed only after the join, so the three joins have
+        # identical inputs and Spark reuses one exchange for them.
         frame = weighted_dims[name]
         key = DIMS[name][0]
         src = LOG_KEY if LOG_KEY in frame.columns else key
         if id(frame) not in per_frame:
-            per_frame[id(frame)] = frame.groupBy("user_id", src).agg(F.sum(WEIGHT).alias("_w"))
+            per_frame[id(frame)] = (frame.groupBy("user_id", src).agg(F.sum(WEIGHT).alias("_w"))
+                                    .withColumnRenamed("user_id", "customer_id"))
+        side = per_frame[id(frame)].alias(f"_{name}")
         w = f"_w_{name}"
-        per_key = per_frame[id(frame)].select(
-            F.col("user_id").alias("customer_id"), F.col(src).alias(key), F.col("_w").alias(w))
-        fact = fact.join(per_key, "customer_id", "left")
+        kept = [F.col(c) for c in fact.columns]
+        fact = fact.join(side, "customer_id", "left").select(
+            *kept, F.col(f"_{name}.{src}").alias(key), F.col(f"_{name}._w").alias(w))
         weights.append(F.coalesce(F.col(w), F.lit(1)))
     mult = weights[0] * weights[1] * weights[2]
     return fact.select(
