@@ -8,9 +8,9 @@ Failure counts follow the usual meaning of these column tests:
 * relationships -- child rows with a non-null value missing from the parent;
 * accepted_values -- distinct non-null values outside the accepted list.
 
-All checks of one model share passes: the not-null counts are one
-aggregation, and all unique checks of a model are one shuffle over
-``(column, value)`` pairs.
+All checks of one model come from one aggregation of ``(column, value)``
+pairs: a single pass and shuffle over the model, with partial aggregation
+collapsing hot values before the shuffle.
 """
 
 from __future__ import annotations
@@ -158,28 +158,51 @@ def accepted_values_count(df: DataFrame, check: Check) -> DataFrame:
     return _long(bad.agg(F.count_distinct("_v").alias("_f")), [check], ["_f"])
 
 
+def model_checks(df: DataFrame, model: str, checks: Sequence[Check],
+                 tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All checks of one model in one aggregation over its (column, value, rows).
+
+    The model is read once.  Relationship checks left-join the counted values
+    of their column with the parent's distinct keys (cast to the child's
+    type, compared as text, tagged with the column index), so an orphan is a
+    counted value without a tag; accepted values are tested on the counted
+    values.  One output branch per model -- nothing depends on Spark reusing
+    a shared subplan.
+    """
+    columns = list(dict.fromkeys(c.column for c in checks))
+    counts = column_value_counts(df, columns)
+    for n, c in enumerate(ch for ch in checks if ch.test == RELATIONSHIPS):
+        i = columns.index(c.column)
+        child_type = df.schema[c.column].dataType
+        keys = (tables[c.to].select(F.col(c.field).cast(child_type).cast("string").alias("_v"))
+                .where("_v IS NOT NULL").distinct()
+                .select(F.lit(i).alias("_c"), "_v", F.lit(True).alias(f"_hit{n}")))
+        counts = counts.join(keys, ["_c", "_v"], "left")
+    aggs, n_rel = [], 0
+    for c in checks:
+        i = columns.index(c.column)
+        alias = f"`_a{len(aggs)}`"
+        if c.test == NOT_NULL:
+            aggs.append(f"coalesce(sum(CASE WHEN _c = {i} AND _v IS NULL THEN _k END), 0) AS {alias}")
+        elif c.test == UNIQUE:
+            aggs.append(f"count_if(_c = {i} AND _v IS NOT NULL AND _k > 1) AS {alias}")
+        elif c.test == RELATIONSHIPS:
+            aggs.append(f"coalesce(sum(CASE WHEN _c = {i} AND _v IS NOT NULL AND _hit{n_rel} IS NULL "
+                        f"THEN _k END), 0) AS {alias}")
+            n_rel += 1
+        else:
+            child_type = df.schema[c.column].dataType.simpleString()
+            allowed = ", ".join(f"CAST(CAST({v!r} AS {child_type}) AS STRING)" for v in c.values)
+            aggs.append(f"count_if(_c = {i} AND _v IS NOT NULL AND _v NOT IN ({allowed})) AS {alias}")
+    return _long(counts.selectExpr(*aggs), list(checks), [f"_a{i}" for i in range(len(aggs))])
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """Run a list of checks; one output row per check."""
-    checks = list(checks)
-    parts: list[DataFrame] = []
+    """Run a list of checks; one output row per check, one pass per model."""
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)
-    for model, mine in by_model.items():
-        df = tables[model]
-        nn = [c.column for c in mine if c.test == NOT_NULL]
-        uq = [c.column for c in mine if c.test == UNIQUE]
-        if nn and uq:
-            parts.append(null_and_unique_counts(df, model, nn, uq))
-        elif nn:
-            parts.append(not_null_counts(df, model, nn))
-        elif uq:
-            parts.append(unique_counts(df, model, uq))
-        for c in mine:
-            if c.test == RELATIONSHIPS:
-                parts.append(relationship_count(df, c, tables[c.to]))
-            elif c.test == ACCEPTED_VALUES:
-                parts.append(accepted_values_count(df, c))
+    parts = [model_checks(tables[m], m, mine, tables) for m, mine in by_model.items()]
     return reduce(DataFrame.unionByName, parts)
 
 
