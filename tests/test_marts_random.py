@@ -74,3 +74,26 @@ def test_random_as_written_fact(spark, seed, key):
     got = sorted((r.customer_id, r.id_dim_devices, r.id_dim_location, r.id_dim_os, r.insert_date,
                   r.amount_spent, r.review_score, r.review_count) for r in got)
     assert got == _brute(lp, rp, pp, key)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("key", ["user_id", "review_id"])
+def test_random_intent_fact(spark, seed, key):
+    L, R, P, lp, rp, pp = _random_frames(spark, seed)
+    keys = M.log_keys(L, R, M.INTENT, log_join_key=key)
+    got = sorted((r.customer_id, r.id_dim_devices, r.id_dim_location, r.id_dim_os, r.amount_spent,
+                  r.review_score, r.review_count, r.insert_date)
+                 for r in M.fact_intent(P, R, {n: keys for n in M.FACT_DIMS}).collect())
+    spend = {}
+    for q, p, c in zip(pp.quantity, pp.unit_price, pp.customer_id):
+        spend[c] = spend.get(c, Decimal(0)) + Decimal(int(q)) * p
+    per_user = rp.groupby("user_id").agg(s=("positive_review", "sum"), c=("review_id", "count"),
+                                         t=("insert_date", "max"))
+    if not lp.empty and not rp.empty:
+        m = lp.merge(rp[["user_id", "review_id"]], left_on="log_id", right_on=key, suffixes=("", "_r"))
+        lowest = {u: min(_md5(x) for x in grp) for u, grp in m.groupby("user_id")["log_id"]}
+    else:
+        lowest = {}
+    want = sorted((int(u), lowest.get(u), lowest.get(u), lowest.get(u), spend[u], int(r.s), int(r.c),
+                   r.t.to_pydatetime()) for u, r in per_user.iterrows() if u in spend)
+    assert got == want
