@@ -33,6 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", os.environ.get("REELSTAR_BROADCAST_BYTES", "10m"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("REELSTAR_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
@@ -61,6 +62,9 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
         "spark.sql.session.timeZone": "UTC",
+        # lineage cuts write whole tables to the checkpoint folder; delete them
+        # once their DataFrames are garbage-collected on the driver
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 
