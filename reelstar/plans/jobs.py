@@ -49,11 +49,13 @@ def load_purchases(spark: SparkSession, paths, table: str = "user_purchase",
 
 def load_reviews(spark: SparkSession, source_dir: str, ledger_path: str, sink_path: str,
                  model_dir: str | None = None, training: DataFrame | None = None,
-                 batch_ts=None) -> int:
+                 batch_ts=None, stream: bool = False) -> int:
     """Classify the review files not yet processed and append them.
 
     ``training`` (cid, review_str, id_review, label) fits the model once when
     ``model_dir`` holds none; files are then scored with the saved model.
+    ``stream=True`` uses the file stream (``ledger_path`` is then its
+    checkpoint folder) and returns the number of micro-batches.
     """
     if training is not None and model_dir:
         load_or_fit(spark, training.withColumnRenamed("review_str", "text")
@@ -62,6 +64,9 @@ def load_reviews(spark: SparkSession, source_dir: str, ledger_path: str, sink_pa
     def transform(df: DataFrame) -> DataFrame:
         return classify_reviews(df, model_dir=model_dir, batch_ts=batch_ts)
 
+    if stream:
+        return ingest_stream(spark, source_dir, RAW_REVIEW, transform, sink_path, ledger_path,
+                             multiline=True)
     return ingest_with_ledger(spark, source_dir, ledger_path, RAW_REVIEW, transform, sink_path,
                               multiline=True)
 

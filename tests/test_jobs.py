@@ -58,3 +58,15 @@ def test_log_stream_job(spark, tmp_path):
     assert jobs.load_logs(spark, str(tmp_path / "logs"), str(tmp_path / "ckpt"), str(tmp_path / "out"), stream=True) == 1
     assert jobs.load_logs(spark, str(tmp_path / "logs"), str(tmp_path / "ckpt"), str(tmp_path / "out"), stream=True) == 0
     assert spark.read.parquet(str(tmp_path / "out")).count() == logs.count()
+
+
+def test_review_stream_job(spark, tmp_path):
+    texts = feeds.review_texts(spark, SF)
+    export_csv(texts.select("cid", "review_str", "id_review").repartition(2), str(tmp_path / "reviews"))
+    args = (spark, str(tmp_path / "reviews"), str(tmp_path / "ckpt"), str(tmp_path / "out"))
+    kw = dict(model_dir=str(tmp_path / "model"), training=texts, stream=True)
+    assert jobs.load_reviews(*args, **kw) == 1
+    assert jobs.load_reviews(*args, **kw) == 0
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == texts.count()
+    assert {r[0] for r in out.select("positive_review").distinct().collect()} <= {0, 1}
