@@ -33,7 +33,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.autoBroadcastJoinThreshold", os.environ.get("REELSTAR_BROADCAST_BYTES", "10m"))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints",
+                os.environ.get("REELSTAR_CLEAN_CHECKPOINTS", "true"))
         .config("spark.driver.memory", os.environ.get("REELSTAR_DRIVER_MEMORY", "8g"))
         .getOrCreate()
     )
