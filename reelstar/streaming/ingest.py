@@ -11,6 +11,9 @@ the job dies between writing data and recording the file:
   folder remembers processed files, and ``foreachBatch`` writes each
   micro-batch into a folder named by its batch id (overwrite), so a replayed
   batch replaces its own output.
+
+The batch folders are Hive-style (``batch=<hash>`` / ``batch_id=<n>``), so
+reading the sink folder adds that column: the load each row came from.
 """
 
 from __future__ import annotations
