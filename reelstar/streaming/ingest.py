@@ -22,7 +22,6 @@ import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelstar.session import ensure_checkpoint_dir
@@ -83,11 +82,11 @@ def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
               .option("pathGlobFilter", glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.csv(source_dir).withColumn("source_file", F.col("_metadata.file_path"))
+    stream = reader.csv(source_dir)
     batches: list[int] = []
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        out = transform(batch.drop("source_file"))
+        out = transform(batch)
         out.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/batch_id={batch_id}")
         batches.append(batch_id)
 
