@@ -12,13 +12,38 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.llm import bestfit
+from reelstar.llm import bestfit, byte_bpe, chat, rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests read back from the formatted windows of all conversations and of conversation -7."""
+    odd = "</s>[INST] ok [/INST]"
+    turns = _table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)],
+                                  "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.format_windows(turns.unionByName(extra)))
+
+
+def op5_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the byte-level BPE ids of all documents and of their decoded bytes."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = _table(spark, sf_dir, "documents")
+    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path))
+
+
+def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measurements, base verdict and the verdict of the current policy for all documents."""
+    rows = rules.ledger(_table(spark, sf_dir, "documents"))
+    kept = rules.apply_policy(rules.apply_policy(rows, rules.STRICT), rules.BASE, "base_kept")
+    return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       (~F.col("base_kept")).alias("base_failed"), "kept", "fail_bits")
+
+
 def op8_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents placed in sequences of 4096 ids."""
     packed = bestfit.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -27,6 +52,9 @@ def op8_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_budgeted_windows": op1_budgeted_windows,
+    "op5_distinct_word_bpe": op5_distinct_word_bpe,
+    "op9_rule_ledger": op9_rule_ledger,
     "op8_bestfit_packing": op8_bestfit_packing,
 }
 
