@@ -12,7 +12,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.llm import bestfit, byte_bpe, chat, rules
+from reelstar.llm import bestfit, byte_bpe, chat, language, rules, toxicity
+from reelstar.llm.folds import fold
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,22 @@ def op1_budgeted_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_windows(turns.unionByName(extra)))
 
 
+def op2_nnpu_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned outside fold 0 of 5."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op3_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned outside fold 1 of 3."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    said = language.predict(docs.select("doc_id", "text"), language.fit(docs))
+    return said.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "lang_pred",
+                       F.col("lang_score").alias("score"))
+
+
 def op5_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the byte-level BPE ids of all documents and of their decoded bytes."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -53,6 +70,8 @@ def op8_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budgeted_windows": op1_budgeted_windows,
+    "op2_nnpu_toxicity": op2_nnpu_toxicity,
+    "op3_byte_cnn_language": op3_byte_cnn_language,
     "op5_distinct_word_bpe": op5_distinct_word_bpe,
     "op9_rule_ledger": op9_rule_ledger,
     "op8_bestfit_packing": op8_bestfit_packing,
