@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.llm import bestfit, byte_bpe, chat, language, rules, toxicity
+from reelstar.llm import bestfit, byte_bpe, chat, jaccard, language, rules, search, suffix_tree, toxicity
 from reelstar.llm.folds import fold
 
 
@@ -46,6 +46,17 @@ def op3_byte_cnn_language(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("lang_score").alias("score"))
 
 
+def op4_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and suffix-tree scores of all documents, learned outside fold 2 of 7."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_tree.score(docs, suffix_tree.fit(docs))
+
+
+def op6_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best inner products of every 50th vector among all others."""
+    return search.top_k(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op5_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the byte-level BPE ids of all documents and of their decoded bytes."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -68,13 +79,21 @@ def op8_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "sequence_id", "offset")
 
 
+def op10_lsh_forest_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similarity class and number of links of every document."""
+    return jaccard.similarity_classes(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budgeted_windows": op1_budgeted_windows,
     "op2_nnpu_toxicity": op2_nnpu_toxicity,
     "op3_byte_cnn_language": op3_byte_cnn_language,
+    "op4_suffix_tree_lm": op4_suffix_tree_lm,
+    "op6_ball_tree_search": op6_ball_tree_search,
     "op5_distinct_word_bpe": op5_distinct_word_bpe,
     "op9_rule_ledger": op9_rule_ledger,
     "op8_bestfit_packing": op8_bestfit_packing,
+    "op10_lsh_forest_jaccard": op10_lsh_forest_jaccard,
 }
 
 ORACLE: dict[str, str] = {}
