@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.llm import bestfit, byte_bpe, chat, jaccard, language, rules, search, suffix_tree, toxicity
+from reelstar.llm import bestfit, byte_bpe, chat, jaccard, language, licenses, rules, search, suffix_tree, toxicity
 from reelstar.llm.folds import fold
 
 
@@ -64,6 +64,11 @@ def op5_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path))
 
 
+def op7_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and signatures of all documents."""
+    return licenses.scan(_table(spark, sf_dir, "documents")).drop("detections")
+
+
 def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, base verdict and the verdict of the current policy for all documents."""
     rows = rules.ledger(_table(spark, sf_dir, "documents"))
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_suffix_tree_lm": op4_suffix_tree_lm,
     "op6_ball_tree_search": op6_ball_tree_search,
     "op5_distinct_word_bpe": op5_distinct_word_bpe,
+    "op7_license_signatures": op7_license_signatures,
     "op9_rule_ledger": op9_rule_ledger,
     "op8_bestfit_packing": op8_bestfit_packing,
     "op10_lsh_forest_jaccard": op10_lsh_forest_jaccard,
