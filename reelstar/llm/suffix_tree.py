@@ -1,8 +1,9 @@
 """Language-model scores from a probabilistic suffix tree over byte classes.
 
-Symbols are byte classes (A-Z lower-cased, one class per letter, digits, white
-space, groups of other bytes) and an end mark; a byte's probability is its
-class's times its share in the class.  Context counts of every training text
+A text is its words (A-Z lower-cased), a space after each, and an end mark.
+Symbols are byte classes (one per letter and per UTF-8 continuation byte,
+digits, groups of other bytes); a byte's probability is its class's times its
+share in the class.  Context counts of every training text
 are summed by Spark for contexts of 0 to ``DEPTH`` symbols.  A context with at
 least ``SHARE`` of all symbols stays a candidate (so a level has at most
 1/SHARE of them whatever the corpus), and is retained if its next-symbol
@@ -27,28 +28,33 @@ from reelstar.llm import textscan as T
 from reelstar.llm.folds import fold
 from reelstar.session import cut_lineage
 
-DEPTH = 5
-SHARE = 1e-4
-GAIN = 50.0
+DEPTH = 6
+SHARE = 3e-5
+GAIN = 8.0
 MU = 4.0
 BLOCK_BYTES = 4 << 20
 START, END = 0, 1
 CLASS = np.zeros(256, np.int64)
 CLASS[:128] = 2                                  # other ASCII
-CLASS[9:14] = 3
-CLASS[10] = 4
-CLASS[32] = 5
-CLASS[48:58] = 6
-for _k, _c in enumerate(b".,-'"):
-    CLASS[_c] = 7 + _k
-CLASS[97:123] = CLASS[65:91] = np.arange(11, 37)
-CLASS[128:192] = 37 + np.arange(64) // 8         # eight groups of continuation bytes
-CLASS[192:256] = 45
-CLASS[195] = 46
-SYMBOLS = 47
+CLASS[32] = 3
+CLASS[48:58] = 4
+for _k, _c in enumerate(b".,-'!?"):
+    CLASS[_c] = 5 + _k
+CLASS[97:123] = np.arange(11, 37)
+CLASS[128:192] = 37 + np.arange(64)
+CLASS[192:256] = 101
+CLASS[195] = 102
+SYMBOLS = 103
 _SHIFT = SYMBOLS ** np.arange(DEPTH + 2, dtype=np.int64)
 
 
+def plain(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The texts as lower-cased words with one space after each."""
+    start, end, _, ptr = T.scan_words(buf, offs)
+    out = T.LOWER[np.frombuffer(T.joined(buf, start, end), np.uint8)]
+    return out, np.concatenate([[0], np.cumsum(end - start + 1)]).astype(np.int64)[ptr]
+
+
 def symbols(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Class sequence (each text after DEPTH start marks, then the end mark), its rows' first and last places."""
     n = np.diff(offs)
@@ -77,6 +83,7 @@ class Tree:
 
     def score(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
         """log10 probability of each text with its end, a bounded strip at a time."""
+        buf, offs = plain(buf, offs)
         seq, first, last = symbols(buf, offs)
         total = np.zeros(len(offs) - 1)
         edges = np.repeat(np.arange(len(first)), last - first)
@@ -90,10 +97,8 @@ class Tree:
                 alive = alive[ok]
                 node[alive] = down[ok]
             total += np.bincount(row, self.log_p[node, seq[at]], len(total))
-        part = buf[int(offs[0]):int(offs[-1])]
         for r in range(len(total)):
-            cut = part[offs[r] - offs[0]:offs[r + 1] - offs[0]]
-            total[r] += np.bincount(cut, minlength=256) @ self.byte_log_p
+            total[r] += np.bincount(buf[offs[r]:offs[r + 1]], minlength=256) @ self.byte_log_p
         return total
 
 
@@ -108,7 +113,8 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         buf, offs = T.text_buffer(batch.column(0))
         for i, j in T.row_blocks(offs, BLOCK_BYTES):
-            seq, first, last = symbols(buf, offs[i:j + 1])
+            text, at = plain(buf, offs[i:j + 1])
+            seq, first, last = symbols(text, at)
             code = grams(seq)
             keep = np.zeros(len(code), bool)
             step = np.zeros(len(code) + 1, np.int64)
@@ -116,7 +122,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(step, last - DEPTH, -1)
             keep = np.cumsum(step[:-1]) > 0
             key, n = np.unique(code[keep], return_counts=True)
-            b = np.bincount(buf[int(offs[i]):int(offs[j])], minlength=256)
+            b = np.bincount(text, minlength=256)
             seen = np.flatnonzero(b)
             yield pa.record_batch([pa.array(np.concatenate([key, seen - 256])), pa.array(np.concatenate([n, b[seen]]))],
                                   names=["code", "n"])

@@ -64,7 +64,7 @@ def test_scores(spark, texts):
     want = Counter()
     for i, t in texts:
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens[i])
-        raw = (t or "").encode()
+        raw = "".join(w + " " for w in tokens[i][:-1]).encode()
         seq = [suffix_tree.START] * suffix_tree.DEPTH + [int(suffix_tree.CLASS[b]) for b in raw] + [suffix_tree.END]
         score = float(sum(tree.byte_log_p[b] for b in raw))
         for p in range(suffix_tree.DEPTH, len(seq)):
