@@ -4,8 +4,10 @@ Pre-tokens are exploded with their positions per block of documents (a few MB
 of text): each distinct word of a block is one row, and the block's positions
 are one compressed array of word numbers.  Rows meet by word, each distinct
 word is encoded once, the ids return to their block and are laid out by
-position.  A word has one row per block at most, so the most frequent word is
-no hot key, and a block is bounded by its bytes (one document at least).
+position.  Words travel packed: a block sends one row per slice of the words'
+hash space, the slices are shuffled, and within a slice equal words of all
+blocks meet.  A word occurs once per block at most, so the most frequent word
+is no hot key, and a block is bounded by its bytes (one document at least).
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from reelstar.llm import textscan as T
 
 BLOCK_BYTES = 4 << 20
+SLICES = 256       # of the words' hash space; a task holds one slice's distinct words at a time
 
 
 @lru_cache(maxsize=2)
@@ -53,8 +56,9 @@ def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _blocks(batches: Iterator[pa.RecordBatch], pattern):
-    """Per block: id, document ids, word numbers, document offsets and distinct words."""
+def _blocks(batches: Iterator[pa.RecordBatch], pattern, slices: int):
+    """Per block: id, document ids, word numbers, document offsets, and the
+    distinct words of each slice; numbers follow the slices' order."""
     part, seq = TaskContext.get().partitionId(), 0
     for batch in batches:
         _, offs = T.text_buffer(batch.column(1))
@@ -65,11 +69,30 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern):
                 found = [number.setdefault(w, len(number)) for w in pattern.findall(text or "")]
                 codes.append(np.array(found, np.uint32))
                 ptr.append(ptr[-1] + len(found))
-            yield (part << 32) + seq, batch.column(0).slice(i, j - i), np.concatenate(codes), ptr, list(number)
+            words = [w.encode() for w in number]
+            at = np.array([zlib.crc32(w) % slices for w in words], np.int64)
+            order = np.argsort(at, kind="stable")
+            place = np.empty(len(order), np.uint32)
+            place[order] = np.arange(len(order), dtype=np.uint32)
+            cuts = np.searchsorted(at[order], np.arange(slices + 1)).tolist()
+            sliced = [(k, [words[w] for w in order[a:b].tolist()]) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            yield (part << 32) + seq, batch.column(0).slice(i, j - i), place[np.concatenate(codes)], ptr, sliced
             seq += 1
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+def _pack(words: list[bytes]) -> bytes:
+    sizes = np.array([len(w) for w in words], "<u4").tobytes()
+    return zlib.compress(len(words).to_bytes(4, "little") + sizes + b"".join(words), 1)
+
+
+def _unpack(packed: bytes) -> list[bytes]:
+    data = zlib.decompress(packed)
+    n = int.from_bytes(data[:4], "little")
+    stop = (4 + 4 * n + np.concatenate([[0], np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64)])).tolist()
+    return [data[a:b] for a, b in zip(stop, stop[1:])]
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, slices: int = SLICES) -> DataFrame:
     """``doc_id, ids`` (little-endian unsigned 32-bit) of every row of ``docs``.
 
     A null or empty text has no ids; repeated rows and ids stay repeated; a
@@ -81,38 +104,39 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def words(batches):
         rx = regex.compile(pattern)
-        for block, _, _, _, distinct in _blocks(batches, rx):
-            for a in range(0, len(distinct), 1 << 16):
-                cut = distinct[a:a + (1 << 16)]
-                yield pa.record_batch([pa.array([block] * len(cut), pa.int64()),
-                                       pa.array(range(a, a + len(cut)), pa.int32()),
-                                       pa.array([w.encode() for w in cut], pa.binary())], names=["block", "at", "word"])
+        for block, _, _, _, sliced in _blocks(batches, rx, slices):
+            yield pa.record_batch([pa.array([block] * len(sliced), pa.int64()), pa.array([k for k, _ in sliced], pa.int32()),
+                                   pa.array([_pack(w) for _, w in sliced], pa.binary())], names=["block", "slice", "words"])
 
     def positions(batches):
         rx = regex.compile(pattern)
-        for block, ids, codes, ptr, _ in _blocks(batches, rx):
+        for block, ids, codes, ptr, _ in _blocks(batches, rx, slices):
             yield pa.record_batch([pa.array([block]), pa.array([zlib.compress(codes.tobytes(), 1)], pa.binary()),
                                    pa.array([ids.to_pylist()], pa.list_(pa.int64())),
                                    pa.array([ptr], pa.list_(pa.int64()))], names=["block", "codes", "doc_ids", "ptr"])
 
     def encoded(batches):
         core = _vocabulary(ranks.value)[0]
-        before, ids = None, b""
+        before, known = None, {}
         for batch in batches:
             out = []
-            for w in batch.column(2).to_pylist():
-                if w != before:
-                    before, ids = w, np.array(core.encode_single_piece(w), "<u4").tobytes()
-                out.append(ids)
+            for k, packed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                if k != before:
+                    before, known = k, {}
+                ids = []
+                for w in _unpack(packed):
+                    if w not in known:
+                        known[w] = np.array(core.encode_single_piece(w), "<u4").tobytes()
+                    ids.append(known[w])
+                out.append(_pack(ids))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
-                                  names=["block", "at", "ids"])
+                                  names=["block", "slice", "ids"])
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        at = right.column("at").to_numpy()
-        parts = right.column("ids").to_pylist()
-        order = np.argsort(at)
-        sizes = np.array([len(parts[k]) // 4 for k in order], np.int64)
-        flat = np.frombuffer(b"".join(parts[k] for k in order), "<u4")
+        back = sorted(zip(right.column("slice").to_pylist(), right.column("ids").to_pylist()))
+        parts = [ids for _, packed in back for ids in _unpack(packed)]
+        sizes = np.array([len(x) // 4 for x in parts], np.int64)
+        flat = np.frombuffer(b"".join(parts), "<u4")
         codes = np.frombuffer(zlib.decompress(left.column("codes")[0].as_py()), np.uint32).astype(np.int64)
         ids, stop = _gather(flat, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), codes)
         ptr = stop[np.array(left.column("ptr")[0].as_py(), np.int64)]
@@ -121,9 +145,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                         names=["doc_id", "ids"])
 
     rows = _slim(docs)
-    back = (rows.mapInArrow(words, "block long, at int, word binary")
-            .repartition("word").sortWithinPartitions("word")
-            .mapInArrow(encoded, "block long, at int, ids binary"))
+    back = (rows.mapInArrow(words, "block long, slice int, words binary")
+            .repartition("slice").sortWithinPartitions("slice")
+            .mapInArrow(encoded, "block long, slice int, ids binary"))
     places = rows.mapInArrow(positions, "block long, codes binary, doc_ids array<long>, ptr array<long>")
     return places.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(assemble, "doc_id long, ids binary")
 
