@@ -52,8 +52,13 @@ def parse_date(c: str | Column, formats: Sequence[str] = DEFAULT_DATE_FORMATS) -
 
 
 def parse_invoice_ts(c: str | Column, fmt: str = INVOICE_DATE_FORMAT) -> Column:
-    """Wall-clock timestamp from text, null when malformed (coercing parse)."""
-    return F.try_to_timestamp(_col(c), F.lit(fmt)).cast("timestamp_ntz")
+    """Wall-clock timestamp from text, null when malformed (coercing parse).
+
+    The text is read as UTC and its seconds since 1970 are added to a
+    zone-less epoch, so no daylight-saving gap of the session's zone shifts it.
+    """
+    utc = F.try_to_timestamp(F.concat(_col(c), F.lit(" +0000")), F.lit(f"{fmt} Z"))
+    return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.unix_seconds(utc))
 
 
 def array_to_text(c: str | Column, sep: str = ",") -> Column:

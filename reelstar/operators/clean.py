@@ -13,7 +13,6 @@ from reelstar.schemas import PURCHASE_RENAMES
 from reelstar.session import cut_lineage
 
 PURCHASE_KEY = ("invoice_number", "stock_code")
-MAX_BROADCAST_PARTITIONS = 200_000
 SERIAL_CHUNK = 1 << 16
 
 
@@ -143,14 +142,10 @@ def dense_serial_id(df: DataFrame, order: Sequence[str], name: str = "id",
         F.monotonically_increasing_id().alias("_mono"),
     )
     counts = with_pos.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    n_parts = sorted_df.rdd.getNumPartitions()
     offsets = counts.select(
         "_part",
         (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
     ).fillna(0, subset=["_off"])
-    # one row per partition: the size bound is known before the join
-    if n_parts <= MAX_BROADCAST_PARTITIONS:
-        offsets = F.broadcast(offsets)
     local_pos = F.col("_mono") - F.shiftleft(F.col("_part").cast("bigint"), 33)
     return with_pos.join(offsets, "_part").select(
         (F.col("_off") + local_pos + 1).alias(name), *cols)

@@ -154,6 +154,9 @@ def log_keys(logs: DataFrame, reviews: DataFrame, mode: str = INTENT,
     dim builds that differ only in the attribute the fact never reads.
     """
     _check_mode(mode)
+    if mode == INTENT and log_join_key != USER_KEY:
+        raise ValueError("the intent fact holds one log key per customer: join the logs on user_id, "
+                         "or use the as-written fact, which keeps every key")
     return _dim_rows(logs, reviews, LOG_KEY, [], mode, weighted=True, log_join_key=log_join_key)
 
 

@@ -103,13 +103,6 @@ def _long(one_row: DataFrame, checks: Sequence[Check], aliases: Sequence[str]) -
     return one_row.select(F.expr(f"stack({len(checks)}, {args}) AS (model, `column`, test, failures)"))
 
 
-def not_null_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    checks = [_nn(model, c) for c in columns]
-    aliases = [f"_nn{i}" for i in range(len(columns))]
-    wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(a) for c, a in zip(columns, aliases)])
-    return _long(wide, checks, aliases)
-
-
 def column_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column index, value as text, rows) for several columns in one shuffle;
     partial aggregation collapses a hot value in every task first."""
@@ -118,46 +111,6 @@ def column_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k")))
 
 
-def unique_counts(df: DataFrame, model: str, columns: Sequence[str]) -> DataFrame:
-    """Repeated values of several columns with one shuffle over (column, value)."""
-    return null_and_unique_counts(df, model, [], columns)
-
-
-def null_and_unique_counts(df: DataFrame, model: str, not_null: Sequence[str],
-                           unique: Sequence[str]) -> DataFrame:
-    """not_null and unique checks of one model from a single (column, value)
-    count: nulls are the null group, repeats the non-null groups above one."""
-    columns = list(dict.fromkeys([*not_null, *unique]))
-    counts = column_value_counts(df, columns)
-    checks, aggs = [], []
-    for c in not_null:
-        i = columns.index(c)
-        checks.append(_nn(model, c))
-        aggs.append(f"coalesce(sum(CASE WHEN _c = {i} AND _v IS NULL THEN _k END), 0) AS `_a{len(aggs)}`")
-    for c in unique:
-        i = columns.index(c)
-        checks.append(_uq(model, c))
-        aggs.append(f"count_if(_c = {i} AND _v IS NOT NULL AND _k > 1) AS `_a{len(aggs)}`")
-    wide = counts.selectExpr(*aggs)
-    return _long(wide, checks, [f"_a{i}" for i in range(len(aggs))])
-
-
-def relationship_count(child: DataFrame, check: Check, parent: DataFrame) -> DataFrame:
-    """Child rows whose non-null value has no parent row (anti-join on
-    de-duplicated parent keys)."""
-    keys = parent.selectExpr(f"`{check.field}` AS _k").where("_k IS NOT NULL").distinct()
-    per_value = (child.selectExpr(f"`{check.column}` AS _k").where("_k IS NOT NULL")
-                 .groupBy("_k").agg(F.count(F.lit(1)).alias("_rows")))   # a hot value is one row
-    orphans = per_value.join(keys, "_k", "left_anti")
-    return _long(orphans.selectExpr("coalesce(sum(_rows), 0) AS _f"), [check], ["_f"])
-
-
-def accepted_values_count(df: DataFrame, check: Check) -> DataFrame:
-    bad = (df.select(F.col(check.column).alias("_v"))
-           .where(F.col("_v").isNotNull() & ~F.col("_v").isin(list(check.values))))
-    return _long(bad.agg(F.count_distinct("_v").alias("_f")), [check], ["_f"])
-
-
 def model_checks(df: DataFrame, model: str, checks: Sequence[Check],
                  tables: Mapping[str, DataFrame]) -> DataFrame:
     """All checks of one model in one aggregation over its (column, value, rows).

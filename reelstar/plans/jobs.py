@@ -54,15 +54,17 @@ def load_reviews(spark: SparkSession, source_dir: str, ledger_path: str, sink_pa
 
     ``training`` (cid, review_str, id_review, label) fits the model once when
     ``model_dir`` holds none; files are then scored with the saved model.
+    Without ``model_dir`` it is fitted for this run and not saved.
     ``stream=True`` uses the file stream (``ledger_path`` is then its
     checkpoint folder) and returns the number of micro-batches.
     """
-    if training is not None and model_dir:
-        load_or_fit(spark, training.withColumnRenamed("review_str", "text")
-                    .where(F.col("label").isNotNull()), model_dir)
+    model = None
+    if training is not None:
+        model = load_or_fit(spark, training.withColumnRenamed("review_str", "text")
+                            .where(F.col("label").isNotNull()), model_dir)
 
     def transform(df: DataFrame) -> DataFrame:
-        return classify_reviews(df, model_dir=model_dir, batch_ts=batch_ts)
+        return classify_reviews(df, model_dir=model_dir, batch_ts=batch_ts, model=model)
 
     if stream:
         return ingest_stream(spark, source_dir, RAW_REVIEW, transform, sink_path, ledger_path,

@@ -1,10 +1,10 @@
 """The warehouse over one data folder: staged tables, dims and facts as lazy
 DataFrames.  Nothing here runs a job; each mart is a plan that Catalyst
-prunes to the columns a query asks for."""
+prunes to the columns a query asks for.  A warehouse lists the files when it
+is built: every query builds its own, so that it sees files added since."""
 
 from __future__ import annotations
 
-import weakref
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +15,6 @@ from reelstar.operators import staging as S
 from reelstar.plans import feeds
 
 
-_BY_SESSION: "weakref.WeakKeyDictionary[SparkSession, dict[str, Warehouse]]" = weakref.WeakKeyDictionary()
-
-
 class Warehouse:
     def __init__(self, spark: SparkSession, data_dir: str, log_join_key: str = M.USER_KEY):
         self.spark = spark
@@ -25,19 +22,6 @@ class Warehouse:
         self.log_join_key = log_join_key
         self._marts: dict[tuple, DataFrame] = {}
 
-    @classmethod
-    def of(cls, spark: SparkSession, data_dir: str, log_join_key: str = M.USER_KEY) -> "Warehouse":
-        """The warehouse plan of a session and folder, built once.
-
-        Only plan objects are kept (DataFrames are immutable and lazy); every
-        action still reads the files.  Building a plan costs driver round
-        trips per operator, so queries share the staged plans.
-        """
-        per_session = _BY_SESSION.setdefault(spark, {})
-        if (data_dir, log_join_key) not in per_session:
-            per_session[(data_dir, log_join_key)] = cls(spark, data_dir, log_join_key)
-        return per_session[(data_dir, log_join_key)]
-
     # -- feeds ---------------------------------------------------------------
     @cached_property
     def raw_purchases(self) -> DataFrame:

@@ -106,9 +106,3 @@ def cut_lineage_all(dfs: list[DataFrame]) -> list[DataFrame]:
     ensure_checkpoint_dir(dfs[0].sparkSession)
     with ThreadPoolExecutor(max_workers=len(dfs)) as pool:
         return list(pool.map(cut_lineage, dfs))
-
-
-def pin_utc(spark: SparkSession) -> None:
-    """Timestamps parsed from text are wall-clock values; parse them in UTC so
-    that no daylight-saving gap can shift them."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")

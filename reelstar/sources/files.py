@@ -9,21 +9,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+NO_TEXT = "\u0000"   # stands for a missing field inside the reader, where "" is a text
+
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
-             multiline: bool = False, with_source: bool = False) -> DataFrame:
+             multiline: bool = False, with_source: bool = False, corrupt_col: str | None = None,
+             keep_empty: bool = False) -> DataFrame:
     """CSV with a header row and a declared schema (no inference pass).
 
     ``multiline`` handles quoted fields that contain newlines (review texts);
     it makes each file one split, so keep it off for line-oriented feeds,
     whose large files then split by ``spark.sql.files.maxPartitionBytes``.
     ``with_source`` keeps the file of each row (``_metadata.file_path``).
+    ``corrupt_col`` adds that column with the whole text of each row that has
+    a malformed field (null otherwise); without it such a field is just null.
+    ``keep_empty`` tells a quoted empty text ("") from a missing one.
     """
+    if corrupt_col:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_col, T.StringType())])
     reader = (spark.read.schema(schema)
               .option("header", True)
               .option("escape", '"')
               .option("multiLine", multiline)
               .option("mode", "PERMISSIVE"))
+    if corrupt_col:
+        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
+    if keep_empty:
+        reader = reader.option("nullValue", NO_TEXT).option("emptyValue", "")
+    if multiline:
+        reader = reader.option("lineSep", "\n")
     df = reader.csv(list(paths) if not isinstance(paths, str) else paths)
     if with_source:
         df = df.withColumn("source_file", F.col("_metadata.file_path"))
@@ -52,17 +66,3 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
 def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder (``{data_dir}/{name}.parquet``)."""
     return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
-
-
-def spread_if_undersplit(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Re-split a scan that yields fewer partitions than the cluster has cores.
-
-    A single unsplittable file (one Parquet row group, a multi-line CSV)
-    becomes one task, and every narrow operator after it -- broadcast joins,
-    parsing -- runs on one core.  Large inputs already have many splits, so
-    this is a no-op at scale; it only spends one small shuffle on small feeds.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df

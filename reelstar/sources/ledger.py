@@ -2,23 +2,40 @@
 
 The ledger is only ever appended to, after the data it describes has been
 committed, so a failure between the two steps leaves the file unmarked and
-the retry re-processes it into the same (overwritten) batch location.
+the retry re-processes it into the same (overwritten) batch location.  The
+manifest (path, batch) beside it fixes which files share a batch before any
+data is written.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstar.schemas import LEDGER
 
+MANIFEST = "path string, batch string"
+
+
+def _create(spark: SparkSession, location: str, schema) -> None:
+    try:
+        spark.read.schema(schema).parquet(location)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        spark.createDataFrame([], schema).write.mode("append").parquet(location)
+
 
 def create_ledger(spark: SparkSession, location: str) -> None:
     """Create the ledger table at ``location`` if it does not exist."""
-    try:
-        spark.read.schema(LEDGER).parquet(location).limit(0).collect()
-    except Exception:  # noqa: BLE001 - absent folder
-        spark.createDataFrame([], LEDGER).write.mode("append").parquet(location)
+    _create(spark, location, LEDGER)
+
+
+def read_manifest(spark: SparkSession, location: str) -> DataFrame:
+    """Files dealt to batches so far: (path, batch)."""
+    _create(spark, location, MANIFEST)
+    return spark.read.schema(MANIFEST).parquet(location)
 
 
 def read_ledger(spark: SparkSession, location: str) -> DataFrame:

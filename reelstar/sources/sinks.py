@@ -51,14 +51,22 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet",
 
 
 def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Uncompressed CSV with a header row."""
-    df.write.mode(mode).option("header", True).option("compression", "none").csv(path)
+    """Uncompressed CSV with a header row, quoted as ``csv_to_table`` reads it:
+    quotes are doubled, blanks kept, an empty text is ``""`` and a null nothing.
+    A row of one null column would be a blank line, which no reader returns."""
+    (df.write.mode(mode).option("header", True).option("compression", "none").option("escape", '"')
+     .option("lineSep", "\n").option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def csv_to_table(spark: SparkSession, paths, schema: T.StructType, name: str,
-                 fmt: str = "parquet") -> DataFrame:
-    """Load CSV (header skipped) into a table, creating or truncating it."""
-    df = read_csv(spark, paths, schema)
+                 fmt: str = "parquet", multiline: bool = True) -> DataFrame:
+    """Load CSV (header skipped) into a table, creating or truncating it.
+
+    Quoted texts may hold newlines; ``multiline=False`` lets the large files
+    of a feed without such texts be split.
+    """
+    df = read_csv(spark, paths, schema, multiline=multiline, keep_empty=True)
     df.write.mode("overwrite").format(fmt).saveAsTable(name)
     return spark.table(name)
 

@@ -29,3 +29,11 @@ def test_plug_in_scorer(spark):
     want = texts.select((F.length("review_str") % 2 == 0).cast("int").alias("p"), "id_review")
     got = out.join(want, out.review_id == want.id_review)
     assert got.where("p != positive_review").count() == 0
+
+
+def test_null_text_is_scored_as_empty(spark):
+    rows = [(i, "good film" if i % 2 else "bad plot", i, "positive" if i % 2 else "negative") for i in range(20)]
+    texts = spark.createDataFrame(rows + [(90, None, 90, None), (91, "", 91, None)],
+                                  "cid long, review_str string, id_review long, label string")
+    got = {r.review_id: r.positive_review for r in classify_reviews(texts).collect()}
+    assert len(got) == 22 and got[90] == got[91]

@@ -97,13 +97,8 @@ def test_observed_metrics_equal_separate_pass(spark, tmp_path):
     assert obs.get == C.cleaning_metrics(raw).first().asDict()
 
 
-def test_spread_only_when_undersplit(spark):
-    from reelstar.sources.files import spread_if_undersplit
+def test_cluster_conf_scales_with_input():
     from reelstar.session import cluster_conf
-    one = spark.range(0, 100, numPartitions=1)
-    assert spread_if_undersplit(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, numPartitions=6)
-    assert spread_if_undersplit(many, 4).rdd.getNumPartitions() == 6
     conf = cluster_conf(100 << 40, 1000, 8)
     assert int(conf["spark.sql.shuffle.partitions"]) == (100 << 40) // (256 << 20)
 

@@ -50,3 +50,14 @@ def test_sentiment_only_exact_negative_is_zero(spark):
     assert got == [0, 1, 1, 1, 1, 1]
     texts = [r[0] for r in df.select(array_to_text("a")).collect()]
     assert texts[1] == "negative,negative" and texts[2] == "" and texts[3] == ""
+
+
+def test_parse_invoice_ts_ignores_the_session_zone(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:   # 2:30 does not exist in New York on that day, 1:30 in November exists twice
+        df = spark.createDataFrame([("3/10/2024 2:30",), ("11/3/2024 1:30",), ("7/1/1890 0:05",)], "s string")
+        got = [r[0] for r in df.select(parse_invoice_ts("s").cast("string")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == ["2024-03-10 02:30:00", "2024-11-03 01:30:00", "1890-07-01 00:05:00"]

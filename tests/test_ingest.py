@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from reelstar.schemas import RAW_LOG, RAW_REVIEW
@@ -58,3 +59,46 @@ def test_stream_available_now_picks_only_new_files(spark, tmp_path):
     _write(src, "b.csv", "cid,review_str,id_review\n3,more,12\n")
     assert ingest_stream(spark, str(src), RAW_REVIEW, flag, sink, ckpt, multiline=True) == 1
     assert sorted(r.id_review for r in spark.read.parquet(sink).collect()) == [10, 11, 12]
+
+
+def test_ledger_crash_then_new_file_before_the_retry(spark, tmp_path):
+    src, sink, ledger = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ledger")
+    _write(src, "a.csv", "id_review,logs\n1,<log/>\n")
+    with pytest.raises(InjectedFailure):
+        ingest_with_ledger(spark, str(src), ledger, RAW_LOG, _identity, sink, fail_before_mark=True)
+    _write(src, "b.csv", "id_review,logs\n2,<log/>\n")
+    assert ingest_with_ledger(spark, str(src), ledger, RAW_LOG, _identity, sink) == 2
+    assert sorted(r.id_review for r in spark.read.parquet(sink).collect()) == [1, 2]
+
+
+def test_ledger_runs_every_batch_and_odd_file_names(spark, tmp_path):
+    src, sink, ledger = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ledger")
+    names = ["a[1].csv", "a1.csv", "b{x,y}.csv", "c d.csv", "e%20f.csv"]
+    for i, name in enumerate(names):
+        _write(src, name, f"id_review,logs\n{i},<log/>\n")
+    assert ingest_with_ledger(spark, str(src), ledger, RAW_LOG, _identity, sink, batch_files=2) == len(names)
+    assert sorted(r.id_review for r in spark.read.parquet(sink).collect()) == list(range(len(names)))
+    assert ingest_with_ledger(spark, str(src), ledger, RAW_LOG, _identity, sink) == 0
+
+
+def test_two_sinks_of_one_source_by_default_checkpoint(spark, tmp_path):
+    src = tmp_path / "in"
+    _write(src, "a.csv", REVIEWS)
+    for sink in ("one", "two"):
+        out = str(tmp_path / sink)
+        assert ingest_stream(spark, str(src), RAW_REVIEW, _identity, out, multiline=True) == 1
+        assert ingest_stream(spark, str(src), RAW_REVIEW, _identity, out, multiline=True) == 0
+        assert spark.read.parquet(out).count() == 2
+
+
+def test_ledger_other_errors_are_raised(spark, tmp_path):
+    (tmp_path / "ledger").mkdir()
+    (tmp_path / "ledger" / "x.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        read_ledger(spark, str(tmp_path / "ledger")).count()
+
+
+def test_malformed_field_is_kept_in_the_corrupt_column(spark, tmp_path):
+    _write(tmp_path, "r.csv", "id_review,logs\n1,<log/>\nabc,<log/>\n")
+    rows = read_csv(spark, str(tmp_path / "r.csv"), RAW_LOG, corrupt_col="_bad").collect()
+    assert [(r.id_review, r._bad) for r in rows] == [(1, None), (None, "abc,<log/>")]

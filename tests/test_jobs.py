@@ -70,3 +70,25 @@ def test_review_stream_job(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == texts.count()
     assert {r[0] for r in out.select("positive_review").distinct().collect()} <= {0, 1}
+
+
+def test_reviews_scored_by_a_model_fitted_for_the_run(spark, tmp_path):
+    src = tmp_path / "reviews"
+    src.mkdir()
+    (src / "a.csv").write_text("cid,review_str,id_review\n1,good film,10\n2,,11\n3,bad plot,12\n")
+    rows = [(i, "good film" if i % 2 else "bad plot", i, "positive" if i % 2 else "negative") for i in range(20)]
+    training = spark.createDataFrame(rows, "cid long, review_str string, id_review long, label string")
+    out = str(tmp_path / "out")
+    assert jobs.load_reviews(spark, str(src), str(tmp_path / "ledger"), out, training=training) == 1
+    got = {r.review_id: r.positive_review for r in spark.read.parquet(out).collect()}
+    assert got[10] == 1 and got[12] == 0 and set(got) == {10, 11, 12}
+
+
+def test_query_sees_files_added_since_the_last_one(spark, tmp_path):
+    from reelstar.plans.catalog import QUERIES
+    folder = tmp_path / "sf"
+    for name in ("events", "documents", "labels"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(folder / f"{name}.parquet"))
+    first = QUERIES["review_logs_parsed"](spark, str(folder)).count()
+    spark.read.parquet(f"{SF}/events.parquet").write.mode("append").parquet(str(folder / "events.parquet"))
+    assert QUERIES["review_logs_parsed"](spark, str(folder)).count() == 2 * first

@@ -76,8 +76,14 @@ def test_random_as_written_fact(spark, seed, key):
     assert got == _brute(lp, rp, pp, key)
 
 
+def test_intent_fact_refuses_several_log_keys_per_user(spark):
+    L, R, *_ = _random_frames(spark, 1)
+    with pytest.raises(ValueError, match="one log key per customer"):
+        M.log_keys(L, R, M.INTENT, log_join_key="review_id")
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("key", ["user_id", "review_id"])
+@pytest.mark.parametrize("key", ["user_id"])
 def test_random_intent_fact(spark, seed, key):
     L, R, P, lp, rp, pp = _random_frames(spark, seed)
     keys = M.log_keys(L, R, M.INTENT, log_join_key=key)

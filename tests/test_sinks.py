@@ -50,3 +50,11 @@ def test_append_table_accumulates(spark):
     sinks.append_table(df, "reelstar_append_t", partition_by=["country"])
     sinks.append_table(df, "reelstar_append_t", partition_by=["country"])
     assert spark.table("reelstar_append_t").count() == 6
+
+
+def test_csv_export_reload_keeps_texts(spark, tmp_path):
+    texts = ['say "hi", ok', "two\nlines", "a\r\nb", "", None, "  blank  ", "back\\slash", '"', "ü,東", '\\"']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    sinks.export_csv(df, str(tmp_path / "csv"))
+    back = sinks.csv_to_table(spark, str(tmp_path / "csv"), df.schema, "reelstar_csv_texts")
+    assert sorted(map(tuple, back.collect())) == list(enumerate(texts))
