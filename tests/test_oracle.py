@@ -48,4 +48,4 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    assert set(E.queries()) - set(E.oracle_sql()) == set(E.NO_ORACLE)
+    assert set(E.QUERIES) - set(E.oracle_sql()) == set(E.NO_ORACLE)
