@@ -4,12 +4,15 @@ A text is its words (A-Z lower-cased), a space after each, and an end mark.
 Symbols are byte classes (one per letter and per UTF-8 continuation byte,
 digits, groups of other bytes); a byte's probability is its class's times its
 share in the class.  Context counts of every training text
-are summed by Spark for contexts of 0 to ``DEPTH`` symbols.  A context with at
-least ``SHARE`` of all symbols stays a candidate (so a level has at most
-1/SHARE of them whatever the corpus), and is retained if its next-symbol
-distribution diverges from its parent's by ``GAIN`` nats in all, or if a longer
-retained context needs it.  Distributions are smoothed with the parent's.
-Scoring looks up, for every byte, the longest retained suffix of its past.
+are summed by Spark for contexts of 0 to ``DEPTH`` symbols.  A counted context
+is retained if its next-symbol distribution diverges from its parent's by
+``GAIN`` nats in all, or if a longer retained context needs it.  Distributions
+are smoothed with the parent's.  Every byte is scored by the longest retained
+suffix of its past.
+
+The tree stays a distributed table of gram counts.  A task holds the subtrees
+of a slice of the contexts of ``TOP + 1`` symbols; only the contexts of up to
+``TOP`` symbols (SYMBOLS**TOP at most, whatever the corpus) are dense arrays.
 """
 
 from __future__ import annotations
@@ -17,11 +20,12 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstar.llm import textscan as T
@@ -29,7 +33,8 @@ from reelstar.llm.folds import fold
 from reelstar.session import cut_lineage
 
 DEPTH = 6
-SHARE = 3e-5
+TOP = 2
+SLICE_CODES = 200_000
 GAIN = 8.0
 MU = 4.0
 BLOCK_BYTES = 4 << 20
@@ -51,6 +56,10 @@ _SHIFT = SYMBOLS ** np.arange(DEPTH + 2, dtype=np.int64)
 def plain(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The texts as lower-cased words with one space after each."""
     start, end, _, ptr = T.scan_words(buf, offs)
+    return _spaced(buf, start, end, ptr)
+
+
+def _spaced(buf: np.ndarray, start: np.ndarray, end: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     out = T.LOWER[np.frombuffer(T.joined(buf, start, end), np.uint8)]
     return out, np.concatenate([[0], np.cumsum(end - start + 1)]).astype(np.int64)[ptr]
 
@@ -75,31 +84,138 @@ def grams(seq: np.ndarray) -> np.ndarray:
     return code
 
 
+def row_grams(text: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Codes of every symbol of plain texts, the end mark too: row by row, a byte's count and one of each."""
+    seq, first, last = symbols(text, at)
+    code = grams(seq)
+    step = np.zeros(len(code) + 1, np.int64)
+    np.add.at(step, first - DEPTH, 1)
+    np.add.at(step, last - DEPTH, -1)
+    return code[np.cumsum(step[:-1]) > 0]
+
+
 @dataclass(frozen=True)
-class Tree:
+class PlainTree:
+    """A whole tree in one process."""
+
     child: np.ndarray      # (node, symbol) -> node, or -1
     log_p: np.ndarray      # (node, symbol) -> log10 probability
     byte_log_p: np.ndarray  # log10 share of a byte in its class
 
-    def score(self, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
-        """log10 probability of each text with its end, a bounded strip at a time."""
-        buf, offs = plain(buf, offs)
-        seq, first, last = symbols(buf, offs)
-        total = np.zeros(len(offs) - 1)
-        edges = np.repeat(np.arange(len(first)), last - first)
-        place = np.arange(len(edges)) + np.repeat(first - np.concatenate([[0], np.cumsum(last - first)[:-1]]), last - first)
-        for a in range(0, len(place), 1 << 18):
-            at, row = place[a:a + (1 << 18)], edges[a:a + (1 << 18)]
-            node, alive = np.zeros(len(at), np.int32), np.arange(len(at))
-            for k in range(1, DEPTH + 1):
-                down = self.child[node[alive], seq[at[alive] - k]]
-                ok = down >= 0
-                alive = alive[ok]
-                node[alive] = down[ok]
-            total += np.bincount(row, self.log_p[node, seq[at]], len(total))
-        for r in range(len(total)):
-            total[r] += np.bincount(buf[offs[r]:offs[r + 1]], minlength=256) @ self.byte_log_p
-        return total
+
+@dataclass(frozen=True)
+class Tree:
+    """Gram counts as a distributed table (code, n), and what is bounded by the alphabet."""
+
+    counts: DataFrame
+    byte_counts: dict[int, int]
+    prob: np.ndarray        # (TOP past symbols, next) -> smoothed probability
+    best: np.ndarray        # the same -> log10 probability at the longest retained suffix
+
+    @property
+    def byte_log_p(self) -> np.ndarray:
+        """log10 share of a byte in its class."""
+        return _byte_log_p(self.byte_counts)
+
+    @cached_property
+    def plain(self) -> PlainTree:
+        """The whole tree on the driver, for looking at small ones; scoring does not use it."""
+        count: list[dict[int, dict[int, int]]] = [{0: {}}, *({} for _ in range(DEPTH))]
+        for code, n in self.counts.collect():
+            for d in range(DEPTH + 1):
+                ctx, nxt = divmod(code % int(_SHIFT[d + 1]), SYMBOLS)
+                row = count[d].setdefault(ctx, {})
+                row[nxt] = row.get(nxt, 0) + n
+        return build([(d, ctx, list(row.items())) for d, level in enumerate(count) for ctx, row in level.items()], self.byte_counts)
+
+    @property
+    def child(self) -> np.ndarray:
+        return self.plain.child
+
+    @property
+    def log_p(self) -> np.ndarray:
+        return self.plain.log_p
+
+
+def _byte_log_p(byte_counts: dict[int, int]) -> np.ndarray:
+    bytes_n = np.array([byte_counts.get(b, 0) + 1.0 for b in range(256)])
+    return np.log10(bytes_n / np.bincount(CLASS, bytes_n, SYMBOLS)[CLASS])
+
+
+def _flat() -> np.ndarray:
+    flat = np.full(SYMBOLS, 1 / (SYMBOLS - 1))
+    flat[START] = 0
+    return flat
+
+
+def _log(prob: np.ndarray) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.maximum(np.log10(prob), -30)
+
+
+def _gain(n: np.ndarray, own: np.ndarray, up: np.ndarray) -> np.ndarray:
+    """Nats by which smoothed dense distributions of ``n`` symbols diverge from their parents'."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return n * np.nan_to_num(np.where(own > 0, own * np.log(own / up), 0)).sum(axis=-1)
+
+
+def _top_probs(count: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Smoothed distributions of the contexts of 0 to TOP symbols (oldest symbol first), and whether each diverges."""
+    count = count.reshape((SYMBOLS,) * (TOP + 1)).astype(float)
+    probs, passed = [], []
+    for d in range(TOP + 1):
+        c = count.sum(axis=tuple(range(TOP - d)))
+        n = c.sum(axis=-1)
+        if not d:
+            probs.append((c + _flat()) / (n + 1))
+            passed.append(np.array(True))
+            continue
+        probs.append((c + MU * probs[-1]) / (n[..., None] + MU))
+        passed.append(_gain(n, probs[-1], probs[-2]) >= GAIN)
+    return probs, passed
+
+
+def _top_best(probs: list[np.ndarray], passed: list[np.ndarray], needed: np.ndarray) -> np.ndarray:
+    """log10 probabilities at the longest retained suffix of TOP symbols; ``needed`` by longer contexts."""
+    keep = [*passed[:-1], passed[-1] | needed.reshape(passed[-1].shape)]
+    for d in range(TOP, 0, -1):
+        keep[d - 1] = keep[d - 1] | keep[d].any(axis=0)
+    best = probs[0]
+    for d in range(1, TOP + 1):
+        best = np.where(keep[d][..., None], probs[d], best)
+    return _log(best).ravel()
+
+
+def subtrees(code: np.ndarray, n: np.ndarray, prob: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For distinct sorted codes that hold whole subtrees below TOP symbols: log10 probability at the longest
+    retained context (NaN if it has TOP symbols or fewer), and whether the context of TOP + 1 symbols is retained.
+
+    A code with n = 0 is asked for and takes no part in the counts.
+    """
+    keys, counts, ups = {DEPTH: code}, {DEPTH: n.astype(float)}, {}
+    for d in range(DEPTH - 1, TOP, -1):
+        keys[d], ups[d + 1] = np.unique(keys[d + 1] % _SHIFT[d + 1], return_inverse=True)
+        counts[d] = np.bincount(ups[d + 1], counts[d + 1], len(keys[d]))
+    probs, ctx, row, keep = {}, {}, {}, {}
+    for d in range(TOP + 1, DEPTH + 1):
+        up = prob[keys[d] % _SHIFT[d]] if d == TOP + 1 else probs[d - 1][ups[d]]
+        ctx[d], row[d] = np.unique(keys[d] // SYMBOLS, return_inverse=True)
+        total = np.bincount(row[d], counts[d], len(ctx[d]))
+        own = (counts[d] + MU * up) / (total[row[d]] + MU)
+        seen = np.where(counts[d] > 0, own, 0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = np.bincount(row[d], np.where(seen > 0, own * np.log(own / up), 0), len(ctx[d]))
+        # a symbol that never follows has MU / (total + MU) of its parent's probability
+        gain += (1 - np.bincount(row[d], seen, len(ctx[d]))) * np.log(MU / (total + MU))
+        probs[d], keep[d] = own, total * gain >= GAIN
+    for d in range(DEPTH, TOP + 1, -1):
+        keep[d - 1][np.searchsorted(ctx[d - 1], ctx[d][keep[d]] % _SHIFT[d - 1])] = True
+    best, top = np.full(len(keys[TOP + 1]), np.nan), keep[TOP + 1][row[TOP + 1]]
+    for d in range(TOP + 1, DEPTH + 1):
+        if d > TOP + 1:
+            best, top = best[ups[d]], top[ups[d]]
+        best = np.where(keep[d][row[d]], probs[d], best)
+    return _log(best), top
 
 
 def _slim(docs: DataFrame, folds: int, held: int) -> DataFrame:
@@ -114,14 +230,7 @@ def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buf, offs = T.text_buffer(batch.column(0))
         for i, j in T.row_blocks(offs, BLOCK_BYTES):
             text, at = plain(buf, offs[i:j + 1])
-            seq, first, last = symbols(text, at)
-            code = grams(seq)
-            keep = np.zeros(len(code), bool)
-            step = np.zeros(len(code) + 1, np.int64)
-            np.add.at(step, first - DEPTH, 1)
-            np.add.at(step, last - DEPTH, -1)
-            keep = np.cumsum(step[:-1]) > 0
-            key, n = np.unique(code[keep], return_counts=True)
+            key, n = np.unique(row_grams(text, at), return_counts=True)
             b = np.bincount(text, minlength=256)
             seen = np.flatnonzero(b)
             yield pa.record_batch([pa.array(np.concatenate([key, seen - 256])), pa.array(np.concatenate([n, b[seen]]))],
@@ -134,20 +243,39 @@ def fit(docs: DataFrame, folds: int = 7, held: int = 2) -> Tree:
     counts = cut_lineage(rows.mapInArrow(_gram_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
     byte_rows = counts.where("code < 0").collect()  # 256 at most
     grams_n = counts.where("code >= 0")
-    total = grams_n.agg(F.sum("n")).first()[0] or 0
-    least = max(1.0, total * SHARE)
-    levels = F.array(*(F.struct(F.lit(d).alias("d"), (F.col("code") % int(_SHIFT[d + 1])).alias("code")) for d in range(DEPTH + 1)))
-    orders = (grams_n.select(F.explode(levels).alias("g"), "n").groupBy("g.d", "g.code").agg(F.sum("n").alias("n"))
-              .withColumn("ctx", F.floor(F.col("code") / SYMBOLS).cast("long"))
-              .withColumn("nxt", (F.col("code") % SYMBOLS).cast("int")))
-    kept = (orders.groupBy("d", "ctx").agg(F.sum("n").alias("total"), F.collect_list(F.struct("nxt", "n")).alias("next"))
-            .where((F.col("total") >= least) | (F.col("d") == 0)).select("d", "ctx", "next"))
-    # bounded: at most 1/SHARE contexts a level, SYMBOLS counts each
-    return build([(r["d"], r["ctx"], [(x["nxt"], x["n"]) for x in r["next"]]) for r in kept.collect()],
-                 {r["code"] + 256: r["n"] for r in byte_rows})
-
-
-def build(contexts: list[tuple[int, int, list[tuple[int, int]]]], byte_counts: dict[int, int]) -> Tree:
+    count = np.zeros(int(_SHIFT[TOP + 1]), np.int64)  # bounded by the alphabet, as the rows that fill it
+    top = grams_n.groupBy((F.col("code") % len(count)).alias("code")).agg(F.sum("n").alias("n")).toArrow()
+    count[top.column("code").to_numpy()] = top.column("n").to_numpy()
+    probs, passed = _top_probs(count)
+    prob = np.ascontiguousarray(probs[TOP]).ravel()
+    needed = np.zeros(int(_SHIFT[TOP]), bool)
+    for r in (_in_subtrees(grams_n, prob).where("top").select(_context("code", TOP).alias("ctx")).distinct()).collect():
+        needed[r["ctx"]] = True
+    return Tree(grams_n, {r["code"] + 256: r["n"] for r in byte_rows}, prob, _top_best(probs, passed, needed))
+
+
+def _context(code: str, d: int) -> Column:
+    """The latest ``d`` symbols before the next one."""
+    return F.expr(f"({code} div {SYMBOLS}) % {int(_SHIFT[d])}")
+
+
+def _in_subtrees(counts: DataFrame, prob: np.ndarray) -> DataFrame:
+    """``code, log_p, top`` of every distinct code of ``counts``; a slice holds about SLICE_CODES codes."""
+    slices = max(256, counts.count() // SLICE_CODES)
+    shared = counts.sparkSession.sparkContext.broadcast(prob)
+
+    def of(t: pa.Table) -> pa.Table:
+        code, n = t.column("code").to_numpy(), t.column("n").to_numpy()
+        order = np.argsort(code)
+        log_p, top = subtrees(code[order], n[order], shared.value)
+        return pa.table([pa.array(code[order]), pa.array(log_p, pa.float32(), from_pandas=True), pa.array(top)],
+                        names=["code", "log_p", "top"])
+
+    return (counts.select("code", "n", F.pmod(F.xxhash64(_context("code", TOP + 1)), F.lit(slices)).alias("slice"))
+            .groupBy("slice").applyInArrow(of, "code long, log_p float, top boolean"))
+
+
+def build(contexts: list[tuple[int, int, list[tuple[int, int]]]], byte_counts: dict[int, int]) -> PlainTree:
     """Divergence pruning, smoothing and the child table."""
     level: list[dict[int, int]] = [{} for _ in range(DEPTH + 1)]
     for d, ctx, _ in contexts:
@@ -156,9 +284,7 @@ def build(contexts: list[tuple[int, int, list[tuple[int, int]]]], byte_counts: d
     for d, ctx, nexts in contexts:
         for s, n in nexts:
             count[d][level[d][ctx], s] = n
-    flat = np.full(SYMBOLS, 1 / (SYMBOLS - 1))
-    flat[START] = 0
-    prob = [(count[0] + flat) / (count[0].sum(axis=1, keepdims=True) + 1)]
+    prob = [(count[0] + _flat()) / (count[0].sum(axis=1, keepdims=True) + 1)]
     parents, keep = [None], [np.ones(1, bool)]
     for d in range(1, DEPTH + 1):
         ctx = np.array(list(level[d]), np.int64)
@@ -170,11 +296,9 @@ def build(contexts: list[tuple[int, int, list[tuple[int, int]]]], byte_counts: d
             continue
         n = count[d].sum(axis=1, keepdims=True)
         own = (count[d] + MU * prob[d - 1][up]) / (n + MU)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.where(own > 0, own * np.log(own / prob[d - 1][up]), 0)
         prob.append(own)
         parents.append(up)
-        keep.append((n[:, 0] * np.nan_to_num(gain).sum(axis=1)) >= GAIN)
+        keep.append(_gain(n[:, 0], own, prob[d - 1][up]) >= GAIN)
     for d in range(DEPTH, 1, -1):
         keep[d - 1][parents[d][keep[d]]] = True
     number = [np.full(len(k), -1, np.int64) for k in keep]
@@ -185,57 +309,62 @@ def build(contexts: list[tuple[int, int, list[tuple[int, int]]]], byte_counts: d
     child = np.full((at, SYMBOLS), -1, np.int32)
     log_p = np.zeros((at, SYMBOLS), np.float32)
     for d, k in enumerate(keep):
-        with np.errstate(divide="ignore"):
-            log_p[number[d][k]] = np.maximum(np.log10(prob[d][:len(k)][k]), -30)
+        log_p[number[d][k]] = _log(prob[d][:len(k)][k])
         if d:
             ctx = np.array(list(level[d]), np.int64)
             child[number[d - 1][parents[d][k]], (ctx // _SHIFT[d - 1])[k]] = number[d][k]
-    bytes_n = np.array([byte_counts.get(b, 0) + 1.0 for b in range(256)])
-    return Tree(child, log_p, np.log10(bytes_n / np.bincount(CLASS, bytes_n, SYMBOLS)[CLASS]))
+    return PlainTree(child, log_p, _byte_log_p(byte_counts))
 
 
 def score(docs: DataFrame, tree: Tree, folds: int = 7, held: int = 2) -> DataFrame:
     """Every row's ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
-    A null text reads as empty (its only token is the end).  Base counts: each
-    block of documents sends one row per distinct word hash; rows meet by hash,
-    so a frequent word has a row per block at most, and return to their block.
+    A null text reads as empty (its only token is the end).  Each block of
+    documents sends one row per distinct word hash and per distinct gram; rows
+    meet counts and tree by hash or code, so a frequent one has a row per block
+    at most, and return to their block.
     """
-    model = docs.sparkSession.sparkContext.broadcast(tree)
+    best = docs.sparkSession.sparkContext.broadcast((tree.best, tree.byte_log_p))
 
     def blocks(batches):
         part, seq = TaskContext.get().partitionId(), 0
         for batch in batches:
             buf, offs = T.text_buffer(batch.column(1))
             for i, j in T.row_blocks(offs, BLOCK_BYTES):
-                _, _, h, ptr = T.scan_words(buf, offs[i:j + 1], lower=True)
-                uniq, _, code = T.groups(h)
-                yield (part << 32) + seq, batch.slice(i, j - i), buf, offs[i:j + 1], uniq, code, ptr
+                yield (part << 32) + seq, batch.slice(i, j - i), buf, offs[i:j + 1]
                 seq += 1
 
-    def words(batches):
-        for block, rows, _, _, uniq, code, ptr in blocks(batches):
+    def asked(batches):
+        for block, rows, buf, offs in blocks(batches):
+            start, end, h, ptr = T.scan_words(buf, offs, lower=True)
+            uniq, _, code = T.groups(h)
             learn = ~rows.column(2).to_numpy(zero_copy_only=False)
             n = np.bincount(code, np.repeat(learn, np.diff(ptr)), len(uniq)).astype(np.int64)
             # the end mark is the last word of the block, under hash 0
-            yield pa.record_batch([pa.array(np.full(len(uniq) + 1, block)), pa.array(np.arange(len(uniq) + 1, dtype=np.int32)),
-                                   pa.array(np.append(uniq, np.uint64(0)).view(np.int64)),
-                                   pa.array(np.append(n, int(learn.sum())))], names=["block", "at", "h", "n"])
+            keys = {True: np.append(uniq, np.uint64(0)).view(np.int64), False: np.unique(row_grams(*_spaced(buf, start, end, ptr)))}
+            count = {True: np.append(n, int(learn.sum())), False: np.zeros(len(keys[False]), np.int64)}
+            for word in keys:
+                size = len(keys[word])
+                yield pa.record_batch([pa.array(np.full(size, block)), pa.array(np.arange(size, dtype=np.int32)), pa.array(np.full(size, word)),
+                                       pa.array(keys[word]), pa.array(count[word])], names=["block", "at", "word", "code", "n"])
 
     def places(batches):
-        for block, rows, buf, offs, _, code, ptr in blocks(batches):
+        for block, rows, buf, offs in blocks(batches):
             yield pa.record_batch(
-                [pa.array([block]), pa.array([zlib.compress(code.astype(np.uint32).tobytes(), 1)], pa.binary()),
-                 pa.array([ptr.tolist()], pa.list_(pa.int64())), pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())),
-                 pa.array([rows.column(2).to_pylist()], pa.list_(pa.bool_())),
-                 pa.array([model.value.score(buf, offs).tolist()], pa.list_(pa.float64()))],
-                names=["block", "codes", "ptr", "doc_ids", "held", "scores"])
+                [pa.array([block]), pa.array([zlib.compress(buf[int(offs[0]):int(offs[-1])].tobytes(), 1)], pa.binary()),
+                 pa.array([(offs - offs[0]).tolist()], pa.list_(pa.int64())), pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())),
+                 pa.array([rows.column(2).to_pylist()], pa.list_(pa.bool_()))],
+                names=["block", "texts", "offs", "doc_ids", "held"])
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        c = np.zeros(right.num_rows)
-        c[right.column("at").to_numpy()] = right.column("c").to_numpy()
-        code = np.frombuffer(zlib.decompress(left.column("codes")[0].as_py()), np.uint32)
-        ptr = np.array(left.column("ptr")[0].as_py(), np.int64)
+        buf = np.frombuffer(zlib.decompress(left.column("texts")[0].as_py()), np.uint8)
+        offs = np.array(left.column("offs")[0].as_py(), np.int64)
+        at, x = right.column("at").to_numpy(), right.column("x").to_numpy()
+        word = right.column("word").to_numpy(zero_copy_only=False)
+        start, end, h, ptr = T.scan_words(buf, offs, lower=True)
+        uniq, _, code = T.groups(h)
+        c = np.zeros(len(uniq) + 1)
+        c[at[word]] = x[word]
         logs, known = np.log10(c + 1), c > 0
         ends = np.full(len(ptr) - 1, len(c) - 1)
 
@@ -243,19 +372,31 @@ def score(docs: DataFrame, tree: Tree, folds: int = 7, held: int = 2) -> DataFra
             s = np.concatenate([[0], np.cumsum(per[code])])
             return s[ptr[1:]] - s[ptr[:-1]] + per[ends]
 
+        text, row_at = _spaced(buf, start, end, ptr)
+        asks, inverse = np.unique(row_grams(text, row_at), return_inverse=True)
+        shared, byte_log_p = best.value
+        log_p = shared[asks % len(shared)]
+        log_p[at[~word]] = x[~word]
+        row, n = np.arange(len(ptr) - 1), np.diff(row_at)
+        score = (np.bincount(np.repeat(row, n + 1), log_p[inverse], len(row))
+                 + np.bincount(np.repeat(row, n), byte_log_p[text], len(row)))
         return pa.table([pa.array(left.column("doc_ids")[0].as_py(), pa.int64()), pa.array(left.column("held")[0].as_py()),
                          pa.array(np.diff(ptr) + 1), pa.array(sums(known.astype(np.int64))), pa.array(sums(logs)),
-                         pa.array(left.column("scores")[0].as_py(), pa.float64())],
+                         pa.array(score)],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score"])
 
     rows = _slim(docs, folds, held)
-    counted = rows.mapInArrow(words, "block long, at int, h long, n long")
-    whole = (counted.groupBy("h").agg(F.sum("n").alias("c"))
-             .agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v")).first())
-    n, v = whole["n"] or 0, whole["v"] or 0
-    back = (counted.withColumn("c", F.sum("n").over(Window.partitionBy("h"))).select("block", "at", "c"))
-    spots = rows.mapInArrow(places, "block long, codes binary, ptr array<long>, doc_ids array<long>, "
-                                    "held array<boolean>, scores array<double>")
+    asks = rows.mapInArrow(asked, "block long, at int, word boolean, code long, n long")
+    known = cut_lineage(asks.select("word", "code", "n").unionByName(tree.counts.select(F.lit(False).alias("word"), "code", "n"))
+                        .groupBy("word", "code").agg(F.sum("n").alias("n")))
+    counted = known.where("word and n > 0")
+    whole = counted.agg(F.sum("n").alias("n"), F.count("n").alias("v")).first()
+    n, v = whole["n"] or 0, whole["v"]
+    told = (counted.select("word", "code", F.col("n").cast("double").alias("x"))
+            .unionByName(_in_subtrees(known.where("not word").select("code", "n"), tree.prob).where("log_p is not null")
+                         .select(F.lit(False).alias("word"), "code", F.col("log_p").cast("double").alias("x"))))
+    back = asks.join(told, ["word", "code"]).select("block", "at", "word", "x")
+    spots = rows.mapInArrow(places, "block long, texts binary, offs array<long>, doc_ids array<long>, held array<boolean>")
     out = spots.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
         assemble, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),

@@ -85,3 +85,41 @@ def test_scores(spark, texts):
 def test_scores_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert suffix_tree.score(docs, suffix_tree.fit(docs)).count() == 0
+
+
+def test_contexts_of_a_rare_source_survive_a_hot_one(spark):
+    rare = [(i, "qxzj qxjz " * 10) for i in range(6)]
+    alone = spark.createDataFrame(rare, "doc_id long, text string")
+    beside = alone.unionByName(spark.createDataFrame([(10 + i, "the cat sat on the mat " * 9000) for i in range(20)], "doc_id long, text string"))
+
+    def depth(tree):
+        node = 0
+        for k, c in enumerate(b"zxq "):  # latest symbol first
+            down = int(tree.child[node, suffix_tree.CLASS[c]])
+            if down < 0:
+                return k
+            node = down
+        return 4
+
+    assert depth(suffix_tree.fit(alone)) == depth(suffix_tree.fit(beside)) > 0
+
+
+def test_gram_scores_equal_the_whole_tree(spark):
+    rng = random.Random(5)
+    other = "".join(rng.choice("abcdefgh ") for _ in range(9000))
+    docs = spark.createDataFrame([(i, other[40 * i:40 * i + 300] if i % 3 else "abc hgf " * 9) for i in range(200)], "doc_id long, text string")
+    tree = suffix_tree.fit(docs)
+    unseen = spark.createDataFrame([(0, "abc zyx hgf"), (1, "ÿ \u6771 9"), (2, other[:99])], "doc_id long, text string")
+    got = {r.doc_id: r.score for r in suffix_tree.score(unseen, tree).collect()}
+    for i, text in unseen.collect():
+        raw = "".join(w + " " for w in text.split()).encode()
+        seq = [0] * suffix_tree.DEPTH + [int(suffix_tree.CLASS[b]) for b in raw] + [suffix_tree.END]
+        want = sum(tree.byte_log_p[b] for b in raw)
+        for p in range(suffix_tree.DEPTH, len(seq)):
+            node = 0
+            for k in range(1, suffix_tree.DEPTH + 1):
+                if tree.child[node, seq[p - k]] < 0:
+                    break
+                node = tree.child[node, seq[p - k]]
+            want += tree.log_p[node, seq[p]]
+        assert got[i] == pytest.approx(want, abs=1e-3)
