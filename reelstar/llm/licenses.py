@@ -51,14 +51,20 @@ _FAMILIES = (  # keyword, names as a pattern, label, versions
     ("zlib", "zlib (?:libpng )?licen[sc]e", "zlib", ()),
     ("isc", "isc licen[sc]e", "isc", ()),
     ("unlicense", "(?:the )?unlicense", "unlicense", ()),
-    ("mit", "(?:mit|expat|x11) licen[sc]e", "mit", ()),
+    ("mit", "mit licen[sc]e", "mit", ()),
+    ("expat", "expat licen[sc]e", "mit", ()),
+    ("x11", "x11 licen[sc]e", "mit", ()),
     ("bsd", "(?:(?:2|3|4|two|three|four) clause )?bsd (?:style )?licen[sc]e", "bsd", ()),
 )
 _SHORT = (  # identifiers as they are split into words, and their versions
     ("gpl", ("1", "2", "3")), ("lgpl", ("2", "2 1", "3")), ("agpl", ("1", "3")), ("gfdl", ("1 1", "1 2", "1 3")),
     ("apache", ("1", "1 1", "2")), ("mpl", ("1", "1 1", "2")), ("epl", ("1", "2")), ("eupl", ("1 1", "1 2")),
     ("cddl", ("1", "1 1")), ("afl", ("2 1", "3")), ("osl", ("2 1", "3")), ("bsl", ("1",)), ("ofl", ("1", "1 1")),
-    ("lppl", ("1 3",)), ("artistic", ("1", "2")),
+    ("lppl", ("1 3",)), ("artistic", ("1", "2")), ("cpl", ("1",)), ("sspl", ("1",)), ("psf", ("2",)),
+)
+_UNVERSIONED = (  # identifiers without a version, and their labels
+    ("mit", "mit"), ("x11", "mit"), ("bsd", "bsd"), ("0bsd", "bsd"), ("isc", "isc"), ("zlib", "zlib"),
+    ("unlicense", "unlicense"), ("ms pl", "ms pl"),
 )
 _TERMS = (  # sentences that a license's own text holds
     ("permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy", "mit", 95),
@@ -93,6 +99,8 @@ def rules() -> list[Rule]:
             tag = f"{name} {v.replace(' ', '.')}"
             out.append(Rule(f"spdx license identifier {name}", f"spdx license identifier {name} {number}(?: or later| only)?", tag, 99))
             out.append(Rule(name, f"{name} ?v?{number} licen[sc]ed?", tag, 75))
+    for name, label in _UNVERSIONED:
+        out.append(Rule(f"spdx license identifier {name}", f"spdx license identifier {name}", label, 85))
     for parts in _CC_PARTS:
         label = f"cc {parts}".replace(" ", "-")
         words = " ".join(_CC_WORDS[p] for p in parts.split())

@@ -1,6 +1,7 @@
 """The license scan against brute force on a small fixture."""
 
 import re
+from re import _constants, _parser
 
 from reelstar.llm import licenses
 
@@ -43,3 +44,41 @@ def test_rules_are_many_and_hold_their_keyword():
     text = licenses._GATE
     assert all(re.search(text, f" {r.keyword} ") or "licen" in r.pattern or "public" in r.pattern or "cc" in r.pattern or "license" in r.pattern
                for r in licenses.rules())
+
+
+def _examples(parsed):
+    """Every text that a pattern of alternatives, sets and optional parts matches."""
+    out = [""]
+    for kind, what in parsed:
+        if kind is _constants.LITERAL:
+            some = [chr(what)]
+        elif kind is _constants.IN:
+            some = [chr(c) for _, c in what]
+        elif kind is _constants.BRANCH:
+            some = [x for branch in what[1] for x in _examples(branch)]
+        elif kind is _constants.SUBPATTERN:
+            some = _examples(what[3])
+        else:
+            assert kind is _constants.MAX_REPEAT and what[:2] == (0, 1)
+            some = ["", *_examples(what[2])]
+        out = [a + b for a in out for b in some]
+    return out
+
+
+def test_every_alternative_passes_its_own_prefilter():
+    for r in licenses.rules():
+        for text in _examples(_parser.parse(r.pattern)):
+            assert f" {r.keyword}" in f" {text} " and re.search(licenses._GATE, f" {text} "), (r, text)
+
+
+def test_examples_of_every_rule_equal_brute_force(spark):
+    texts = sorted({t for r in licenses.rules() for t in (min(_examples(_parser.parse(r.pattern)), key=len),)} | {
+        "Distributed under the Expat License.", "X11 licence", "subject to the x11 license", "mitigate the Expat license",
+        "SPDX-License-Identifier: MIT", "SPDX-License-Identifier: BSD-3-Clause", "SPDX-License-Identifier: 0BSD", "spdx license identifier isc",
+        "SPDX-License-Identifier: Zlib", "SPDX-License-Identifier: Unlicense"})
+    got = {texts[r.doc_id]: tuple(r)[1:8] for r in licenses.scan(
+        spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {t: _brute(t) for t in texts}
+    assert got["Distributed under the Expat License."][5:] == ("mit", 0.8)
+    assert got["SPDX-License-Identifier: BSD-3-Clause"][5:] == ("bsd", 0.85)
+    assert got["SPDX-License-Identifier: Unlicense"][5] == "unlicense"
