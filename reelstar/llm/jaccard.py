@@ -1,12 +1,12 @@
-"""N-gram Jaccard join by a MinHash LSH forest and exact verification.
+"""N-gram Jaccard join by banded MinHash LSH and exact verification.
 
 1. Every text becomes its set of five-word shingles (A-Z lower-cased; a text of
    fewer words is one shingle).  Equal sets are one class of copies, counted
    map-side, so thousands of copies cost one row.
-2. Each distinct set has ``TREES`` labels of up to ``DEPTH`` MinHash values.
-   The forest is searched by label prefixes, shortened from the full depth
-   until the recall at the threshold reaches its target; sets that share a
-   prefix are a leaf range of one trie, grouped by Spark's shuffle.
+2. Each distinct set has ``TREES`` labels of the same number of MinHash values:
+   the most, up to ``DEPTH``, whose expected recall at the threshold reaches its
+   target (no trie is kept and no depth depends on the data).  Sets that share
+   a label are a range, grouped by Spark's shuffle.
 3. Leaf ranges with the same members are verified once.  The sets of the
    members meet in blocks of about ``CHUNK`` and every pair of a block pair is
    compared exactly, by shared-shingle counts; a pair that meets in several
@@ -36,7 +36,7 @@ _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, TREES * DEPTH, dtype=np.
 
 
 def prefix_depth(threshold: float, target: float, trees: int = TREES, depth: int = DEPTH) -> int:
-    """The longest prefix whose recall at the threshold reaches ``target`` (1 at least)."""
+    """The longest label whose recall at the threshold reaches ``target`` (1 at least)."""
     while depth > 1 and 1 - (1 - threshold**depth) ** trees < target:
         depth -= 1
     return depth
@@ -65,13 +65,14 @@ def shingles(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def _min_hashes(s: np.ndarray) -> np.ndarray:
-    """MinHash values of one set, a bounded number of shingles at a time."""
-    best = np.full(len(_SEEDS), (1 << 64) - 1, np.uint64)
+def _min_hashes(s: np.ndarray, depth: int) -> np.ndarray:
+    """The trees' first ``depth`` MinHash values of one set, a bounded number of shingles at a time."""
+    seeds = _SEEDS.reshape(TREES, DEPTH)[:, :depth].ravel()
+    best = np.full(len(seeds), (1 << 64) - 1, np.uint64)
     for a in range(0, len(s), 4096):
-        x = s[a:a + 4096, None] * _SEEDS
+        x = s[a:a + 4096, None] * seeds
         best = np.minimum(best, ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).min(axis=0))
-    return best
+    return best.reshape(TREES, depth)
 
 
 def _slim(docs: DataFrame) -> DataFrame:
@@ -92,7 +93,7 @@ def signatures(docs: DataFrame, depth: int) -> DataFrame:
                         continue
                     a, b = T.mix(s).sum(), T.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum()
                     content.append(np.array([a, b], np.uint64).tobytes())
-                    m = _min_hashes(s).reshape(TREES, DEPTH)[:, :depth]
+                    m = _min_hashes(s, depth)
                     key = np.arange(TREES, dtype=np.uint64)
                     for k in range(depth):
                         key = T.mix(key * np.uint64(T._R) + m[:, k])
