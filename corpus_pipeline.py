@@ -36,14 +36,16 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def jaccard_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest doc_id of each similarity class.
+    """Keeps one text of each similarity class, of its smallest doc_id.
 
-    Of repeated rows one stays; rows with a null doc_id have no class and stay.
+    Of repeated rows one stays; different texts of one doc_id stay if they are
+    of different classes; rows with a null doc_id have no class and stay.
     """
-    classes = jaccard.similarity_classes(docs).select(F.col("doc_id").alias("_id"), "class_id")
-    keep = classes.where("_id = class_id").select("_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull()).join(keep, F.col("doc_id") == F.col("_id"), "left_semi")
-    return known.dropDuplicates(["doc_id"]).unionByName(docs.where(F.col("doc_id").isNull())).select(*docs.columns)
+    keep = jaccard.representatives(docs).select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text"))
+    known = docs.where(F.col("doc_id").isNotNull()).withColumn("_of", jaccard.text_id(F.col("text")))
+    same = (F.col("doc_id").cast("long") == F.col("_id")) & (F.col("_of") == F.col("_text"))
+    kept = known.join(keep, same, "left_semi").dropDuplicates(["doc_id", "_of"])
+    return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()).select(*docs.columns))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reelstar.llm import textscan as T
@@ -65,6 +65,11 @@ def shingles(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _content(s: np.ndarray) -> bytes:
+    """Identity of a set with a shingle."""
+    return np.array([T.mix(s).sum(), T.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum()], np.uint64).tobytes()
+
+
 def _min_hashes(s: np.ndarray, depth: int) -> np.ndarray:
     """The trees' first ``depth`` MinHash values of one set, a bounded number of shingles at a time."""
     seeds = _SEEDS.reshape(TREES, DEPTH)[:, :depth].ravel()
@@ -76,11 +81,17 @@ def _min_hashes(s: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _slim(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    text = F.col("text").cast("string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), text_id(text).alias("text_id"))
+
+
+def text_id(text: Column) -> Column:
+    """Tells the texts of one doc_id apart."""
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def signatures(docs: DataFrame, depth: int) -> DataFrame:
-    """``doc_id, content, labels``: set identity (null without a word) and the trees' label prefixes."""
+    """``doc_id, text_id, content, labels``: set identity (null without a word) and the trees' label prefixes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = T.text_buffer(batch.column(1))
@@ -91,17 +102,16 @@ def signatures(docs: DataFrame, depth: int) -> DataFrame:
                         content.append(None)
                         labels.append(None)
                         continue
-                    a, b = T.mix(s).sum(), T.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum()
-                    content.append(np.array([a, b], np.uint64).tobytes())
+                    content.append(_content(s))
                     m = _min_hashes(s, depth)
                     key = np.arange(TREES, dtype=np.uint64)
                     for k in range(depth):
                         key = T.mix(key * np.uint64(T._R) + m[:, k])
                     labels.append(key.tobytes())
-                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(content, pa.binary()),
-                                       pa.array(labels, pa.binary())], names=["doc_id", "content", "labels"])
+                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(content, pa.binary()),
+                                       pa.array(labels, pa.binary())], names=["doc_id", "text_id", "content", "labels"])
 
-    return _slim(docs).mapInArrow(run, "doc_id long, content binary, labels binary")
+    return _slim(docs).mapInArrow(run, "doc_id long, text_id long, content binary, labels binary")
 
 
 def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,12 +122,16 @@ def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles of the texts whose content is the node's: another text may have the same doc_id."""
     for batch in batches:
         buf, offs = T.text_buffer(batch.column(1))
         for i, j in T.row_blocks(offs, 2 << 20):
-            yield pa.record_batch([batch.column(0).slice(i, j - i), *(c.slice(i, j - i) for c in batch.columns[2:]),
-                                   pa.array([s.tobytes() for s in shingles(buf, offs[i:j + 1])], pa.binary())],
-                                  names=["node", "copies", "buckets", "shingles"])
+            sets = shingles(buf, offs[i:j + 1])
+            same = pa.array([len(x) > 0 and _content(x) == c for x, c in zip(sets, batch.column(2).slice(i, j - i).to_pylist())], pa.bool_())
+            part = pa.record_batch([batch.column(0).slice(i, j - i), *(c.slice(i, j - i) for c in batch.columns[3:]),
+                                    pa.array([x.tobytes() for x in sets], pa.binary())],
+                                   names=["node", "first", "copies", "buckets", "shingles"])
+            yield part.filter(same)
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -176,7 +190,9 @@ def _verify(threshold: float):
             if (new == root).all():
                 break
             root = new
-        return pa.table([pa.array(node), pa.array(links), pa.array(node[root])], names=["node", "links", "root"])
+        first = group.column("first").to_numpy()
+        return pa.table([pa.array(x) for x in (node, first, links, node[root], first[root])],
+                        names=["node", "first", "links", "root", "root_first"])
 
     return verify
 
@@ -218,14 +234,29 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, recall: float =
     similarity of ``threshold`` or more, ``class_id`` is the smallest doc_id
     of the rows connected by links.  A text without a word (or null) is linked
     to none and its class is its own id; a row with a null doc_id takes no
-    part (null class, 0 links).  doc_id is the key of a text: repeated rows count
-    as copies, other columns are not read.
+    part (null class, 0 links).  Repeated rows count as copies; different texts
+    of one doc_id are linked each by its own content.  Other columns are not read.
+    """
+    return _classes(docs, threshold, recall).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def representatives(docs: DataFrame, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
+    """``doc_id, text_id`` of one text of each class: of its smallest doc_id, and of the class's first content.
+
+    Each doc_id with texts without a word has one of them; rows with a null doc_id take no part.
     """
+    classes = _classes(docs, threshold, recall).where("doc_id = class_id and is_root")
+    return classes.groupBy("doc_id", "content").agg(F.min("text_id").alias("text_id")).select("doc_id", "text_id")
+
+
+def _classes(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """The rows' classes; nodes are numbers of the distinct contents, and ``is_root`` marks a class's first content."""
     depth = prefix_depth(threshold, recall)
     rows = cut_lineage(signatures(docs, depth))
     valid = rows.where(F.col("doc_id").isNotNull() & F.col("content").isNotNull())
     contents = cut_lineage(valid.groupBy("content", "labels")
-                           .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("node")))
+                           .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first"))
+                           .withColumn("node", F.monotonically_increasing_id()))
     places = contents.select("node", "labels").mapInArrow(_labels, "node long, bucket long")
     ranges = (places.groupBy("bucket")
               .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("h1"),
@@ -234,25 +265,29 @@ def similarity_classes(docs: DataFrame, threshold: float = 0.8, recall: float =
     members = places.join(ranges, "bucket")
     chunks = F.ceil(F.col("n") / CHUNK).cast("int")
     per_node = cut_lineage(members.groupBy("node").agg(F.collect_list(F.struct("bucket", chunks.alias("chunks"))).alias("ranges"))
-                           .join(contents.select("node", "copies"), "node"))
-    texts = _slim(docs).withColumnRenamed("doc_id", "node")
-    sets = texts.join(per_node, "node").select("node", "text", "copies", "ranges").mapInArrow(
-        _sets, "node long, copies long, buckets array<struct<bucket:long,chunks:int>>, shingles binary")
+                           .join(contents.select("node", "content", "first", "copies"), "node"))
+    texts = _slim(docs).select(F.col("doc_id").alias("first"), "text")
+    sets = texts.join(per_node, "first").select("node", "text", "content", "first", "copies", "ranges").mapInArrow(
+        _sets, "node long, first long, copies long, buckets array<struct<bucket:long,chunks:int>>, shingles binary")
     spread = (sets.withColumn("r", F.explode("buckets"))
               .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("r.chunks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("r.chunks") - 1)))
               .select(F.col("r.bucket").alias("bucket"), F.least("chunk", "other").alias("lo"),
-                      F.greatest("chunk", "other").alias("hi"), "chunk", "node", "copies",
+                      F.greatest("chunk", "other").alias("hi"), "chunk", "node", "first", "copies",
                       F.col("buckets.bucket").alias("buckets"), "shingles"))
     found = cut_lineage(spread.groupBy("bucket", "lo", "hi")
-                        .applyInArrow(_verify(threshold), "node long, links long, root long"))
+                        .applyInArrow(_verify(threshold), "node long, first long, links long, root long, root_first long"))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
-    roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
-    classes = (contents.select("content", "copies", "node").join(links, "node", "left").join(roots, "node", "left")
-               .select("content", F.coalesce("root", "node").alias("root"),
+    # the doc_id goes first, so a component's smallest node has its smallest doc_id
+    roots = components(found.select(F.struct("first", "node").alias("a"),
+                                    F.struct(F.col("root_first").alias("first"), F.col("root").alias("node")).alias("b")))
+    roots = roots.select("node.node", F.col("root.first").alias("root"))
+    classes = (contents.select("content", "copies", "first", "node").join(links, "node", "left").join(roots, "node", "left")
+               .select("content", F.coalesce("root", "first").alias("root"), F.col("root").isNull().alias("is_root"),
                        (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"), "copies"))
-    return (rows.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("content")).alias("content"))
+    return (rows.select("doc_id", "text_id", F.when(F.col("doc_id").isNotNull(), F.col("content")).alias("content"))
             .join(classes, "content", "left")
-            .select("doc_id", F.coalesce("root", "doc_id").alias("class_id"),
+            .select("doc_id", "text_id", "content", F.coalesce("root", "doc_id").alias("class_id"),
+                    F.coalesce("is_root", F.lit(True)).alias("is_root"),
                     F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
                     F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies")))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import corpus_pipeline
 from reelstar.llm import jaccard
 
 
@@ -79,3 +80,26 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "a long, b long")
     got = {r.node: r.root for r in jaccard.components(edges).collect()}
     assert got == {k: 0 for k in range(1, 61)} | {101: 100}
+
+
+def _clashing():
+    rng = random.Random(8)
+    a, b, c = (" ".join(rng.choice("abcdefghijk") * rng.randint(1, 9) for _ in range(80)) for _ in range(3))
+    # two texts of doc 1, each with a near copy of its own, and a repeated row
+    return [(1, a), (1, b), (1, a), (2, a + " end"), (3, b + " end"), (4, c), (5, c.upper()), (6, ""), (6, None), (None, a)]
+
+
+def test_texts_of_one_doc_id_have_their_own_links(spark):
+    rows = _clashing()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in jaccard.similarity_classes(docs).collect()), key=str)
+    assert got == _brute(rows)
+
+
+def test_stage_keeps_a_text_of_each_class(spark):
+    rows = _clashing()
+    docs = spark.createDataFrame([(t, "x", i) for i, t in rows], "text string, _text_of string, doc_id long")
+    out = corpus_pipeline.jaccard_stage(spark, docs, "")
+    assert out.columns == docs.columns
+    got = sorted(((r.doc_id, r.text or "") for r in out.collect()), key=str)
+    assert got == sorted([(1, rows[0][1]), (1, rows[1][1]), (4, rows[5][1]), (6, ""), (None, rows[0][1])], key=str)
