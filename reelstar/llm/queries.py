@@ -102,4 +102,53 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_lsh_forest_jaccard": op10_lsh_forest_jaccard,
 }
 
-ORACLE: dict[str, str] = {}
+# Naive measurements of every document: lists of words, lines and three-word windows.
+_LEDGER_SQL = r"""
+    WITH d AS MATERIALIZED (
+        SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+               regexp_extract_all(coalesce(text, ''), '[^ \t\n\x0B\f\r]+') AS w
+        FROM documents),
+    windows AS (
+        SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS k
+        FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+    repeated AS (
+        SELECT r, count(DISTINCT i + o) AS n
+        FROM (SELECT r, i, count(*) OVER (PARTITION BY r, k) AS c FROM windows), (VALUES (0), (1), (2)) AS v(o)
+        WHERE c > 1 GROUP BY r),
+    lines AS (
+        SELECT r, count(*) AS n, count(*) - count(DISTINCT line) AS dup
+        FROM (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d)
+        WHERE regexp_matches(line, '[^ \t\n\x0B\f\r]') GROUP BY r),
+    m AS (
+        SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+               length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(lines.dup, 0) AS n_dup_lines,
+               coalesce(repeated.n, 0) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines,
+               length(regexp_replace(t, '[^A-Za-z\x{C0}-\x{10FFFF}]', '', 'g')) AS n_letters,
+               length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper
+        FROM d LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r)),
+    f AS (
+        SELECT *, CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+                  + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 30 * n_lines THEN 8 ELSE 0 END
+                  + CASE WHEN word_chars < 2 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END
+                  + CASE WHEN 100 * n_letters < 50 * word_chars THEN 64 ELSE 0 END
+                  + CASE WHEN 100 * n_upper > 50 * n_letters THEN 128 ELSE 0 END AS fail_bits
+        FROM m)
+    SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, fail_bits % 4 > 0 AS base_failed,
+           fail_bits = 0 AS kept, fail_bits
+    FROM f"""
+
+ORACLE: dict[str, str] = {"op9_rule_ledger": _LEDGER_SQL}
+
+# Every other query and why it has no SQL text.
+NO_ORACLE: dict[str, str] = {
+    "op1_budgeted_windows": "digests of formatted windows; brute force and round trip in tests/llm",
+    "op2_nnpu_toxicity": "a trained classifier",
+    "op3_byte_cnn_language": "a trained network",
+    "op4_suffix_tree_lm": "a trained model; brute force in tests/llm",
+    "op5_distinct_word_bpe": "byte-pair merges; the tiktoken library in tests/llm",
+    "op6_ball_tree_search": "tests/test_oracle.py has no view of embeddings; its SQL is in tests/llm/test_oracles.py",
+    "op7_license_signatures": "ordered rules with suppression; brute force in tests/llm",
+    "op8_bestfit_packing": "word-piece merges; the tokenizers library in tests/llm",
+    "op10_lsh_forest_jaccard": "connected components of sampled candidates; brute force in tests/llm",
+    "pipeline": "a trained network and classifier decide the first two stages; tests/llm/test_pipeline.py",
+}
