@@ -5,12 +5,17 @@ slice of the vectors) builds a ball tree; queries visit its nodes in the order
 of the bound ``q.centre + |q| * radius`` and drop a node whose bound lies below
 the query's current k-th score.  That score is shared: each query starts with
 the k-th best score over a common set of pilot vectors, which are candidates
-themselves, so the bound is valid in every shard.  Queries meet shards in
+themselves, so the bound is valid in every shard (it is fixed: no shard sees a
+score that another one has raised).  Queries meet shards in
 blocks; per (query, shard) k rows at most are merged.
+
+Wide vectors, whose squared norm could leave 64-bit integers, stay out of the
+trees: every pair with one is scored with Python integers.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections.abc import Iterator
 
@@ -29,15 +34,56 @@ HIT = "query_id long, vec_id long, score long"
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
-    """``vec_id, x``: floor(256 * component) as 64-bit integers.
+    """``vec_id, x, c``: floor(256 * component) as 64-bit integers, or for a wide vector its components and no ``x``.
 
-    Left out: null vectors, null or non-finite components, null ids, and
-    components beyond 2**52 (their products are no exact integers).
+    Left out: null vectors, null or non-finite components, null ids.  Products
+    of two vectors with an ``x`` stay below 2**61.
     """
-    whole = F.transform("embedding", lambda v: F.floor(v.cast("double") * 256))
-    fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < 2.0**44))
-    return (vectors.where(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull()).where(fine)
-            .select(F.col("vec_id").cast("long").alias("vec_id"), whole.cast("array<long>").alias("x")))
+    c = F.transform("embedding", lambda v: v.cast("double"))
+    fine = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v.cast("double")) < float("inf")))
+    norm = F.aggregate("c", F.lit(0.0), lambda s, v: s + (F.abs(v) * 256 + 1) * (F.abs(v) * 256 + 1))
+    rows = (vectors.where(F.col("embedding").isNotNull() & F.col("vec_id").isNotNull()).where(fine)
+            .select(F.col("vec_id").cast("long").alias("vec_id"), c.alias("c")).withColumn("wide", norm >= 2.0**61))
+    whole = F.transform("c", lambda v: F.floor(v * 256)).cast("array<long>")
+    return rows.select("vec_id", F.when(~F.col("wide"), whole).alias("x"), F.when(F.col("wide"), F.col("c")).alias("c"))
+
+
+def _sortable(n: int) -> bytes:
+    """Bytes in the order of the integers."""
+    size = (abs(n).bit_length() + 7) // 8
+    raw = size.to_bytes(2, "big") + abs(n).to_bytes(size, "big")
+    return b"\1" + raw if n >= 0 else b"\0" + bytes(255 - b for b in raw)
+
+
+def _integers(x: list[int] | None, c: list[float] | None) -> list[int]:
+    """Quantised components of any size; doubles of 2**53 or more are whole."""
+    return x if c is None else [int(v) * 256 if abs(v) >= 2.0**53 else math.floor(v * 256) for v in c]
+
+
+def _exact_hits(store: DataFrame, queries: DataFrame, shards: int, k: int) -> DataFrame:
+    """``query_id, vec_id, score, sort_key`` of each query's k best in each shard, in Python integers; no score beyond 64 bits."""
+    def rows(t: pa.Table) -> list[tuple[int, list[int]]]:
+        return [(i, _integers(x, c)) for i, x, c in zip(*(t.column(n).to_pylist() for n in ("vec_id", "x", "c")))]
+
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        out, some = [], rows(left)
+        for q, x in rows(right):
+            scored = ((sum(a * b for a, b in zip(x, y)), i) for i, y in some if i != q)
+            out += [(q, i, s if -(1 << 63) <= s < 1 << 63 else None, _sortable(s))
+                    for s, i in heapq.nsmallest(k, scored, key=lambda p: (-p[0], p[1]))]
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+        return pa.table([pa.array(v, t) for v, t in zip(zip(*out) if out else [[]] * 4, types)],
+                        names=["query_id", "vec_id", "score", "sort_key"])
+
+    dealt = store.withColumn("shard", F.pmod(F.xxhash64(F.lit(6), "vec_id", "x", "c"), F.lit(shards)).cast("int"))
+    asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    return dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(look, HIT + ", sort_key binary")
+
+
+def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = pa.array([_sortable(n) for n in batch.column(2).to_pylist()], pa.binary())
+        yield pa.record_batch([*batch.columns, keys], names=["query_id", "vec_id", "score", "sort_key"])
 
 
 def _matrix(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -60,7 +106,7 @@ def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     top = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * max(q.shape[1], 1)
     if top < 2.0**53:
         return (q.astype(np.float64) @ x.T.astype(np.float64)).astype(np.int64)
-    return q @ x.T
+    return q @ x.T  # below 2**61 in the end, so it may wrap on the way
 
 
 class BallTree:
@@ -69,6 +115,7 @@ class BallTree:
     def __init__(self, x: np.ndarray):
         self.x = x
         self.points = x.astype(np.float64)
+        self.slack = float(np.linalg.norm(self.points, axis=1).max(initial=0)) * 1e-15 * (1000 + x.shape[1])
         self.nodes: list[tuple[np.ndarray, float, np.ndarray, int, int]] = []
         todo = [(np.arange(len(x)), None)]
         while todo:
@@ -99,7 +146,7 @@ class BallTree:
             node, some = todo.pop()
             centre, radius, rows, left, right = self.nodes[node]
             bound = qf[some] @ centre + norm[some] * radius
-            some = some[bound * (1 + 1e-12) + 1e-3 >= np.maximum(floor[some], best[some, -1])]
+            some = some[bound + norm[some] * self.slack + 1e-3 >= np.maximum(floor[some], best[some, -1])]
             if not len(some):
                 continue
             if left >= 0:
@@ -127,13 +174,29 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
     Queries are the rows whose id is divisible by ``every``.  Ties go to the
     smaller vec_id; fewer candidates give fewer rows; no vector, no row.
     Repeated ids: each row is a candidate, a query never meets its own id, and
-    of equal (id, score) rows each has its own rank.
+    of equal (id, score) rows each has its own rank.  A score beyond 64 bits is
+    ranked by its exact value and returned as null.
     """
     spark = vectors.sparkSession
-    rows = cut_lineage(quantised(vectors))
-    n = rows.count()
-    if not n:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    every_row = cut_lineage(quantised(vectors))
+    n, n_wide = every_row.agg(F.count("x"), F.count("c")).first()
+    rows, wide = every_row.where(F.col("x").isNotNull()), every_row.where(F.col("c").isNotNull())
+    hits = _narrow_hits(rows.select("vec_id", "x"), n, k, every) if n else spark.createDataFrame([], HIT)
+    order = "score"
+    if n_wide:
+        asked = F.col("vec_id") % every == 0
+        hits = (hits.mapInArrow(_with_keys, HIT + ", sort_key binary")
+                .unionByName(_exact_hits(every_row, wide.where(asked).distinct(), math.ceil((n + n_wide) / SHARD_ROWS), k))
+                .unionByName(_exact_hits(wide, rows.where(asked).distinct(), math.ceil(n_wide / SHARD_ROWS), k)))
+        order = "sort_key"
+    best = Window.partitionBy("query_id").orderBy(F.col(order).desc(), "vec_id")
+    return (hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+            .select("query_id", "rank", "vec_id", "score"))
+
+
+def _narrow_hits(rows: DataFrame, n: int, k: int, every: int) -> DataFrame:
+    """Hits among the ``n`` vectors of 64-bit integers that may belong to the k best."""
+    spark = rows.sparkSession
     shards = max(1, math.ceil(n / SHARD_ROWS))
     # a bounded common set: PILOTS rows of smallest hash
     pilots = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PILOTS).toArrow()
@@ -173,7 +236,4 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
             out = [np.concatenate(c) for c in zip(*parts)]
         return pa.table([pa.array(c) for c in out], names=["query_id", "vec_id", "score"])
 
-    hits = store.groupBy("shard").cogroup(queries.groupBy("shard")).applyInArrow(look, HIT)
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return store.groupBy("shard").cogroup(queries.groupBy("shard")).applyInArrow(look, HIT)

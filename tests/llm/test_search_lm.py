@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -39,6 +40,23 @@ def test_search_small_tables(spark):
     assert [tuple(r) for r in search.top_k(two).collect()] == [(0, 1, 7, 256 * 128)]
 
 
+def test_large_components_count_and_do_not_overflow(spark, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_ROWS", 40)
+    monkeypatch.setattr(search, "LEAF", 4)
+    rng = np.random.default_rng(9)
+    sizes = [1.0, 2.0**21, 2.0**30, 2.0**43, 2.0**60, 1e300, 1.5e308]
+    rows = [(i, [float(v) for v in rng.uniform(-1, 1, 4) * (sizes[i % 7] if i % 3 else 1.0)]) for i in range(150)]
+    rows += [(200, [float("inf"), 0.0, 0.0, 0.0]), (201, None)]
+    exact = [(i, [math.floor(Fraction(c) * 256) for c in v]) for i, v in rows[:150]]
+    want = []
+    for i, q in exact:
+        if i % 50 == 0 or i % 50 == 25:
+            best = sorted((-sum(a * b for a, b in zip(q, x)), j) for j, x in exact if j != i)[:5]
+            want += [(i, r + 1, j, -s if -s < 1 << 63 else None) for r, (s, j) in enumerate(best)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, search.top_k(df, every=25).collect()), key=lambda r: r[:2]) == sorted(want, key=lambda r: r[:2])
+
+
 @pytest.fixture(scope="module")
 def texts():
     rng = random.Random(2)
