@@ -12,7 +12,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelstar.llm import bestfit, byte_bpe, chat, jaccard, language, licenses, rules, search, suffix_tree, toxicity
+from reelstar.llm import (
+    bestfit, byte_bpe, chat, jaccard, language, licenses, prefix_trie, rule_ensemble, rules, search, suffix_tree, toxicity,
+    whitening,
+)
 from reelstar.llm.folds import fold
 
 
@@ -89,6 +92,25 @@ def op10_lsh_forest_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similarity_classes(_table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened leading components of all embeddings."""
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return whitening.whiten(rows, whitening.fit(rows))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of all rebuilt conversations."""
+    return prefix_trie.trie(_table(spark, sf_dir, "conversations"))
+
+
+def op13_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned outside fold 0 of 5."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = rule_ensemble.assess(docs, _table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_budgeted_windows": op1_budgeted_windows,
     "op2_nnpu_toxicity": op2_nnpu_toxicity,
@@ -100,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_rule_ledger": op9_rule_ledger,
     "op8_bestfit_packing": op8_bestfit_packing,
     "op10_lsh_forest_jaccard": op10_lsh_forest_jaccard,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_rule_ensemble": op13_rule_ensemble,
 }
 
 # Naive measurements of every document: lists of words, lines and three-word windows.
@@ -137,7 +162,49 @@ _LEDGER_SQL = r"""
            fail_bits = 0 AS kept, fail_bits
     FROM f"""
 
-ORACLE: dict[str, str] = {"op9_rule_ledger": _LEDGER_SQL}
+# Every query vector against all others.
+_SEARCH_SQL = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda c: floor(CAST(c AS DOUBLE) * 256)) AS x FROM embeddings),
+    s AS (
+        SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+    FROM s QUALIFY rank <= 5"""
+
+# Every rebuilt conversation as a list of turns; a node is a prefix, its subtree the nodes it begins.
+# crc32 runs bit by bit over the decimal id: 0xEDB88320 is the reversed polynomial.
+_TRIE_SQL = r"""
+    WITH RECURSIVE own AS (
+        SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                             ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+        FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    crc(conv_id, s, k, v) AS (
+        SELECT conv_id, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM own
+        UNION ALL
+        SELECT conv_id, s, k + 1, CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END
+        FROM (SELECT conv_id, s, k, CASE WHEN k % 8 = 0 THEN xor(v, CAST(ascii(substr(s, CAST(k // 8 + 1 AS BIGINT), 1)) AS BIGINT)) ELSE v END AS x
+              FROM crc WHERE k < 8 * length(s))),
+    head AS (SELECT conv_id, xor(v, 4294967295) % 9 AS h FROM crc WHERE k = 8 * length(s)),
+    built AS (
+        SELECT o.conv_id, list_concat(coalesce(b.turns[1:h], []), o.turns[h + 1:]) AS turns
+        FROM own o JOIN head USING (conv_id) LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+    member AS (SELECT conv_id, d, turns[1:d] AS node, turns[d].t AS said, d = len(turns) AS at_end
+               FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM built)),
+    node AS (
+        SELECT node, d, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(any_value(strlen(said)), 0) AS saved,
+               sha256(coalesce(string_agg(CASE WHEN at_end THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '')) AS ends
+        FROM member GROUP BY node, d),
+    kids AS (SELECT node[1:d - 1] AS node, count(*) AS n FROM node WHERE d > 0 GROUP BY 1),
+    below AS (
+        SELECT up AS node, sum(saved) AS saved, count(*) FILTER (WHERE leaf) AS leaves
+        FROM (SELECT n.node[1:unnest(range(0, n.d + 1))] AS up, n.saved, kids.n IS NULL AS leaf FROM node n LEFT JOIN kids USING (node))
+        GROUP BY up)
+    SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children,
+           below.leaves AS n_leaves, CAST(below.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+    FROM node n JOIN below USING (node) LEFT JOIN kids USING (node) LEFT JOIN node p ON n.d > 0 AND p.node = n.node[1:n.d - 1]"""
+
+ORACLE: dict[str, str] = {"op6_ball_tree_search": _SEARCH_SQL, "op9_rule_ledger": _LEDGER_SQL, "op12_prefix_trie": _TRIE_SQL}
 
 # Every other query and why it has no SQL text.
 NO_ORACLE: dict[str, str] = {
@@ -146,9 +213,10 @@ NO_ORACLE: dict[str, str] = {
     "op3_byte_cnn_language": "a trained network",
     "op4_suffix_tree_lm": "a trained model; brute force in tests/llm",
     "op5_distinct_word_bpe": "byte-pair merges; the tiktoken library in tests/llm",
-    "op6_ball_tree_search": "tests/test_oracle.py has no view of embeddings; its SQL is in tests/llm/test_oracles.py",
     "op7_license_signatures": "ordered rules with suppression; brute force in tests/llm",
     "op8_bestfit_packing": "word-piece merges; the tokenizers library in tests/llm",
+    "op11_embedding_whitening": "eigenvectors; brute force in tests/llm",
+    "op13_rule_ensemble": "a trained classifier; brute force of its measurements and rules, held-out accuracy in tests/llm",
     "op10_lsh_forest_jaccard": "connected components of sampled candidates; brute force in tests/llm",
     "pipeline": "a trained network and classifier decide the first two stages; tests/llm/test_pipeline.py",
 }
