@@ -6,19 +6,30 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelstar.functions import money, parse_date, parse_invoice_ts, season, surrogate_key, xml_tag
+from reelstar.operators import bayes
 from reelstar.operators import clean as C
+from reelstar.operators import incremental as inc
 from reelstar.operators import marts as M
 from reelstar.operators import quality as Q
+from reelstar.operators import serial as N
 from reelstar.operators import staging as S
 from reelstar.plans import feeds
 from reelstar.plans import queries as A
 from reelstar.plans.warehouse import Warehouse
+from reelstar.session import scratch_folder
 from reelstar.sources import ledger as L
-from reelstar.sources.files import table
+from reelstar.sources.files import list_files, table
+from reelstar.sources.sinks import export_csv
+from reelstar.streaming import ingest as I
+
+REVIEW_IDS = T.StructType([T.StructField("cid", T.LongType()), T.StructField("id_review", T.LongType())])
+LOG_FILE = T.StructType([T.StructField("id_review", T.LongType()), T.StructField("logs", T.StringType())])
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -278,20 +289,64 @@ def _dq(kind: str | None, mode: str = M.INTENT) -> Query:
 
 # -- incremental loading ---------------------------------------------------------
 
-def _listing_and_ledger(spark, d):
-    listing = feeds.source_paths(spark, d)
-    even = F.regexp_extract("path", r"(\d+)$", 1).try_cast("bigint") % 2 == 0
-    return listing, listing.where(even)
+LATE_EVERY = 5            # files with a fifth of the rows arrive late
+FILES_PER_TRIGGER = 8
+ROWS_PER_FILE = 100_000
+
+
+def _file_feed(spark, d):
+    """Review rows as CSV files, one folder per source; files of the sources with an
+    even number are ingested (and so in the ledger), the others arrived since."""
+    folder = scratch_folder(spark, "feed")
+    rows = feeds.review_sources(spark, d)
+    even = F.coalesce(F.regexp_extract("source", r"(\d+)$", 1).try_cast("bigint") % 2 == 0, F.lit(False))
+    export_csv(rows.where(even), f"{folder}/in", "append", ["source"], ROWS_PER_FILE)
+    ledger = f"{folder}/ledger"
+    I.ingest_with_ledger(spark, f"{folder}/in", ledger, REVIEW_IDS, lambda df: df, f"{folder}/out")
+    export_csv(rows.where(~even), f"{folder}/in", "append", ["source"], ROWS_PER_FILE)
+    return list_files(spark, f"{folder}/in", "*.csv"), L.read_ledger(spark, ledger)
+
+
+def _folders(files: DataFrame) -> DataFrame:
+    return files.select(F.url_decode(F.regexp_extract("path", "/(source=[^/]*)/[^/]*$", 1)).alias("path")).distinct()
 
 
 def ingest_new_files(spark, d):
-    listing, ledger = _listing_and_ledger(spark, d)
-    return L.new_files(listing, ledger)
+    """Folders of the listed files that the ledger does not hold."""
+    listing, ledger = _file_feed(spark, d)
+    return _folders(L.new_files(listing, ledger))
 
 
 def ledger_merge(spark, d):
-    listing, ledger = _listing_and_ledger(spark, d)
-    return L.merge(ledger, L.new_files(listing, ledger)).select("path")
+    """Folders of the ledger's files once the new ones are added."""
+    listing, ledger = _file_feed(spark, d)
+    return _folders(L.merge(ledger, L.new_files(listing, ledger)))
+
+
+def ingest_files_roundtrip(spark, d):
+    """Logs written as CSV files and ingested by the file stream, a bounded number of
+    files at a time: the first run dies after a batch's data write, the next
+    replays it, a late set of files is picked up alone, a last run finds nothing."""
+    folder = scratch_folder(spark, "stream")
+    logs = feeds.raw_logs(spark, d)
+    late = F.crc32(F.col("logs").cast("binary")) % LATE_EVERY == 0
+
+    def run(**kw):
+        return I.ingest_stream(spark, f"{folder}/in", LOG_FILE, S.parse_review_logs, f"{folder}/out",
+                               max_files_per_trigger=FILES_PER_TRIGGER, **kw)
+
+    export_csv(logs.where(~late), f"{folder}/in", "append", rows_per_file=ROWS_PER_FILE)
+    try:
+        run(fail_before_commit=True)
+    except StreamingQueryException as e:
+        if "InjectedFailure" not in str(e):
+            raise
+    run()
+    export_csv(logs.where(late), f"{folder}/in", "append", rows_per_file=ROWS_PER_FILE)
+    run()
+    if run():
+        raise RuntimeError("a file was ingested twice")
+    return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
 def insert_new_purchases(spark, d):
@@ -305,6 +360,57 @@ def purchase_ids(spark, d):
     return C.dense_serial_id(staged, ["invoice_number", "stock_code", "quantity", "unit_price"])
 
 
+def purchase_ids_incremental(spark, d):
+    """Ids of two appended batches; the second dies after its reservation and is
+    appended again, and the first is appended once more."""
+    folder = scratch_folder(spark, "ids")
+    staged = _w(spark, d).stg_user_purchase
+    even = F.coalesce(F.col("invoice_number").try_cast("bigint") % 2 == 0, F.lit(False))
+    order = ["invoice_number", "stock_code", "quantity", "unit_price"]
+    first, second = staged.where(even), staged.where(~even)
+    N.append_with_ids(first, folder, "1", order)
+    try:
+        N.append_with_ids(second, folder, "2", order, fail_before_write=True)
+    except I.InjectedFailure:
+        N.append_with_ids(second, folder, "2", order)
+    N.append_with_ids(first, folder, "1", order)
+    return N.read(spark, folder).drop("batch")
+
+
+def fact_incremental(spark, d):
+    """The fact after three folded batches, one of them folded twice, a compaction
+    between, and a batch that the compaction already holds."""
+    folder = scratch_folder(spark, "fact")
+    w = _w(spark, d)
+
+    def fold(k):
+        part = {"purchases": F.crc32(F.col("invoice_number").cast("binary")), "reviews": F.col("review_id"), "logs": F.col("log_id")}
+        tables = {"purchases": w.stg_user_purchase, "reviews": w.stg_classified_movie_review, "logs": w.stg_review_logs}
+        return inc.fold(folder, str(k), **{n: t.where(F.pmod(part[n], F.lit(3)) == k) for n, t in tables.items()})
+
+    fold(0)
+    fold(1)
+    fold(1)
+    inc.compact(spark, folder)
+    if fold(0):
+        raise RuntimeError("a compacted batch was folded again")
+    fold(2)
+    return _fact_out(inc.fact(spark, folder))
+
+
+NB_FOLDS = 5
+
+
+def review_sentiment_nb(spark, d):
+    """Naive Bayes sentiment of all reviews, learned outside fold 0 of 5."""
+    texts = feeds.review_texts(spark, d).select("cid", "id_review", "review_str", "label")
+    held = F.pmod("id_review", F.lit(NB_FOLDS)) == 0
+    scored = bayes.classify(texts, bayes.fit(texts.where(~held)))
+    return S.classify_output_to_flag(scored).select(
+        F.col("id_review").alias("review_id"), F.col("cid").alias("user_id"), held.alias("held_out"), "sentiment",
+        "positive_review", "margin")
+
+
 def classify_reviews_ml(spark, d):
     from reelstar.operators.classify import classify_reviews
     texts = feeds.review_texts(spark, d)
@@ -360,4 +466,8 @@ QUERIES: dict[str, Query] = {
     "insert_new_purchases": insert_new_purchases,
     "purchase_ids": purchase_ids,
     "classify_reviews_ml": classify_reviews_ml,
+    "review_sentiment_nb": review_sentiment_nb,
+    "ingest_files_roundtrip": ingest_files_roundtrip,
+    "purchase_ids_incremental": purchase_ids_incremental,
+    "fact_incremental": fact_incremental,
 }

@@ -138,7 +138,7 @@ def raw_logs(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
-def source_paths(spark: SparkSession, data_dir: str) -> DataFrame:
-    """Distinct document sources, used as the file names of an incoming listing."""
+def review_sources(spark: SparkSession, data_dir: str) -> DataFrame:
+    """Review ids with the source that sent them (the folder of its files)."""
     return table(spark, data_dir, "documents").select(
-        F.col("source").alias("path")).distinct()
+        F.expr(f"doc_id div {REVIEWS_PER_USER}").alias("cid"), F.col("doc_id").alias("id_review"), "source")

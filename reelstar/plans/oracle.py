@@ -392,10 +392,39 @@ ORACLE: dict[str, str] = {
     "dq_report": dq_sql(None),
     "dq_report_asis": dq_sql(None, as_written=True),
     "ingest_new_files": sql((), """
-        SELECT path FROM (SELECT DISTINCT source AS path FROM documents) l
-        WHERE path NOT IN (SELECT DISTINCT source FROM documents
-                           WHERE TRY_CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) % 2 = 0)"""),
-    "ledger_merge": sql((), "SELECT DISTINCT source AS path FROM documents"),
+        SELECT DISTINCT 'source=' || source AS path FROM documents
+        WHERE NOT coalesce(TRY_CAST(regexp_extract(source, '(\\d+)$', 1) AS BIGINT) % 2 = 0, false)"""),
+    "ledger_merge": sql((), "SELECT DISTINCT 'source=' || source AS path FROM documents"),
+    "ingest_files_roundtrip": sql(("review_logs",), """
+        SELECT log_id, log_date, device, os, location, ip, phone_number FROM review_logs"""),
+    "fact_incremental": sql(("fact_movie_analytics",), _FACT_OUT.format("fact_movie_analytics")),
+    "purchase_ids_incremental": sql(("stg_user_purchase",), """
+        WITH p AS (SELECT *, coalesce(TRY_CAST(invoice_number AS BIGINT) % 2 = 0, false) AS early FROM stg_user_purchase)
+        SELECT row_number() OVER (ORDER BY NOT early, invoice_number, stock_code, quantity, unit_price) AS id,
+               * EXCLUDE (early)
+        FROM p"""),
+    "review_sentiment_nb": sql((), r"""
+        WITH r AS (SELECT d.doc_id AS review_id, d.doc_id // 2 AS user_id, d.doc_id % 5 = 0 AS held_out,
+                          coalesce(d.text, '') AS t, CASE lb.quality WHEN 0 THEN 'negative' WHEN 1 THEN 'positive' END AS label
+                   FROM documents d LEFT JOIN labels lb ON d.doc_id = lb.doc_id),
+             words AS (SELECT review_id, held_out, label, unnest(regexp_extract_all(t,
+                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+|[\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7E]+')) AS token FROM r),
+             counts AS (SELECT token, count(*) FILTER (WHERE label = 'negative') AS n0,
+                               count(*) FILTER (WHERE label = 'positive') AS n1
+                        FROM words WHERE NOT held_out AND label IS NOT NULL GROUP BY token),
+             total AS (SELECT count(*) AS v, sum(n0) AS t0, sum(n1) AS t1 FROM counts),
+             weights AS (SELECT token, CAST(round(ln((n0 + 1) / CAST(t0 + v AS DOUBLE)), 8) AS DECIMAL(28,8)) AS w0,
+                                CAST(round(ln((n1 + 1) / CAST(t1 + v AS DOUBLE)), 8) AS DECIMAL(28,8)) AS w1
+                         FROM counts, total),
+             priors AS (SELECT CAST(round(ln(count(*) FILTER (WHERE label = 'negative') / CAST(count(*) AS DOUBLE)), 8) AS DECIMAL(28,8)) AS p0,
+                               CAST(round(ln(count(*) FILTER (WHERE label = 'positive') / CAST(count(*) AS DOUBLE)), 8) AS DECIMAL(28,8)) AS p1
+                        FROM r WHERE NOT held_out AND label IS NOT NULL),
+             sums AS (SELECT review_id, sum(w0) AS s0, sum(w1) AS s1 FROM words JOIN weights USING (token) GROUP BY review_id),
+             scored AS (SELECT review_id, user_id, held_out, coalesce(s0, 0) + p0 AS s0, coalesce(s1, 0) + p1 AS s1
+                        FROM r LEFT JOIN sums USING (review_id), priors)
+        SELECT review_id, user_id, held_out, CASE WHEN s0 >= s1 THEN 'negative' ELSE 'positive' END AS sentiment,
+               CAST(CASE WHEN s0 >= s1 THEN 0 ELSE 1 END AS INTEGER) AS positive_review, CAST(abs(s0 - s1) AS DOUBLE) AS margin
+        FROM scored"""),
     "insert_new_purchases": sql(("stg_user_purchase",), """
         SELECT invoice_number, stock_code, detail, quantity, invoice_date, unit_price, customer_id, country
         FROM (SELECT *, row_number() OVER (PARTITION BY invoice_number, stock_code

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -91,6 +92,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` to the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

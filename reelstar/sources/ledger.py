@@ -18,23 +18,25 @@ from reelstar.schemas import LEDGER
 MANIFEST = "path string, batch string"
 
 
-def _create(spark: SparkSession, location: str, schema) -> None:
+def create_table(spark: SparkSession, location: str, schema, partition_by: str | None = None) -> None:
+    """An empty Parquet table at ``location`` if there is none."""
     try:
         spark.read.schema(schema).parquet(location)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        spark.createDataFrame([], schema).write.mode("append").parquet(location)
+        writer = spark.createDataFrame([], schema).write.mode("append")
+        (writer.partitionBy(partition_by) if partition_by else writer).parquet(location)
 
 
 def create_ledger(spark: SparkSession, location: str) -> None:
     """Create the ledger table at ``location`` if it does not exist."""
-    _create(spark, location, LEDGER)
+    create_table(spark, location, LEDGER)
 
 
 def read_manifest(spark: SparkSession, location: str) -> DataFrame:
     """Files dealt to batches so far: (path, batch)."""
-    _create(spark, location, MANIFEST)
+    create_table(spark, location, MANIFEST)
     return spark.read.schema(MANIFEST).parquet(location)
 
 

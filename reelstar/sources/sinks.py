@@ -50,12 +50,14 @@ def materialize(df: DataFrame, name: str, fmt: str = "parquet",
     return df.sparkSession.table(name)
 
 
-def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def export_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = (),
+               rows_per_file: int = 0) -> None:
     """Uncompressed CSV with a header row, quoted as ``csv_to_table`` reads it:
     quotes are doubled, blanks kept, an empty text is ``""`` and a null nothing.
-    A row of one null column would be a blank line, which no reader returns."""
-    (df.write.mode(mode).option("header", True).option("compression", "none").option("escape", '"')
-     .option("lineSep", "\n").option("ignoreLeadingWhiteSpace", False)
+    A row of one null column would be a blank line, which no reader returns.
+    ``rows_per_file`` bounds the files, so that a later load can be bounded."""
+    (df.write.mode(mode).partitionBy(*partition_by).option("header", True).option("compression", "none").option("escape", '"')
+     .option("lineSep", "\n").option("ignoreLeadingWhiteSpace", False).option("maxRecordsPerFile", rows_per_file)
      .option("ignoreTrailingWhiteSpace", False).csv(path))
 
 

@@ -92,10 +92,12 @@ def ingest_with_ledger(spark: SparkSession, source_dir: str, ledger_path: str,
 def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
                   transform: Transform, sink_path: str, checkpoint: str | None = None,
                   glob: str = "*.csv", multiline: bool = False,
-                  max_files_per_trigger: int | None = None) -> int:
+                  max_files_per_trigger: int | None = None, fail_before_commit: bool = False) -> int:
     """Run the file stream until every file present now is processed.
 
-    Returns the number of micro-batches that ran.  The checkpoint defaults to
+    Returns the number of micro-batches that ran.  A micro-batch whose data
+    was written but not committed (``fail_before_commit`` stops there) is
+    replayed by the next run into the same folder.  The checkpoint defaults to
     a hidden folder in the sink, one per source: it lives as long as the data
     it describes, and two sinks of one source do not share it.
     """
@@ -115,6 +117,8 @@ def ingest_stream(spark: SparkSession, source_dir: str, schema: T.StructType,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch)
         out.write.mode("overwrite").parquet(f"{sink}/batch={tag}-{batch_id}")
+        if fail_before_commit:
+            raise InjectedFailure("stopped after the data write, before the stream's commit")
         batches.append(batch_id)
 
     query = (stream.writeStream.foreachBatch(write_batch)

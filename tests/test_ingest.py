@@ -1,9 +1,11 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelstar.schemas import RAW_LOG, RAW_REVIEW
 from reelstar.sources.files import list_files, read_csv
 from reelstar.sources.ledger import read_ledger
+from reelstar.sources.sinks import export_csv
 from reelstar.streaming.ingest import InjectedFailure, ingest_stream, ingest_with_ledger
 
 REVIEWS = 'cid,review_str,id_review\n1,"He said ""great""\nand left",10\n2,plain,11\n'
@@ -102,3 +104,22 @@ def test_malformed_field_is_kept_in_the_corrupt_column(spark, tmp_path):
     _write(tmp_path, "r.csv", "id_review,logs\n1,<log/>\nabc,<log/>\n")
     rows = read_csv(spark, str(tmp_path / "r.csv"), RAW_LOG, corrupt_col="_bad").collect()
     assert [(r.id_review, r._bad) for r in rows] == [(1, None), (None, "abc,<log/>")]
+
+
+def test_stream_replays_a_batch_that_was_written_but_not_committed(spark, tmp_path):
+    from pyspark.errors import StreamingQueryException
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = T.StructType([T.StructField("id_review", T.LongType()), T.StructField("logs", T.StringType())])
+    rows = spark.range(200).select(F.col("id").alias("id_review"), F.concat(F.lit("<os>"), "id", F.lit("</os>")).alias("logs"))
+    export_csv(rows.where("id_review < 150").repartition(6), src, "append")
+
+    def run(**kw):
+        return ingest_stream(spark, src, schema, lambda df: df, out, max_files_per_trigger=2, **kw)
+
+    with pytest.raises(StreamingQueryException, match="InjectedFailure"):
+        run(fail_before_commit=True)
+    assert 0 < spark.read.parquet(out).count() < 150        # one batch is there, uncommitted
+    assert run() == 3
+    export_csv(rows.where("id_review >= 150").coalesce(1), src, "append", rows_per_file=20)     # late: files of 20, 20, 10 rows
+    assert run() == 2 and run() == 0
+    assert sorted(r.id_review for r in spark.read.parquet(out).collect()) == list(range(200))
