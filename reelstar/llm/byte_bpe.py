@@ -1,13 +1,13 @@
 """Byte-level BPE by a global shuffle of distinct words.
 
-Pre-tokens are exploded with their positions per block of documents (a few MB
-of text): each distinct word of a block is one row, and the block's positions
-are one compressed array of word numbers.  Rows meet by word, each distinct
-word is encoded once, the ids return to their block and are laid out by
-position.  Words travel packed: a block sends one row per slice of the words'
-hash space, the slices are shuffled, and within a slice equal words of all
-blocks meet.  A word occurs once per block at most, so the most frequent word
-is no hot key, and a block is bounded by its bytes (one document at least).
+Texts are split once.  A block of documents (a few MB of text) sends one row
+with its positions, an array of word numbers, and one row per slice of the
+words' hash space with its distinct words of that slice.  The slices are
+shuffled; within a slice equal words of all blocks meet and each is encoded
+once; the ids return to their block, where they are laid out by position.  The
+positions travel with the slices, so nothing is split or stored twice.  A word
+occurs once per block at most, so the most frequent word is no hot key, and a
+block is bounded by its bytes (one document at least).
 """
 
 from __future__ import annotations
@@ -29,19 +29,31 @@ from pyspark.sql import functions as F
 from reelstar.llm import textscan as T
 
 BLOCK_BYTES = 4 << 20
-SLICES = 256       # of the words' hash space; a task holds one slice's distinct words at a time
+WINDOW = 1 << 20   # characters split at a time
+SLICES = (256, 1 << 14)   # fewest and most slices of the words' hash space; a task holds one slice's distinct words
+TOKENS = 1 << 18   # of one text decoded or digested at a time
+ROWS = "block long, slice int, words binary, codes binary, doc_ids array<long>, ptr array<long>"
+_ARROW = pa.schema([("block", pa.int64()), ("slice", pa.int32()), ("words", pa.binary()), ("codes", pa.binary()),
+                    ("doc_ids", pa.list_(pa.int64())), ("ptr", pa.list_(pa.int64()))])
+
+
+def _ranks(ranks_text: bytes) -> dict[bytes, int]:
+    return {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_text.splitlines())}
+
+
+@lru_cache(maxsize=2)
+def _core(ranks_text: bytes) -> object:
+    return tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=_ranks(ranks_text), special_tokens={})._core_bpe
 
 
 @lru_cache(maxsize=2)
-def _vocabulary(ranks_text: bytes) -> tuple[object, np.ndarray, np.ndarray]:
-    """BPE core, and the token-byte table (all bytes, offsets by id)."""
-    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks_text.splitlines())}
+def _token_bytes(ranks_text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The token-byte table: all bytes, offsets by id."""
+    ranks = _ranks(ranks_text)
     table = [b""] * (max(ranks.values()) + 1)
     for token, i in ranks.items():
         table[i] = token
-    offs = np.concatenate([[0], np.cumsum([len(t) for t in table])])
-    core = tiktoken.Encoding("words", pat_str=r"\S+", mergeable_ranks=ranks, special_tokens={})._core_bpe
-    return core, np.frombuffer(b"".join(table), np.uint8), offs
+    return np.frombuffer(b"".join(table), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in table])])
 
 
 def _gather(data: np.ndarray, offs: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,30 +68,71 @@ def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
+def _windows(text: str) -> Iterator[str]:
+    """Parts of about ``WINDOW`` characters of a long text, cut between a letter or
+    digit and white space, where every pre-token ends; a text without such a
+    place is one part."""
+    at = 0
+    while len(text) - at > WINDOW:
+        cut = next((i for i in range(at + WINDOW, len(text)) if text[i].isspace() and text[i - 1].isalnum()), len(text))
+        yield text[at:cut]
+        at = cut
+    yield text[at:]
+
+
+def _planes(codes: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, all lowest bytes first: small numbers leave little."""
+    return zlib.compress(np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _from_planes(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
 def _blocks(batches: Iterator[pa.RecordBatch], pattern, slices: int):
-    """Per block: id, document ids, word numbers, document offsets, and the
-    distinct words of each slice; numbers follow the slices' order."""
+    """Per block: id, document ids, packed positions, document offsets, and the distinct words of each slice.
+
+    Words are numbered by slice, then by frequency; positions hold frequency
+    ranks and the number of each rank (rising among words of one frequency).
+    """
     part, seq = TaskContext.get().partitionId(), 0
     for batch in batches:
         _, offs = T.text_buffer(batch.column(1))
         for i, j in T.row_blocks(offs, BLOCK_BYTES):
             number: dict[str, int] = {}
             codes, ptr = [], [0]
-            for text in batch.column(1).slice(i, j - i).to_pylist():
-                found = [number.setdefault(w, len(number)) for w in pattern.findall(text or "")]
-                codes.append(np.array(found, np.uint32))
-                ptr.append(ptr[-1] + len(found))
+            for text in batch.column(1).slice(i, j - i):
+                found = 0
+                for window in _windows(text.as_py() or ""):
+                    codes.append(np.array([number.setdefault(w, len(number)) for w in pattern.findall(window)], np.uint32))
+                    found += len(codes[-1])
+                ptr.append(ptr[-1] + found)
             words = [w.encode() for w in number]
             at = np.array([zlib.crc32(w) % slices for w in words], np.int64)
             order = np.argsort(at, kind="stable")
-            place = np.empty(len(order), np.uint32)
-            place[order] = np.arange(len(order), dtype=np.uint32)
+            place = np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            flat = np.concatenate(codes)
+            count = np.bincount(flat, minlength=len(words))
+            by_count = np.lexsort((place, -count))
+            rank = np.empty(len(order), np.uint32)
+            rank[by_count] = np.arange(len(order), dtype=np.uint32)
             cuts = np.searchsorted(at[order], np.arange(slices + 1)).tolist()
             sliced = [(k, [words[w] for w in order[a:b].tolist()]) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-            yield (part << 32) + seq, batch.column(0).slice(i, j - i), place[np.concatenate(codes)], ptr, sliced
+            # steps between the numbers of neighbouring ranks, folded so that small ones of both signs are small
+            step = np.diff(place[by_count], prepend=0)
+            packed = len(step).to_bytes(4, "little") + _planes(np.concatenate([np.where(step < 0, -2 * step - 1, 2 * step), rank[flat]]))
+            yield (part << 32) + seq, batch.column(0).slice(i, j - i), packed, ptr, sliced
             seq += 1
 
 
+def _positions(packed: bytes) -> np.ndarray:
+    """The word numbers of a block's tokens."""
+    n, both = int.from_bytes(packed[:4], "little"), _from_planes(packed[4:])
+    step = np.where(both[:n] % 2, -(both[:n] + 1) // 2, both[:n] // 2)
+    return np.cumsum(step)[both[n:]] if n else both[n:]
+
+
 def _pack(words: list[bytes]) -> bytes:
     sizes = np.array([len(w) for w in words], "<u4").tobytes()
     return zlib.compress(len(words).to_bytes(4, "little") + sizes + b"".join(words), 1)
@@ -92,96 +145,120 @@ def _unpack(packed: bytes) -> list[bytes]:
     return [data[a:b] for a, b in zip(stop, stop[1:])]
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, slices: int = SLICES) -> DataFrame:
+def _slices(docs: DataFrame) -> int:
+    """As many slices as shuffle partitions, within bounds."""
+    least, most = SLICES
+    return min(max(least, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), most)
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, slices: int | None = None) -> DataFrame:
     """``doc_id, ids`` (little-endian unsigned 32-bit) of every row of ``docs``.
 
     A null or empty text has no ids; repeated rows and ids stay repeated; a
-    null doc_id stays null; special tokens are ordinary text.
+    null doc_id stays null; special tokens are ordinary text; other columns are
+    not read.  ``slices`` is the number of parts of the words' hash space.
     """
     sc = docs.sparkSession.sparkContext
+    slices = slices or _slices(docs)
     with open(ranks_path, "rb") as f:
         ranks = sc.broadcast(f.read())
 
-    def words(batches):
-        rx = regex.compile(pattern)
-        for block, _, _, _, sliced in _blocks(batches, rx, slices):
-            yield pa.record_batch([pa.array([block] * len(sliced), pa.int64()), pa.array([k for k, _ in sliced], pa.int32()),
-                                   pa.array([_pack(w) for _, w in sliced], pa.binary())], names=["block", "slice", "words"])
-
-    def positions(batches):
+    def split(batches):
         rx = regex.compile(pattern)
-        for block, ids, codes, ptr, _ in _blocks(batches, rx, slices):
-            yield pa.record_batch([pa.array([block]), pa.array([zlib.compress(codes.tobytes(), 1)], pa.binary()),
-                                   pa.array([ids.to_pylist()], pa.list_(pa.int64())),
-                                   pa.array([ptr], pa.list_(pa.int64()))], names=["block", "codes", "doc_ids", "ptr"])
+        for block, ids, packed, ptr, sliced in _blocks(batches, rx, slices):
+            yield pa.record_batch([pa.array([block]), pa.array([block % slices], pa.int32()), pa.array([None], pa.binary()),
+                                   pa.array([packed], pa.binary()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
+                                   pa.array([ptr], pa.list_(pa.int64()))], schema=_ARROW)
+            for a in range(0, len(sliced), 64):
+                some = sliced[a:a + 64]
+                none = pa.nulls(len(some))
+                yield pa.record_batch([pa.array([block] * len(some), pa.int64()), pa.array([k for k, _ in some], pa.int32()),
+                                       pa.array([_pack(w) for _, w in some], pa.binary()), none.cast(pa.binary()),
+                                       none.cast(_ARROW.field(4).type), none.cast(_ARROW.field(5).type)], schema=_ARROW)
 
     def encoded(batches):
-        core = _vocabulary(ranks.value)[0]
+        core = _core(ranks.value)
         before, known = None, {}
         for batch in batches:
             out = []
             for k, packed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 if k != before:
                     before, known = k, {}
+                if packed is None:
+                    out.append(None)
+                    continue
                 ids = []
                 for w in _unpack(packed):
                     if w not in known:
                         known[w] = np.array(core.encode_single_piece(w), "<u4").tobytes()
                     ids.append(known[w])
                 out.append(_pack(ids))
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.binary())],
-                                  names=["block", "slice", "ids"])
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.binary()), *batch.columns[3:]], schema=_ARROW)
 
-    def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        back = sorted(zip(right.column("slice").to_pylist(), right.column("ids").to_pylist()))
-        parts = [ids for _, packed in back for ids in _unpack(packed)]
-        sizes = np.array([len(x) // 4 for x in parts], np.int64)
+    def assemble(rows: pa.Table) -> pa.Table:
+        own = rows.filter(rows.column("codes").is_valid())
+        back = rows.filter(rows.column("words").is_valid()).sort_by("slice")
+        parts = [ids for packed in back.column("words") for ids in _unpack(packed.as_py())]
         flat = np.frombuffer(b"".join(parts), "<u4")
-        codes = np.frombuffer(zlib.decompress(left.column("codes")[0].as_py()), np.uint32).astype(np.int64)
-        ids, stop = _gather(flat, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), codes)
-        ptr = stop[np.array(left.column("ptr")[0].as_py(), np.int64)]
-        return pa.table([pa.array(left.column("doc_ids")[0].as_py(), pa.int64()),
-                         pa.array([ids[a:b].tobytes() for a, b in zip(ptr[:-1], ptr[1:])], pa.binary())],
-                        names=["doc_id", "ids"])
+        sizes = np.array([len(x) // 4 for x in parts], np.int64)
+        ids, stop = _gather(flat, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), _positions(own.column("codes")[0].as_py()))
+        ptr = stop[own.column("ptr")[0].values.to_numpy()]
+        ends = pa.array((ptr * 4).astype(np.int64)).buffers()[1]
+        held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ptr) - 1, [None, ends, pa.py_buffer(np.ascontiguousarray(ids))])
+        return pa.table([own.column("doc_ids")[0].values, held.cast(pa.binary())], names=["doc_id", "ids"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    met = rows.mapInArrow(split, ROWS).repartition("slice").sortWithinPartitions("slice").mapInArrow(encoded, ROWS)
+    return met.groupBy("block").applyInArrow(assemble, "doc_id long, ids binary")
+
 
-    rows = _slim(docs)
-    back = (rows.mapInArrow(words, "block long, slice int, words binary")
-            .repartition("slice").sortWithinPartitions("slice")
-            .mapInArrow(encoded, "block long, slice int, ids binary"))
-    places = rows.mapInArrow(positions, "block long, codes binary, doc_ids array<long>, ptr array<long>")
-    return places.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(assemble, "doc_id long, ids binary")
+def _decoded(ids: np.ndarray, table: tuple[np.ndarray, np.ndarray]) -> Iterator[bytes]:
+    for a in range(0, len(ids), TOKENS):
+        yield _gather(*table, ids[a:a + TOKENS].astype(np.int64))[0].tobytes()
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """Adds ``decoded`` (bytes): the token-byte table joined to the ids.
 
-    The table is the vocabulary (bounded by its file), so it is looked up in
-    every task; ids outside it raise an IndexError.
+    The table is the vocabulary (bounded by its file), so it is broadcast and
+    every task joins it by position; ids outside it raise an IndexError.
     """
     with open(ranks_path, "rb") as f:
         ranks = encoded.sparkSession.sparkContext.broadcast(f.read())
     names = encoded.columns
 
     def run(batches):
-        _, data, offs = _vocabulary(ranks.value)
+        table = _token_bytes(ranks.value)
         for batch in batches:
-            out = []
-            for ids in batch.column("ids").to_pylist():
-                out.append(_gather(data, offs, np.frombuffer(ids or b"", "<u4").astype(np.int64))[0].tobytes())
+            out = [b"".join(_decoded(np.frombuffer(ids.as_py() or b"", "<u4"), table)) for ids in batch.column("ids")]
             yield pa.record_batch([*batch.columns, pa.array(out, pa.binary())], names=[*names, "decoded"])
 
     return encoded.mapInArrow(run, ", ".join(f"{n} {t}" for n, t in encoded.dtypes) + ", decoded binary")
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of encoded and decoded rows."""
+def digests(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of encoded rows.
+
+    Ids are decoded as ``decode`` does, in the same pass, a bounded part of a
+    text at a time; the texts are not stored.
+    """
+    with open(ranks_path, "rb") as f:
+        ranks = encoded.sparkSession.sparkContext.broadcast(f.read())
+
     def run(batches):
+        table = _token_bytes(ranks.value)
         for batch in batches:
-            ids = [np.frombuffer(x or b"", "<u4") for x in batch.column("ids").to_pylist()]
-            sums = [hashlib.sha256(",".join(map(str, x.tolist())).encode()).hexdigest() for x in ids]
-            texts = [hashlib.sha256(x or b"").hexdigest() for x in batch.column("decoded").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"), pa.array([len(x) for x in ids], pa.int64()),
-                                   pa.array(sums), pa.array(texts)],
+            out = []
+            for value in batch.column("ids"):
+                ids = np.frombuffer(value.as_py() or b"", "<u4")
+                listed, text = hashlib.sha256(), hashlib.sha256()
+                for a in range(0, len(ids), TOKENS):
+                    listed.update(("," if a else "").encode() + ",".join(map(str, ids[a:a + TOKENS].tolist())).encode())
+                for part in _decoded(ids, table):
+                    text.update(part)
+                out.append((len(ids), listed.hexdigest(), text.hexdigest()))
+            n, sums, texts = zip(*out) if out else ((), (), ())
+            yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(sums, pa.string()), pa.array(texts, pa.string())],
                                   names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return decoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -115,6 +115,8 @@ def rules() -> list[Rule]:
     return out
 
 
+PART = 512
+_DETECTION = "struct<rule:int,label:string,priority:int,lo:int,hi:int>"
 _GATE = r"licen[sc]e|public|spdx|cc0|cc by|creative commons|rights reserved|hereby granted|redistribution|permission to use|express or implied"
 
 
@@ -130,52 +132,84 @@ def _spaces(text: Column) -> Column:
     return (F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))).cast("long")
 
 
+def _bound(value: Column, use) -> Column:
+    """``use(value)``, with ``value`` evaluated once however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _running(items: Column, start: Column, step) -> Column:
+    """Detections that ``step(at, item)`` gives along ``items``; it returns the next
+    integer state and a detection, or null for none."""
+    none = F.array().cast(f"array<{_DETECTION}>")
+
+    def one(acc: Column, item: Column) -> Column:
+        def out(told: Column) -> Column:
+            grown = F.when(told["row"].isNotNull(), F.concat(acc["out"], F.array(told["row"]))).otherwise(acc["out"])
+            return F.struct(told["at"].alias("at"), grown.alias("out"))
+
+        at, row = step(acc["at"], item)
+        return _bound(F.struct(at.alias("at"), row.cast(_DETECTION).alias("row")), out)
+
+    def part(acc: Column, k: Column) -> Column:
+        inner = F.aggregate(F.slice(items, k * PART + 1, PART), F.struct(acc["at"].alias("at"), none.alias("out")), one)
+        return _bound(inner, lambda v: F.struct(v["at"].alias("at"), F.concat(acc["outs"], F.array(v["out"])).alias("outs")))
+
+    parts = F.sequence(F.lit(0), F.floor((F.greatest(F.size(items), F.lit(1)) - 1) / PART).cast("int"))
+    first = F.struct(start.alias("at"), F.array().cast(f"array<array<{_DETECTION}>>").alias("outs"))
+    return F.aggregate(parts, first, part, lambda acc: F.flatten(acc["outs"]))
+
+
 def _detections(norm: Column, some: list[Rule]) -> Column:
     """Array of (rule, label, priority, lo, hi) character intervals of every match."""
     table = F.array(*(F.struct(F.lit(i).alias("rule"), F.lit(f" {r.keyword} ").alias("keyword"),
                                F.lit(f" (?:{r.pattern})(?= )").alias("pattern"), F.lit(r.label).alias("label"),
                                F.lit(r.priority).alias("priority")) for i, r in enumerate(some)))
-    empty = F.array().cast("array<struct<rule:int,label:string,priority:int,lo:int,hi:int>>")
 
     def of(r: Column) -> Column:
-        hits = F.regexp_extract_all(norm, r["pattern"], F.lit(0))
-        gaps = F.slice(F.split(norm, r["pattern"], -1), 1, F.greatest(F.size(hits), F.lit(0)))
-        pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
+        def placed(hits: Column) -> Column:
+            gaps = F.slice(F.split(norm, r["pattern"], -1), 1, F.size(hits))
+            pairs = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"))
 
-        def step(acc: Column, p: Column) -> Column:
-            lo = acc["at"] + F.length(p["gap"])
-            hi = lo + F.length(p["hit"])
-            row = F.struct(r["rule"].alias("rule"), r["label"].alias("label"), r["priority"].alias("priority"),
-                           lo.alias("lo"), hi.alias("hi"))
-            return F.struct(hi.alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
+            def step(at: Column, p: Column) -> tuple[Column, Column]:
+                lo = at + F.length(p["gap"])
+                hi = lo + F.length(p["hit"])
+                return hi, F.struct(r["rule"].alias("rule"), r["label"].alias("label"), r["priority"].alias("priority"),
+                                    lo.alias("lo"), hi.alias("hi"))
 
-        return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
+            return F.when(F.size(hits) > 0, _bound(pairs, lambda p: _running(p, F.lit(0), step))).otherwise(
+                F.array().cast(f"array<{_DETECTION}>"))
+
+        return _bound(F.regexp_extract_all(norm, r["pattern"], F.lit(0)), placed)
 
     return F.flatten(F.transform(F.filter(table, lambda r: F.contains(norm, F.rtrim(r["keyword"]))), of))
 
 
 def _suppressed(found: Column) -> Column:
-    """Detections that no stronger interval contains."""
-    def stronger(e: Column, d: Column) -> Column:
-        longer = (e["hi"] - e["lo"]) > (d["hi"] - d["lo"])
-        better = (e["priority"] > d["priority"]) | ((e["priority"] == d["priority"]) & (e["rule"] < d["rule"]))
-        return (e["lo"] <= d["lo"]) & (e["hi"] >= d["hi"]) & (longer | better)
+    """Detections that no stronger interval contains, by start."""
+    keyed = F.array_sort(F.transform(found, lambda d: F.struct(
+        d["lo"].alias("lo"), (-d["hi"]).alias("back"), (-d["priority"]).alias("low"), d["rule"].alias("rule"), d["label"].alias("label"))))
+
+    def step(far: Column, k: Column) -> tuple[Column, Column]:
+        hi = -k["back"]
+        row = F.struct(k["rule"].alias("rule"), k["label"].alias("label"), (-k["low"]).alias("priority"), k["lo"].alias("lo"), hi.alias("hi"))
+        return F.greatest(far, hi), F.when(hi > far, row)
 
-    return F.filter(found, lambda d: ~F.exists(found, lambda e: stronger(e, d)))
+    return _bound(keyed, lambda items: _running(items, F.lit(-1), step))
 
 
 def scan(docs: DataFrame) -> DataFrame:
     """``doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, detections``.
 
     A null or empty text has no word and no label; score is the highest
-    priority among the detections that stay, in percent.
+    priority among the detections that stay, in percent.  Repeated rows and ids
+    repeat, a null doc_id stays null, other columns are not read.
     """
     norm = F.col("norm")
     with_norm = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_form(F.col("text")).alias("norm"))
     n_words = F.greatest(_spaces(norm) - 1, F.lit(0)).cast("long")
     rows = with_norm.withColumn("n_words", n_words).withColumn(
         "detections", F.when(norm.rlike(_GATE), _suppressed(_detections(norm, rules())))
-        .otherwise(F.array().cast("array<struct<rule:int,label:string,priority:int,lo:int,hi:int>>")))
+        .otherwise(F.array().cast(f"array<{_DETECTION}>")))
     n_base, first, last, labels = [], [], [], []
     for phrase, label in BASE:
         key = f" {phrase} "

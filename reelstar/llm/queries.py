@@ -64,7 +64,7 @@ def op5_distinct_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the byte-level BPE ids of all documents and of their decoded bytes."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = _table(spark, sf_dir, "documents")
-    return byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path))
+    return byte_bpe.digests(byte_bpe.encode(docs, path, public_tokenizers.PATTERN), path)
 
 
 def op7_license_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:

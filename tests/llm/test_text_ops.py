@@ -30,7 +30,10 @@ def test_byte_bpe_equals_library(spark):
     enc = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     path = P.path("byte_bpe_multi_50k.tiktoken")
     docs = _docs(spark)
-    got = byte_bpe.digests(byte_bpe.decode(byte_bpe.encode(docs, path, P.PATTERN), path)).collect()
+    encoded = byte_bpe.encode(docs, path, P.PATTERN)
+    assert _key((r.doc_id, bytes(r.decoded)) for r in byte_bpe.decode(encoded, path).collect()) == _key(
+        (r.doc_id, (r.text or "").encode()) for r in docs.collect())
+    got = byte_bpe.digests(encoded, path).collect()
     want = []
     for r in docs.collect():
         ids = enc.encode_ordinary(r.text or "")
@@ -39,6 +42,23 @@ def test_byte_bpe_equals_library(spark):
     assert _key(got) == _key(want)
 
 
+def test_byte_bpe_of_long_texts_by_windows(spark, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "WINDOW", 50)
+    monkeypatch.setattr(byte_bpe, "TOKENS", 7)
+    monkeypatch.setattr(byte_bpe, "BLOCK_BYTES", 300)
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(P.path("byte_bpe_multi_50k.tiktoken"), "rb"))}
+    enc = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    texts = ["ab  12\n\n 'll don't, x" * 40, "x" * 900, "東京" * 300, "я я. " * 100, "\n" * 200, "1 " * 130, "!? " * 99, "", None, "東 京1 ²\u00a0a\u2003b " * 30]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    for slices in (1, 3, 300):
+        rows = {r.doc_id: list(memoryview(bytes(r.ids)).cast("I")) for r in byte_bpe.encode(docs, path, P.PATTERN, slices).collect()}
+        assert rows == {i: enc.encode_ordinary(t or "") for i, t in enumerate(texts)}
+    got = {r.doc_id: (r.ids_sha256, r.decoded_sha256) for r in byte_bpe.digests(byte_bpe.encode(docs, path, P.PATTERN), path).collect()}
+    assert got == {i: (hashlib.sha256(",".join(map(str, enc.encode_ordinary(t or ""))).encode()).hexdigest(),
+                       hashlib.sha256((t or "").encode()).hexdigest()) for i, t in enumerate(texts)}
+
+
 def _measures(text):
     text = text or ""
     word = r"[^\x20\x09-\x0D]+"
