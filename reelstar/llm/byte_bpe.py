@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,13 +23,14 @@ import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstar.llm import textscan as T
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 WINDOW = 1 << 20   # characters split at a time
 SLICES = (256, 1 << 14)   # fewest and most slices of the words' hash space; a task holds one slice's distinct words
 TOKENS = 1 << 18   # of one text decoded or digested at a time
@@ -80,13 +82,29 @@ def _windows(text: str) -> Iterator[str]:
     yield text[at:]
 
 
-def _planes(codes: np.ndarray) -> bytes:
-    """Unsigned 32-bit numbers, all lowest bytes first: small numbers leave little."""
-    return zlib.compress(np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+def _planes(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, all lowest bytes first: small numbers leave little once compressed."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
 
 
-def _from_planes(packed: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _pack(sizes: np.ndarray, data: bytes) -> bytes:
+    """Sizes of parts and their bytes (or numbers' planes), compressed."""
+    return zstandard.compress(len(sizes).to_bytes(4, "little") + _planes(sizes) + data, 3)
+
+
+def _unpack(packed: bytes) -> tuple[np.ndarray, bytes]:
+    data = zstandard.decompress(packed)
+    n = int.from_bytes(data[:4], "little")
+    return _from_planes(data[4:4 + 4 * n]), data[4 + 4 * n:]
+
+
+def _slice_of(block: int, slices: int) -> int:
+    """The slice with which a block's positions travel."""
+    return zlib.crc32(block.to_bytes(8, "little")) % slices
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], pattern, slices: int):
@@ -121,28 +139,15 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern, slices: int):
             sliced = [(k, [words[w] for w in order[a:b].tolist()]) for k, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
             # steps between the numbers of neighbouring ranks, folded so that small ones of both signs are small
             step = np.diff(place[by_count], prepend=0)
-            packed = len(step).to_bytes(4, "little") + _planes(np.concatenate([np.where(step < 0, -2 * step - 1, 2 * step), rank[flat]]))
+            packed = _pack(np.where(step < 0, -2 * step - 1, 2 * step), _planes(rank[flat]))
             yield (part << 32) + seq, batch.column(0).slice(i, j - i), packed, ptr, sliced
             seq += 1
 
 
 def _positions(packed: bytes) -> np.ndarray:
     """The word numbers of a block's tokens."""
-    n, both = int.from_bytes(packed[:4], "little"), _from_planes(packed[4:])
-    step = np.where(both[:n] % 2, -(both[:n] + 1) // 2, both[:n] // 2)
-    return np.cumsum(step)[both[n:]] if n else both[n:]
-
-
-def _pack(words: list[bytes]) -> bytes:
-    sizes = np.array([len(w) for w in words], "<u4").tobytes()
-    return zlib.compress(len(words).to_bytes(4, "little") + sizes + b"".join(words), 1)
-
-
-def _unpack(packed: bytes) -> list[bytes]:
-    data = zlib.decompress(packed)
-    n = int.from_bytes(data[:4], "little")
-    stop = (4 + 4 * n + np.concatenate([[0], np.cumsum(np.frombuffer(data, "<u4", n, 4), dtype=np.int64)])).tolist()
-    return [data[a:b] for a, b in zip(stop, stop[1:])]
+    step, ranks = _unpack(packed)
+    return np.cumsum(np.where(step % 2, -(step + 1) // 2, step // 2))[_from_planes(ranks)]
 
 
 def _slices(docs: DataFrame) -> int:
@@ -166,14 +171,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, slices: int | None =
     def split(batches):
         rx = regex.compile(pattern)
         for block, ids, packed, ptr, sliced in _blocks(batches, rx, slices):
-            yield pa.record_batch([pa.array([block]), pa.array([block % slices], pa.int32()), pa.array([None], pa.binary()),
+            yield pa.record_batch([pa.array([block]), pa.array([_slice_of(block, slices)], pa.int32()), pa.array([None], pa.binary()),
                                    pa.array([packed], pa.binary()), pa.array([ids.to_pylist()], pa.list_(pa.int64())),
                                    pa.array([ptr], pa.list_(pa.int64()))], schema=_ARROW)
             for a in range(0, len(sliced), 64):
                 some = sliced[a:a + 64]
                 none = pa.nulls(len(some))
                 yield pa.record_batch([pa.array([block] * len(some), pa.int64()), pa.array([k for k, _ in some], pa.int32()),
-                                       pa.array([_pack(w) for _, w in some], pa.binary()), none.cast(pa.binary()),
+                                       pa.array([_pack(np.array([len(w) for w in ws]), b"".join(ws)) for _, ws in some], pa.binary()), none.cast(pa.binary()),
                                        none.cast(_ARROW.field(4).type), none.cast(_ARROW.field(5).type)], schema=_ARROW)
 
     def encoded(batches):
@@ -187,21 +192,26 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, slices: int | None =
                 if packed is None:
                     out.append(None)
                     continue
-                ids = []
-                for w in _unpack(packed):
-                    if w not in known:
-                        known[w] = np.array(core.encode_single_piece(w), "<u4").tobytes()
-                    ids.append(known[w])
-                out.append(_pack(ids))
+                sizes, data = _unpack(packed)
+                stop = np.cumsum(sizes).tolist()
+                ids, counts = [], []
+                for a, b in zip([0, *stop], stop):
+                    w = data[a:b]
+                    got = known.get(w)
+                    if got is None:
+                        got = known[w] = array("I", core.encode_single_piece(w))
+                    ids.append(got)
+                    counts.append(len(got))
+                out.append(_pack(np.array(counts), _planes(np.frombuffer(b"".join(ids), "u4"))))
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(out, pa.binary()), *batch.columns[3:]], schema=_ARROW)
 
     def assemble(rows: pa.Table) -> pa.Table:
         own = rows.filter(rows.column("codes").is_valid())
         back = rows.filter(rows.column("words").is_valid()).sort_by("slice")
-        parts = [ids for packed in back.column("words") for ids in _unpack(packed.as_py())]
-        flat = np.frombuffer(b"".join(parts), "<u4")
-        sizes = np.array([len(x) // 4 for x in parts], np.int64)
-        ids, stop = _gather(flat, np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), _positions(own.column("codes")[0].as_py()))
+        parts = [_unpack(packed.as_py()) for packed in back.column("words")]
+        flat = np.concatenate([np.zeros(0, "<u4"), *(_from_planes(ids).astype("<u4") for _, ids in parts)])
+        stop = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *(sizes for sizes, _ in parts)]))]).astype(np.int64)
+        ids, stop = _gather(flat, stop, _positions(own.column("codes")[0].as_py()))
         ptr = stop[own.column("ptr")[0].values.to_numpy()]
         ends = pa.array((ptr * 4).astype(np.int64)).buffers()[1]
         held = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ptr) - 1, [None, ends, pa.py_buffer(np.ascontiguousarray(ids))])
