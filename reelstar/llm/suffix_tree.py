@@ -10,22 +10,30 @@ is retained if its next-symbol distribution diverges from its parent's by
 are smoothed with the parent's.  Every byte is scored by the longest retained
 suffix of its past.
 
-The tree stays a distributed table of gram counts.  A task holds the subtrees
-of a slice of the contexts of ``TOP + 1`` symbols; only the contexts of up to
-``TOP`` symbols (SYMBOLS**TOP at most, whatever the corpus) are dense arrays.
+A gram is a number whose leading digits are its latest past symbols, so a
+context's grams are neighbours.  The grams are dealt to slices by the context of
+``TOP + 1`` symbols.  A block of documents sends one row per slice, the sorted
+numbers compressed; a slice merges what all blocks counted and is the part of the
+tree below its contexts, one row.  Scoring sends each block's distinct grams to
+their slices, where they are looked up level by level, and sends the
+probabilities back.  Only the contexts of up to ``TOP`` symbols (SYMBOLS**TOP at
+most, whatever the corpus) are dense arrays.  Word counts travel in the same way.
+
+Texts are coded ``PIECE`` bytes at a time, so a text of any length costs memory
+for its words, not for every symbol; a block has ``BLOCK_BYTES``, or one text.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstar.llm import textscan as T
@@ -34,10 +42,11 @@ from reelstar.session import cut_lineage
 
 DEPTH = 6
 TOP = 2
-SLICE_CODES = 200_000
+SLICES = 256             # at least; as many as shuffle partitions
 GAIN = 8.0
 MU = 4.0
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
+PIECE = 1 << 20
 START, END = 0, 1
 CLASS = np.zeros(256, np.int64)
 CLASS[:128] = 2                                  # other ASCII
@@ -53,13 +62,8 @@ SYMBOLS = 103
 _SHIFT = SYMBOLS ** np.arange(DEPTH + 2, dtype=np.int64)
 
 
-def plain(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The texts as lower-cased words with one space after each."""
-    start, end, _, ptr = T.scan_words(buf, offs)
-    return _spaced(buf, start, end, ptr)
-
-
 def _spaced(buf: np.ndarray, start: np.ndarray, end: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words, lower-cased, with one space after each; and the texts' offsets."""
     out = T.LOWER[np.frombuffer(T.joined(buf, start, end), np.uint8)]
     return out, np.concatenate([[0], np.cumsum(end - start + 1)]).astype(np.int64)[ptr]
 
@@ -77,21 +81,85 @@ def symbols(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def grams(seq: np.ndarray) -> np.ndarray:
-    """Codes of DEPTH past symbols and the next one; the next is the lowest digit."""
-    code = np.zeros(len(seq) - DEPTH if len(seq) > DEPTH else 0, np.int64)
-    for k in range(DEPTH + 1):
-        code += seq[DEPTH - k:len(seq) - k] * _SHIFT[k]
+    """Codes of DEPTH past symbols, the latest as the highest digit, and the next one as the lowest."""
+    code = seq[DEPTH:].copy() if len(seq) > DEPTH else np.zeros(0, np.int64)
+    for k in range(1, DEPTH + 1):
+        code += seq[DEPTH - k:len(seq) - k] * _SHIFT[DEPTH + 1 - k] if len(code) else 0
     return code
 
 
-def row_grams(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Codes of every symbol of plain texts, the end mark too: row by row, a byte's count and one of each."""
-    seq, first, last = symbols(text, at)
-    code = grams(seq)
-    step = np.zeros(len(code) + 1, np.int64)
-    np.add.at(step, first - DEPTH, 1)
-    np.add.at(step, last - DEPTH, -1)
-    return code[np.cumsum(step[:-1]) > 0]
+def _coded(buf: np.ndarray, start: np.ndarray, end: np.ndarray, ptr: np.ndarray) -> Iterator[tuple]:
+    """(codes, their rows, plain bytes, their rows) of the texts' words, a piece at a time; the end marks are coded too."""
+    sums = np.concatenate([[0], np.cumsum(end - start + 1)])
+    size = sums[ptr]
+    i, n = 0, len(ptr) - 1
+    while i < n:
+        j = min(max(i + 1, int(np.searchsorted(size, size[i] + PIECE, side="right")) - 1), n, i + PIECE // 8)
+        if size[j] - size[i] <= 2 * PIECE:
+            text, at = _spaced(buf, start[ptr[i]:ptr[j]], end[ptr[i]:ptr[j]], ptr[i:j + 1] - ptr[i])
+            seq, first, last = symbols(text, at)
+            code = grams(seq)
+            step = np.zeros(len(code) + 1, np.int64)
+            np.add.at(step, first - DEPTH, 1)
+            np.add.at(step, last - DEPTH, -1)
+            rows = np.arange(i, j)
+            yield code[np.cumsum(step[:-1]) > 0], np.repeat(rows, np.diff(at) + 1), text, np.repeat(rows, np.diff(at))
+        else:
+            a, past = int(ptr[i]), np.full(DEPTH, START)
+            while a < ptr[j]:
+                b = min(max(a + 1, int(np.searchsorted(sums, sums[a] + PIECE, side="right")) - 1), int(ptr[j]))
+                text = T.LOWER[np.frombuffer(T.joined(buf, start[a:b], end[a:b]), np.uint8)]
+                seq = np.concatenate([past, CLASS[text], np.full(int(b == ptr[j]), END)])
+                yield grams(seq), np.full(len(seq) - DEPTH, i), text, np.full(len(text), i)
+                a, past = b, seq[len(seq) - DEPTH:]
+        i = j
+
+
+def _distinct(buf: np.ndarray, start: np.ndarray, end: np.ndarray, ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct codes of the texts, and their counts."""
+    parts = [np.unique(code, return_counts=True) for code, *_ in _coded(buf, start, end, ptr)]
+    return _merged([k for k, _ in parts], [n for _, n in parts])
+
+
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of sorted arrays, and the sums of their counts."""
+    key, n = np.concatenate([np.zeros(0, np.int64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
+    order = np.argsort(key, kind="stable")   # merges the sorted runs
+    key, n = key[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _pack(numbers: np.ndarray, sorted_ones: bool = False) -> bytes:
+    """64-bit numbers by byte planes (their steps, if sorted), compressed."""
+    x = np.diff(numbers, prepend=numbers.dtype.type(0)) if sorted_ones else numbers
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes(), 1)
+
+
+def _unpack(packed: bytes, sorted_ones: bool = False, kind=np.int64) -> np.ndarray:
+    flat = np.frombuffer(zstandard.decompress(packed), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    x = np.ascontiguousarray(flat.T).view(kind).ravel()
+    return np.cumsum(x) if sorted_ones else x
+
+
+def _top_index(code: np.ndarray) -> np.ndarray:
+    """Place of the latest TOP symbols (oldest first) and the next one in the dense arrays."""
+    out, up = code % SYMBOLS, 1
+    for k in range(1, TOP + 1):
+        up *= SYMBOLS
+        out = out + code // _SHIFT[DEPTH + 1 - k] % SYMBOLS * up
+    return out
+
+
+def _slice_of(code: np.ndarray, slices: int) -> np.ndarray:
+    return (T.mix((code // _SHIFT[DEPTH - TOP]).astype(np.uint64)) % np.uint64(slices)).astype(np.int64)
+
+
+def _by_slice(key: np.ndarray, at: np.ndarray, slices: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Order by slice (sorted keys stay sorted in it), and each used slice with the places of its keys."""
+    order = np.argsort(at, kind="stable")
+    cuts = np.searchsorted(at[order], np.arange(slices + 1))
+    return order, [(k, order[cuts[k]:cuts[k + 1]]) for k in np.unique(at).tolist()]
 
 
 @dataclass(frozen=True)
@@ -105,9 +173,10 @@ class PlainTree:
 
 @dataclass(frozen=True)
 class Tree:
-    """Gram counts as a distributed table (code, n), and what is bounded by the alphabet."""
+    """Gram counts as a distributed table, a row per slice (slice, codes, n: packed), and what is bounded by the alphabet."""
 
     counts: DataFrame
+    slices: int
     byte_counts: dict[int, int]
     prob: np.ndarray        # (TOP past symbols, next) -> smoothed probability
     best: np.ndarray        # the same -> log10 probability at the longest retained suffix
@@ -121,11 +190,14 @@ class Tree:
     def plain(self) -> PlainTree:
         """The whole tree on the driver, for looking at small ones; scoring does not use it."""
         count: list[dict[int, dict[int, int]]] = [{0: {}}, *({} for _ in range(DEPTH))]
-        for code, n in self.counts.collect():
-            for d in range(DEPTH + 1):
-                ctx, nxt = divmod(code % int(_SHIFT[d + 1]), SYMBOLS)
-                row = count[d].setdefault(ctx, {})
-                row[nxt] = row.get(nxt, 0) + n
+        for _, codes, counts in self.counts.collect():
+            for code, n in zip(_unpack(codes, True).tolist(), _unpack(counts).tolist()):
+                nxt, ctx = code % SYMBOLS, 0
+                for d in range(DEPTH + 1):
+                    if d:       # contexts are numbered with the oldest symbol as the highest digit
+                        ctx += code // int(_SHIFT[DEPTH + 1 - d]) % SYMBOLS * int(_SHIFT[d - 1])
+                    row = count[d].setdefault(ctx, {})
+                    row[nxt] = row.get(nxt, 0) + n
         return build([(d, ctx, list(row.items())) for d, level in enumerate(count) for ctx, row in level.items()], self.byte_counts)
 
     @property
@@ -186,36 +258,53 @@ def _top_best(probs: list[np.ndarray], passed: list[np.ndarray], needed: np.ndar
     return _log(best).ravel()
 
 
-def subtrees(code: np.ndarray, n: np.ndarray, prob: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For distinct sorted codes that hold whole subtrees below TOP symbols: log10 probability at the longest
-    retained context (NaN if it has TOP symbols or fewer), and whether the context of TOP + 1 symbols is retained.
-
-    A code with n = 0 is asked for and takes no part in the counts.
-    """
-    keys, counts, ups = {DEPTH: code}, {DEPTH: n.astype(float)}, {}
-    for d in range(DEPTH - 1, TOP, -1):
-        keys[d], ups[d + 1] = np.unique(keys[d + 1] % _SHIFT[d + 1], return_inverse=True)
-        counts[d] = np.bincount(ups[d + 1], counts[d + 1], len(keys[d]))
-    probs, ctx, row, keep = {}, {}, {}, {}
-    for d in range(TOP + 1, DEPTH + 1):
-        up = prob[keys[d] % _SHIFT[d]] if d == TOP + 1 else probs[d - 1][ups[d]]
-        ctx[d], row[d] = np.unique(keys[d] // SYMBOLS, return_inverse=True)
-        total = np.bincount(row[d], counts[d], len(ctx[d]))
-        own = (counts[d] + MU * up) / (total[row[d]] + MU)
-        seen = np.where(counts[d] > 0, own, 0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            gain = np.bincount(row[d], np.where(seen > 0, own * np.log(own / up), 0), len(ctx[d]))
-        # a symbol that never follows has MU / (total + MU) of its parent's probability
-        gain += (1 - np.bincount(row[d], seen, len(ctx[d]))) * np.log(MU / (total + MU))
-        probs[d], keep[d] = own, total * gain >= GAIN
-    for d in range(DEPTH, TOP + 1, -1):
-        keep[d - 1][np.searchsorted(ctx[d - 1], ctx[d][keep[d]] % _SHIFT[d - 1])] = True
-    best, top = np.full(len(keys[TOP + 1]), np.nan), keep[TOP + 1][row[TOP + 1]]
-    for d in range(TOP + 1, DEPTH + 1):
-        if d > TOP + 1:
-            best, top = best[ups[d]], top[ups[d]]
-        best = np.where(keep[d][row[d]], probs[d], best)
-    return _log(best), top
+class Subtrees:
+    """The tree below the contexts of TOP symbols, for the sorted codes of one slice."""
+
+    def __init__(self, code: np.ndarray, n: np.ndarray, prob: np.ndarray):
+        self.prob, self.ctx, self.total, self.keep, self.key, self.count = prob, {}, {}, {}, {}, {}
+        nxt, n, up, inner = code % SYMBOLS, n.astype(float), None, {}
+        for d in range(TOP + 1, DEPTH + 1):
+            prefix = code // _SHIFT[DEPTH + 1 - d]
+            new = np.concatenate([[True], prefix[1:] != prefix[:-1]]) if len(code) else np.zeros(0, bool)
+            row = np.cumsum(new) - 1
+            self.ctx[d] = prefix[new]
+            self.key[d], at, back = np.unique(row * SYMBOLS + nxt, return_index=True, return_inverse=True)
+            self.count[d] = np.bincount(back, n, len(at))
+            own_row = self.key[d] // SYMBOLS
+            size = len(self.ctx[d])
+            self.total[d] = np.bincount(own_row, self.count[d], size)
+            above = prob[_top_index(code[at])] if d == TOP + 1 else up[at]
+            own = (self.count[d] + MU * above) / (self.total[d][own_row] + MU)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                gain = np.bincount(own_row, own * np.log(own / above), size)
+            # a symbol that never follows has MU / (total + MU) of its parent's probability
+            gain = gain + (1 - np.bincount(own_row, own, size)) * np.log(MU / (self.total[d] + MU))
+            self.keep[d] = self.total[d] * gain >= GAIN
+            up, inner[d] = own[back], row
+        for d in range(DEPTH, TOP + 1, -1):     # a retained context retains its own suffixes
+            self.keep[d - 1][np.unique(inner[d - 1][self.keep[d][inner[d]]])] = True
+
+    def needed(self) -> np.ndarray:
+        """Contexts of TOP symbols (oldest first) that have a longer retained one."""
+        latest = self.ctx[TOP + 1][self.keep[TOP + 1]] // SYMBOLS
+        return np.unique(sum(latest // SYMBOLS ** (TOP - k) % SYMBOLS * SYMBOLS ** (k - 1) for k in range(1, TOP + 1)))
+
+    def log_p(self, code: np.ndarray) -> np.ndarray:
+        """log10 probability at the longest retained context; NaN if it has TOP symbols or fewer."""
+        p, best, nxt = self.prob[_top_index(code)], np.full(len(code), np.nan), code % SYMBOLS
+        for d in range(TOP + 1, DEPTH + 1):
+            if not len(self.ctx[d]):
+                break
+            prefix = code // _SHIFT[DEPTH + 1 - d]
+            row = np.minimum(np.searchsorted(self.ctx[d], prefix), len(self.ctx[d]) - 1)
+            there = self.ctx[d][row] == prefix
+            key = row * SYMBOLS + nxt
+            at = np.minimum(np.searchsorted(self.key[d], key), len(self.key[d]) - 1)
+            n = np.where(self.key[d][at] == key, self.count[d][at], 0)
+            p = np.where(there, (n + MU * p) / (self.total[d][row] + MU), p)
+            best = np.where(there & self.keep[d][row], p, best)
+        return _log(best)
 
 
 def _slim(docs: DataFrame, folds: int, held: int) -> DataFrame:
@@ -224,55 +313,62 @@ def _slim(docs: DataFrame, folds: int, held: int) -> DataFrame:
                        (fold(F.col("doc_id"), folds) == held).alias("held_out"))
 
 
-def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of each block's distinct grams; byte counts have codes -256..-1."""
-    for batch in batches:
-        buf, offs = T.text_buffer(batch.column(0))
-        for i, j in T.row_blocks(offs, BLOCK_BYTES):
-            text, at = plain(buf, offs[i:j + 1])
-            key, n = np.unique(row_grams(text, at), return_counts=True)
-            b = np.bincount(text, minlength=256)
-            seen = np.flatnonzero(b)
-            yield pa.record_batch([pa.array(np.concatenate([key, seen - 256])), pa.array(np.concatenate([n, b[seen]]))],
-                                  names=["code", "n"])
-
-
 def fit(docs: DataFrame, folds: int = 7, held: int = 2) -> Tree:
     """Tree of the texts outside fold ``held``; without any, every symbol is equally likely."""
-    rows = _slim(docs, folds, held).where("not held_out").select("text")
-    counts = cut_lineage(rows.mapInArrow(_gram_counts, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")))
-    byte_rows = counts.where("code < 0").collect()  # 256 at most
-    grams_n = counts.where("code >= 0")
-    count = np.zeros(int(_SHIFT[TOP + 1]), np.int64)  # bounded by the alphabet, as the rows that fill it
-    top = grams_n.groupBy((F.col("code") % len(count)).alias("code")).agg(F.sum("n").alias("n")).toArrow()
-    count[top.column("code").to_numpy()] = top.column("n").to_numpy()
-    probs, passed = _top_probs(count)
-    prob = np.ascontiguousarray(probs[TOP]).ravel()
-    needed = np.zeros(int(_SHIFT[TOP]), bool)
-    for r in (_in_subtrees(grams_n, prob).where("top").select(_context("code", TOP).alias("ctx")).distinct()).collect():
-        needed[r["ctx"]] = True
-    return Tree(grams_n, {r["code"] + 256: r["n"] for r in byte_rows}, prob, _top_best(probs, passed, needed))
+    slices = max(SLICES, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buf, offs = T.text_buffer(batch.column(0))
+            for i, j in T.row_blocks(offs, BLOCK_BYTES):
+                start, end, _, ptr = T.scan_words(buf, offs[i:j + 1])
+                key, n = _distinct(buf, start, end, ptr)
+                _, parts = _by_slice(key, _slice_of(key, slices), slices)
+                seen = sum((np.bincount(text, minlength=256) for _, _, text, _ in _coded(buf, start, end, ptr)), np.zeros(256, np.int64))
+                rows = [(k, _pack(key[at], True), _pack(n[at])) for k, at in parts] + [(-1, b"", _pack(seen))]
+                yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2))],
+                                      names=["slice", "codes", "n"])
+
+    def merged(t: pa.Table) -> pa.Table:
+        k = t.column("slice")[0].as_py()
+        if k < 0:       # byte counts
+            return pa.table([pa.array([k], pa.int32()), pa.array([b""], pa.binary()),
+                             pa.array([_pack(sum(_unpack(x.as_py()) for x in t.column("n")))], pa.binary())], names=["slice", "codes", "n"])
+        key, n = _merged([_unpack(x.as_py(), True) for x in t.column("codes")], [_unpack(x.as_py()) for x in t.column("n")])
+        return pa.table([pa.array([k], pa.int32()), pa.array([_pack(key, True)], pa.binary()), pa.array([_pack(n)], pa.binary())],
+                        names=["slice", "codes", "n"])
 
-def _context(code: str, d: int) -> Column:
-    """The latest ``d`` symbols before the next one."""
-    return F.expr(f"({code} div {SYMBOLS}) % {int(_SHIFT[d])}")
+    rows = _slim(docs, folds, held).where("not held_out").select("text")
+    tree = cut_lineage(rows.mapInArrow(counted, "slice int, codes binary, n binary").groupBy("slice")
+                       .applyInArrow(merged, "slice int, codes binary, n binary"))
+    byte_row = tree.where("slice < 0").first()
+    counts = tree.where("slice >= 0")
 
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(int(_SHIFT[TOP + 1]))
+        for batch in batches:
+            for codes, n in zip(batch.column("codes"), batch.column("n")):
+                np.add.at(total, _top_index(_unpack(codes.as_py(), True)), _unpack(n.as_py()))
+        seen = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(seen), pa.array(total[seen].astype(np.int64))], names=["code", "n"])
 
-def _in_subtrees(counts: DataFrame, prob: np.ndarray) -> DataFrame:
-    """``code, log_p, top`` of every distinct code of ``counts``; a slice holds about SLICE_CODES codes."""
-    slices = max(256, counts.count() // SLICE_CODES)
-    shared = counts.sparkSession.sparkContext.broadcast(prob)
+    count = np.zeros(int(_SHIFT[TOP + 1]), np.int64)  # bounded by the alphabet, as the rows that fill it
+    got = counts.mapInArrow(top, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    count[got.column("code").to_numpy()] = got.column("n").to_numpy()
+    probs, passed = _top_probs(count)
+    prob = np.ascontiguousarray(probs[TOP]).ravel()
+    shared = docs.sparkSession.sparkContext.broadcast(prob)
 
-    def of(t: pa.Table) -> pa.Table:
-        code, n = t.column("code").to_numpy(), t.column("n").to_numpy()
-        order = np.argsort(code)
-        log_p, top = subtrees(code[order], n[order], shared.value)
-        return pa.table([pa.array(code[order]), pa.array(log_p, pa.float32(), from_pandas=True), pa.array(top)],
-                        names=["code", "log_p", "top"])
+    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for codes, n in zip(batch.column("codes"), batch.column("n")):
+                yield pa.record_batch([pa.array(Subtrees(_unpack(codes.as_py(), True), _unpack(n.as_py()), shared.value).needed())], names=["ctx"])
 
-    return (counts.select("code", "n", F.pmod(F.xxhash64(_context("code", TOP + 1)), F.lit(slices)).alias("slice"))
-            .groupBy("slice").applyInArrow(of, "code long, log_p float, top boolean"))
+    needed = np.zeros(int(_SHIFT[TOP]), bool)
+    for r in counts.mapInArrow(longer, "ctx long").distinct().collect():
+        needed[r["ctx"]] = True
+    seen = _unpack(bytes(byte_row["n"])) if byte_row else np.zeros(256, np.int64)
+    return Tree(counts, slices, {b: int(c) for b, c in enumerate(seen) if c}, prob, _top_best(probs, passed, needed))
 
 
 def build(contexts: list[tuple[int, int, list[tuple[int, int]]]], byte_counts: dict[int, int]) -> PlainTree:
@@ -319,12 +415,15 @@ def build(contexts: list[tuple[int, int, list[tuple[int, int]]]], byte_counts: d
 def score(docs: DataFrame, tree: Tree, folds: int = 7, held: int = 2) -> DataFrame:
     """Every row's ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
-    A null text reads as empty (its only token is the end).  Each block of
-    documents sends one row per distinct word hash and per distinct gram; rows
-    meet counts and tree by hash or code, so a frequent one has a row per block
-    at most, and return to their block.
+    A null text reads as empty (its only token is the end); a null doc_id is in
+    fold 0 and stays null; repeated rows repeat; other columns are not read.
+    Each block of documents sends its distinct grams and word hashes to their
+    slices, so a frequent one is asked for once per block, and the answers
+    return to the block.
     """
-    best = docs.sparkSession.sparkContext.broadcast((tree.best, tree.byte_log_p))
+    best = docs.sparkSession.sparkContext.broadcast((tree.prob, tree.best, tree.byte_log_p))
+    slices = tree.slices    # grams have slices 0 to slices - 1, words the following ones
+    answer_schema = "block long, slice int, x binary, n long, v long"
 
     def blocks(batches):
         part, seq = TaskContext.get().partitionId(), 0
@@ -334,70 +433,86 @@ def score(docs: DataFrame, tree: Tree, folds: int = 7, held: int = 2) -> DataFra
                 yield (part << 32) + seq, batch.slice(i, j - i), buf, offs[i:j + 1]
                 seq += 1
 
+    def keys(buf, offs):
+        """Words, then sorted distinct grams and word hashes with their slices' places."""
+        start, end, h, ptr = T.scan_words(buf, offs, lower=True)
+        uniq, _, code = T.groups(np.append(h, np.uint64(0)))      # the end mark is the word of hash 0
+        gram = _distinct(buf, start, end, ptr)[0]
+        hashed = uniq.view(np.int64)
+        return (start, end, ptr, uniq, code, gram, _by_slice(gram, _slice_of(gram, slices), slices)[1],
+                _by_slice(hashed, (uniq >> np.uint64(40)).astype(np.int64) % slices, slices)[1])
+
     def asked(batches):
         for block, rows, buf, offs in blocks(batches):
-            start, end, h, ptr = T.scan_words(buf, offs, lower=True)
-            uniq, _, code = T.groups(h)
+            start, end, ptr, uniq, code, gram, gram_parts, word_parts = keys(buf, offs)
             learn = ~rows.column(2).to_numpy(zero_copy_only=False)
-            n = np.bincount(code, np.repeat(learn, np.diff(ptr)), len(uniq)).astype(np.int64)
-            # the end mark is the last word of the block, under hash 0
-            keys = {True: np.append(uniq, np.uint64(0)).view(np.int64), False: np.unique(row_grams(*_spaced(buf, start, end, ptr)))}
-            count = {True: np.append(n, int(learn.sum())), False: np.zeros(len(keys[False]), np.int64)}
-            for word in keys:
-                size = len(keys[word])
-                yield pa.record_batch([pa.array(np.full(size, block)), pa.array(np.arange(size, dtype=np.int32)), pa.array(np.full(size, word)),
-                                       pa.array(keys[word]), pa.array(count[word])], names=["block", "at", "word", "code", "n"])
+            n = np.bincount(code[:-1], np.repeat(learn, np.diff(ptr)), len(uniq)).astype(np.int64)
+            n[0] += int(learn.sum())                               # hash 0 is the smallest
+            out = [(k, _pack(gram[at], True), None) for k, at in gram_parts]
+            out += [(slices + k, _pack(uniq[at], True), _pack(n[at])) for k, at in word_parts]
+            yield pa.record_batch([pa.array([block] * len(out), pa.int64()), pa.array([r[0] for r in out], pa.int32()),
+                                   *(pa.array([r[k] for r in out], pa.binary()) for k in (1, 2))], names=["block", "slice", "codes", "n"])
+
+    def answer(asks: pa.Table, part: pa.Table) -> pa.Table:
+        if not asks.num_rows:       # nothing asked below these contexts
+            return pa.table({"block": pa.array([], pa.int64()), "slice": pa.array([], pa.int32()), "x": pa.array([], pa.binary()),
+                             "n": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        block, at = asks.column("block").to_pylist(), asks.column("slice")[0].as_py()
+        n, v = [0] * len(block), [0] * len(block)
+        if at < slices:
+            tree = [(_unpack(c.as_py(), True), _unpack(m.as_py())) for c, m in zip(part.column("codes"), part.column("n"))]
+            below = Subtrees(*(tree[0] if tree else (np.zeros(0, np.int64),) * 2), best.value[0])
+            x = [_pack(below.log_p(_unpack(c.as_py(), True)).astype(np.float32)) for c in asks.column("codes")]
+        else:
+            own = [_unpack(c.as_py(), True, np.uint64) for c in asks.column("codes")]
+            all_keys, total = _merged([k.view(np.int64) for k in own], [_unpack(m.as_py()) for m in asks.column("n")])
+            x = [_pack(total[np.searchsorted(all_keys, k.view(np.int64))]) for k in own]
+            n[0], v[0] = int(total.sum()), int((total > 0).sum())   # said once per slice
+        return pa.table([pa.array(block, pa.int64()), pa.array([at] * len(block), pa.int32()), pa.array(x, pa.binary()),
+                         pa.array(n, pa.int64()), pa.array(v, pa.int64())], names=["block", "slice", "x", "n", "v"])
 
     def places(batches):
         for block, rows, buf, offs in blocks(batches):
             yield pa.record_batch(
-                [pa.array([block]), pa.array([zlib.compress(buf[int(offs[0]):int(offs[-1])].tobytes(), 1)], pa.binary()),
+                [pa.array([block]), pa.array([zstandard.compress(buf[int(offs[0]):int(offs[-1])].tobytes(), 3)], pa.binary()),
                  pa.array([(offs - offs[0]).tolist()], pa.list_(pa.int64())), pa.array([rows.column(0).to_pylist()], pa.list_(pa.int64())),
                  pa.array([rows.column(2).to_pylist()], pa.list_(pa.bool_()))],
                 names=["block", "texts", "offs", "doc_ids", "held"])
 
     def assemble(left: pa.Table, right: pa.Table) -> pa.Table:
-        buf = np.frombuffer(zlib.decompress(left.column("texts")[0].as_py()), np.uint8)
-        offs = np.array(left.column("offs")[0].as_py(), np.int64)
-        at, x = right.column("at").to_numpy(), right.column("x").to_numpy()
-        word = right.column("word").to_numpy(zero_copy_only=False)
-        start, end, h, ptr = T.scan_words(buf, offs, lower=True)
-        uniq, _, code = T.groups(h)
-        c = np.zeros(len(uniq) + 1)
-        c[at[word]] = x[word]
+        buf = np.frombuffer(zstandard.decompress(left.column("texts")[0].as_py()), np.uint8)
+        offs = left.column("offs")[0].values.to_numpy()
+        told = dict(zip(right.column("slice").to_pylist(), right.column("x").to_pylist()))
+        start, end, ptr, uniq, code, gram, gram_parts, word_parts = keys(buf, offs)
+        c, log_p = np.zeros(len(uniq)), np.zeros(len(gram))
+        for k, at in word_parts:
+            c[at] = _unpack(told[slices + k])
+        for k, at in gram_parts:
+            log_p[at] = _unpack(told[k], kind=np.float32)
+        _, shared, byte_log_p = best.value
+        short = np.isnan(log_p)
+        log_p[short] = shared[_top_index(gram[short])]
         logs, known = np.log10(c + 1), c > 0
-        ends = np.full(len(ptr) - 1, len(c) - 1)
 
         def sums(per):
-            s = np.concatenate([[0], np.cumsum(per[code])])
-            return s[ptr[1:]] - s[ptr[:-1]] + per[ends]
-
-        text, row_at = _spaced(buf, start, end, ptr)
-        asks, inverse = np.unique(row_grams(text, row_at), return_inverse=True)
-        shared, byte_log_p = best.value
-        log_p = shared[asks % len(shared)]
-        log_p[at[~word]] = x[~word]
-        row, n = np.arange(len(ptr) - 1), np.diff(row_at)
-        score = (np.bincount(np.repeat(row, n + 1), log_p[inverse], len(row))
-                 + np.bincount(np.repeat(row, n), byte_log_p[text], len(row)))
-        return pa.table([pa.array(left.column("doc_ids")[0].as_py(), pa.int64()), pa.array(left.column("held")[0].as_py()),
-                         pa.array(np.diff(ptr) + 1), pa.array(sums(known.astype(np.int64))), pa.array(sums(logs)),
-                         pa.array(score)],
+            s = np.concatenate([[0], np.cumsum(per[code[:-1]])])
+            return s[ptr[1:]] - s[ptr[:-1]] + per[0]               # and the end mark
+
+        n = len(ptr) - 1
+        total = np.zeros(n)
+        for codes, code_row, text, text_row in _coded(buf, start, end, ptr):
+            total += np.bincount(code_row, log_p[np.searchsorted(gram, codes)], n) + np.bincount(text_row, byte_log_p[text], n)
+        return pa.table([left.column("doc_ids")[0].values, left.column("held")[0].values,
+                         pa.array(np.diff(ptr) + 1), pa.array(sums(known.astype(np.int64))), pa.array(sums(logs)), pa.array(total)],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score"])
 
     rows = _slim(docs, folds, held)
-    asks = rows.mapInArrow(asked, "block long, at int, word boolean, code long, n long")
-    known = cut_lineage(asks.select("word", "code", "n").unionByName(tree.counts.select(F.lit(False).alias("word"), "code", "n"))
-                        .groupBy("word", "code").agg(F.sum("n").alias("n")))
-    counted = known.where("word and n > 0")
-    whole = counted.agg(F.sum("n").alias("n"), F.count("n").alias("v")).first()
-    n, v = whole["n"] or 0, whole["v"]
-    told = (counted.select("word", "code", F.col("n").cast("double").alias("x"))
-            .unionByName(_in_subtrees(known.where("not word").select("code", "n"), tree.prob).where("log_p is not null")
-                         .select(F.lit(False).alias("word"), "code", F.col("log_p").cast("double").alias("x"))))
-    back = asks.join(told, ["word", "code"]).select("block", "at", "word", "x")
+    asks = rows.mapInArrow(asked, "block long, slice int, codes binary, n binary")
+    back = cut_lineage(asks.groupBy("slice").cogroup(tree.counts.groupBy("slice")).applyInArrow(answer, answer_schema))
+    whole = back.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("v"), F.lit(0)).alias("v")).first()
+    n, v = whole["n"], whole["v"]
     spots = rows.mapInArrow(places, "block long, texts binary, offs array<long>, doc_ids array<long>, held array<boolean>")
-    out = spots.groupBy("block").cogroup(back.groupBy("block")).applyInArrow(
+    out = spots.groupBy("block").cogroup(back.select("block", "slice", "x").groupBy("block")).applyInArrow(
         assemble, "doc_id long, held_out boolean, n_tokens long, n_known long, logs double, score double")
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
                       (F.col("logs") - F.col("n_tokens") * F.log10(F.lit(float(n + v + 1)))).alias("base_score"), "score")

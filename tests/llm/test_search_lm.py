@@ -64,7 +64,10 @@ def texts():
     return out + [(400, None), (401, ""), (402, " \n\t"), (403, "zzz qqq " * 9000), (5, out[5][1])]
 
 
-def test_scores(spark, texts):
+@pytest.mark.parametrize("piece, block", [(1 << 20, 16 << 20), (64, 5000)])
+def test_scores(spark, texts, monkeypatch, piece, block):
+    monkeypatch.setattr(suffix_tree, "PIECE", piece)        # texts of many pieces, and blocks of one text
+    monkeypatch.setattr(suffix_tree, "BLOCK_BYTES", block)
     docs = spark.createDataFrame([(i, t, "a", 1) for i, t in texts], "doc_id long, text string, block string, h int").repartition(3)
     tree = suffix_tree.fit(docs)
     got = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6), round(r.score, 3))
