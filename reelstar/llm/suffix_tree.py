@@ -45,7 +45,7 @@ TOP = 2
 SLICES = 256             # at least; as many as shuffle partitions
 GAIN = 8.0
 MU = 4.0
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 PIECE = 1 << 20
 START, END = 0, 1
 CLASS = np.zeros(256, np.int64)
@@ -501,7 +501,8 @@ def score(docs: DataFrame, tree: Tree, folds: int = 7, held: int = 2) -> DataFra
         n = len(ptr) - 1
         total = np.zeros(n)
         for codes, code_row, text, text_row in _coded(buf, start, end, ptr):
-            total += np.bincount(code_row, log_p[np.searchsorted(gram, codes)], n) + np.bincount(text_row, byte_log_p[text], n)
+            some, each = np.unique(codes, return_inverse=True)     # sorted keys are found many times faster
+            total += np.bincount(code_row, log_p[np.searchsorted(gram, some)][each], n) + np.bincount(text_row, byte_log_p[text], n)
         return pa.table([left.column("doc_ids")[0].values, left.column("held")[0].values,
                          pa.array(np.diff(ptr) + 1), pa.array(sums(known.astype(np.int64))), pa.array(sums(logs)), pa.array(total)],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score"])
