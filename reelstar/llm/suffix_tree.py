@@ -45,7 +45,7 @@ TOP = 2
 SLICES = 256             # at least; as many as shuffle partitions
 GAIN = 8.0
 MU = 4.0
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 12 << 20
 PIECE = 1 << 20
 START, END = 0, 1
 CLASS = np.zeros(256, np.int64)
@@ -324,7 +324,9 @@ def fit(docs: DataFrame, folds: int = 7, held: int = 2) -> Tree:
                 start, end, _, ptr = T.scan_words(buf, offs[i:j + 1])
                 key, n = _distinct(buf, start, end, ptr)
                 _, parts = _by_slice(key, _slice_of(key, slices), slices)
-                seen = sum((np.bincount(text, minlength=256) for _, _, text, _ in _coded(buf, start, end, ptr)), np.zeros(256, np.int64))
+                seen = np.bincount(T.LOWER[buf[int(offs[i]):int(offs[j])]], minlength=256)
+                seen[T.WS] = 0
+                seen[32] = len(start)      # the space after each word
                 rows = [(k, _pack(key[at], True), _pack(n[at])) for k, at in parts] + [(-1, b"", _pack(seen))]
                 yield pa.record_batch([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2))],
                                       names=["slice", "codes", "n"])
@@ -434,17 +436,16 @@ def score(docs: DataFrame, tree: Tree, folds: int = 7, held: int = 2) -> DataFra
                 seq += 1
 
     def keys(buf, offs):
-        """Words, then sorted distinct grams and word hashes with their slices' places."""
+        """Words, their distinct hashes and each word's number, the hashes' places by slice."""
         start, end, h, ptr = T.scan_words(buf, offs, lower=True)
         uniq, _, code = T.groups(np.append(h, np.uint64(0)))      # the end mark is the word of hash 0
-        gram = _distinct(buf, start, end, ptr)[0]
-        hashed = uniq.view(np.int64)
-        return (start, end, ptr, uniq, code, gram, _by_slice(gram, _slice_of(gram, slices), slices)[1],
-                _by_slice(hashed, (uniq >> np.uint64(40)).astype(np.int64) % slices, slices)[1])
+        return start, end, ptr, uniq, code, _by_slice(uniq, (uniq >> np.uint64(40)).astype(np.int64) % slices, slices)[1]
 
     def asked(batches):
         for block, rows, buf, offs in blocks(batches):
-            start, end, ptr, uniq, code, gram, gram_parts, word_parts = keys(buf, offs)
+            start, end, ptr, uniq, code, word_parts = keys(buf, offs)
+            gram = _distinct(buf, start, end, ptr)[0]
+            gram_parts = _by_slice(gram, _slice_of(gram, slices), slices)[1]
             learn = ~rows.column(2).to_numpy(zero_copy_only=False)
             n = np.bincount(code[:-1], np.repeat(learn, np.diff(ptr)), len(uniq)).astype(np.int64)
             n[0] += int(learn.sum())                               # hash 0 is the smallest
@@ -483,13 +484,21 @@ def score(docs: DataFrame, tree: Tree, folds: int = 7, held: int = 2) -> DataFra
         buf = np.frombuffer(zstandard.decompress(left.column("texts")[0].as_py()), np.uint8)
         offs = left.column("offs")[0].values.to_numpy()
         told = dict(zip(right.column("slice").to_pylist(), right.column("x").to_pylist()))
-        start, end, ptr, uniq, code, gram, gram_parts, word_parts = keys(buf, offs)
+        start, end, ptr, uniq, code, word_parts = keys(buf, offs)
+        _, shared, byte_log_p = best.value
+        n = len(ptr) - 1
+        total, pieces = np.zeros(n), []
+        for codes, code_row, text, text_row in _coded(buf, start, end, ptr):
+            total += np.bincount(text_row, byte_log_p[text], n)
+            some, each = np.unique(codes, return_inverse=True)
+            first = np.flatnonzero(np.diff(code_row, prepend=-1))    # of each text's symbols
+            pieces.append((some, each.astype(np.int32), code_row[first], first))
+        gram = _merged([p[0] for p in pieces], [np.zeros(len(p[0]), np.int64) for p in pieces])[0]
         c, log_p = np.zeros(len(uniq)), np.zeros(len(gram))
         for k, at in word_parts:
             c[at] = _unpack(told[slices + k])
-        for k, at in gram_parts:
+        for k, at in _by_slice(gram, _slice_of(gram, slices), slices)[1]:
             log_p[at] = _unpack(told[k], kind=np.float32)
-        _, shared, byte_log_p = best.value
         short = np.isnan(log_p)
         log_p[short] = shared[_top_index(gram[short])]
         logs, known = np.log10(c + 1), c > 0
@@ -498,11 +507,8 @@ def score(docs: DataFrame, tree: Tree, folds: int = 7, held: int = 2) -> DataFra
             s = np.concatenate([[0], np.cumsum(per[code[:-1]])])
             return s[ptr[1:]] - s[ptr[:-1]] + per[0]               # and the end mark
 
-        n = len(ptr) - 1
-        total = np.zeros(n)
-        for codes, code_row, text, text_row in _coded(buf, start, end, ptr):
-            some, each = np.unique(codes, return_inverse=True)     # sorted keys are found many times faster
-            total += np.bincount(code_row, log_p[np.searchsorted(gram, some)][each], n) + np.bincount(text_row, byte_log_p[text], n)
+        for some, each, rows, first in pieces:      # sorted keys are found many times faster
+            total[rows] += np.add.reduceat(log_p[np.searchsorted(gram, some)][each], first)
         return pa.table([left.column("doc_ids")[0].values, left.column("held")[0].values,
                          pa.array(np.diff(ptr) + 1), pa.array(sums(known.astype(np.int64))), pa.array(sums(logs)), pa.array(total)],
                         names=["doc_id", "held_out", "n_tokens", "n_known", "logs", "score"])
