@@ -22,8 +22,10 @@ from reelstar.operators import staging as S
 from reelstar.plans import feeds
 from reelstar.plans import queries as A
 from reelstar.plans.warehouse import Warehouse
+from reelstar.schemas import RAW_PURCHASE
 from reelstar.session import scratch_folder
 from reelstar.sources import ledger as L
+from reelstar.sources import quarantine as R
 from reelstar.sources.files import list_files, table
 from reelstar.sources.sinks import export_csv
 from reelstar.streaming import ingest as I
@@ -349,6 +351,14 @@ def ingest_files_roundtrip(spark, d):
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
+def load_rejects(spark, d):
+    """Outcomes of a purchase load whose files hold prices and dates that do not parse."""
+    folder = scratch_folder(spark, "rejects")
+    export_csv(feeds.faulty_purchases(spark, d), f"{folder}/in", rows_per_file=ROWS_PER_FILE)
+    R.load(spark, f"{folder}/in", RAW_PURCHASE, f"{folder}/out", *R.purchase_rules())
+    return R.outcomes(spark, RAW_PURCHASE, f"{folder}/out", "Quantity").withColumnRenamed("Quantity", "quantity")
+
+
 def insert_new_purchases(spark, d):
     staged = _w(spark, d).stg_user_purchase
     target = staged.where(F.col("invoice_number").try_cast("bigint") % 2 == 0)
@@ -470,4 +480,5 @@ QUERIES: dict[str, Query] = {
     "ingest_files_roundtrip": ingest_files_roundtrip,
     "purchase_ids_incremental": purchase_ids_incremental,
     "fact_incremental": fact_incremental,
+    "load_rejects": load_rejects,
 }

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from reelstar.sources.files import table
 
 # Fixed values of the mapping.
+PRICE_FAULT_EVERY = 41               # StockCode % 41 = 0 -> UnitPrice is no number (faulty feed only)
+DATE_FAULT_EVERY = 53                # InvoiceNo % 53 = 0 -> InvoiceDate is no date (faulty feed only)
 DESCRIPTION_NULL_EVERY = 50          # p_partkey % 50 = 0 -> Description missing
 CUSTOMER_NULL_LINE = 7               # l_linenumber = 7 -> CustomerID missing
 LOG_ID_NULL_EVERY = 97               # event_id % 97 = 0 -> id_review missing
@@ -65,6 +67,16 @@ def raw_purchases(spark: SparkSession, data_dir: str) -> DataFrame:
     )
 
 
+def faulty_purchases(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The purchase feed as text, with prices and dates that do not parse."""
+    def every(column: str, n: int):
+        return F.coalesce(F.col(column).try_cast("bigint") % n == 0, F.lit(False))
+
+    return (raw_purchases(spark, data_dir)
+            .withColumn("UnitPrice", F.when(every("StockCode", PRICE_FAULT_EVERY), "n/a").otherwise(F.col("UnitPrice").cast("string")))
+            .withColumn("InvoiceDate", F.when(every("InvoiceNo", DATE_FAULT_EVERY), "unknown").otherwise(F.col("InvoiceDate"))))
+
+
 def _calendar_day(id_col: str):
     return F.date_add(F.lit(DAY_ZERO).cast("date"), (F.col(id_col) % DAYS).cast("int"))
 

@@ -425,6 +425,15 @@ ORACLE: dict[str, str] = {
         SELECT review_id, user_id, held_out, CASE WHEN s0 >= s1 THEN 'negative' ELSE 'positive' END AS sentiment,
                CAST(CASE WHEN s0 >= s1 THEN 0 ELSE 1 END AS INTEGER) AS positive_review, CAST(abs(s0 - s1) AS DOUBLE) AS margin
         FROM scored"""),
+    "load_rejects": sql(("raw_purchases",), """
+        WITH o AS (SELECT Quantity, CASE WHEN CAST(StockCode AS BIGINT) % 41 = 0 THEN 'malformed field'
+                                         WHEN CustomerID IS NULL THEN 'missing customer'
+                                         WHEN CAST(InvoiceNo AS BIGINT) % 53 = 0 THEN 'bad invoice date' ELSE '' END AS reason
+                   FROM raw_purchases)
+        SELECT CASE reason WHEN '' THEN 'kept' WHEN 'missing customer' THEN 'dropped' ELSE 'rejected' END AS outcome, reason,
+               count(*) AS n_rows, CAST(sum(Quantity) AS BIGINT) AS quantity
+        FROM o GROUP BY reason
+        UNION ALL SELECT 'read', '', count(*), CAST(sum(Quantity) AS BIGINT) FROM o"""),
     "insert_new_purchases": sql(("stg_user_purchase",), """
         SELECT invoice_number, stock_code, detail, quantity, invoice_date, unit_price, customer_id, country
         FROM (SELECT *, row_number() OVER (PARTITION BY invoice_number, stock_code
