@@ -67,3 +67,17 @@ def test_an_empty_table(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{SF}/labels.parquet").limit(0).write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_columns_named_like_the_stages_own_keep_their_values(spark):
+    import corpus_pipeline as C
+    rows = [(i, f"plain words of a clean text number {i} and a few more of them to make it long enough " * 3, "en", "s", 9, "a", -0.5, -7.0,
+             f"of{i}", i + 100, "t", "u", f"c{i}", True) for i in range(30)]
+    names = ["doc_id", "text", "lang", "source", "n_chars", "lang_pred", "lang_score", "score", "_of", "_id", "_text", "text_id", "_c0", "positive"]
+    docs = spark.createDataFrame(rows, names)
+    want = {tuple(r) for r in docs.collect()}
+    for _, stage in C.STAGES[:3]:
+        got = stage(spark, docs, SF)
+        assert got.columns == names
+        assert {tuple(r) for r in got.collect()} <= want
+    assert {tuple(r) for r in C.jaccard_stage(spark, docs.limit(0), SF).collect()} == set()
