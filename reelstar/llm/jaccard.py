@@ -1,24 +1,31 @@
-"""N-gram Jaccard join by banded MinHash LSH and exact verification.
+"""N-gram Jaccard join by a MinHash LSH forest and exact verification.
 
 1. Every text becomes its set of five-word shingles (A-Z lower-cased; a text of
    fewer words is one shingle).  Equal sets are one class of copies, counted
    map-side, so thousands of copies cost one row.
-2. Each distinct set has ``TREES`` labels of the same number of MinHash values:
-   the most, up to ``DEPTH``, whose expected recall at the threshold reaches its
-   target (no trie is kept and no depth depends on the data).  Sets that share
-   a label are a range, grouped by Spark's shuffle.
-3. Leaf ranges with the same members are verified once.  The sets of the
-   members meet in blocks of about ``CHUNK`` and every pair of a block pair is
-   compared exactly, by shared-shingle counts; a pair that meets in several
-   ranges counts in the smallest one.  No pair leaves a task: only link counts
+2. Each distinct set has a signature of ``DEPTH`` MinHash values in each of
+   ``TREES`` trees.  A node of a tree is a run of equal signature prefixes; it
+   is formed by grouping on the prefix, so no run has to fit one task.
+3. Rounds go from the deepest prefixes upwards.  A round verifies the nodes of
+   its depth; nodes with the members of a node already verified are passed over
+   (the compressed paths of the trie).  The matched prefix is then shortened to
+   the depth at which the weakest pair seen so far is found with the target
+   recall, until it need not be shortened.  Pairs down to ``SLACK`` below the
+   threshold count as seen at the threshold, and so does a round without any
+   pair: only a corpus whose pairs are clearly closer stays at deep prefixes.
+4. The sets of a node's members meet in blocks of about ``CHUNK`` sets and
+   ``SHINGLES`` shingles, and every pair of a block pair is compared exactly, by
+   shared-shingle counts.  A pair counts in the first round in which it meets,
+   there in its smallest common node.  No pair leaves a task: only link counts
    and one connecting edge per member do.
-4. Classes are the connected components (min-label star contraction, all
+5. Classes are the connected components (min-label star contraction, all
    joins; each round is cut to the checkpoint folder).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +39,14 @@ WORDS = 5
 TREES = 10
 DEPTH = 6
 CHUNK = 256
+SHINGLES = 1 << 21   # of a block's sets; a larger set is a block of its own size
+SLACK = 0.1
 _SEEDS = np.random.default_rng(11).integers(1, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def prefix_depth(threshold: float, target: float, trees: int = TREES, depth: int = DEPTH) -> int:
-    """The longest label whose recall at the threshold reaches ``target`` (1 at least)."""
-    while depth > 1 and 1 - (1 - threshold**depth) ** trees < target:
+def prefix_depth(similarity: float, target: float, trees: int = TREES, depth: int = DEPTH) -> int:
+    """The longest prefix by which pairs of ``similarity`` are found with a recall of ``target`` (1 at least)."""
+    while depth > 1 and 1 - (1 - similarity**depth) ** trees < target:
         depth -= 1
     return depth
 
@@ -70,14 +79,18 @@ def _content(s: np.ndarray) -> bytes:
     return np.array([T.mix(s).sum(), T.mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum()], np.uint64).tobytes()
 
 
-def _min_hashes(s: np.ndarray, depth: int) -> np.ndarray:
-    """The trees' first ``depth`` MinHash values of one set, a bounded number of shingles at a time."""
-    seeds = _SEEDS.reshape(TREES, DEPTH)[:, :depth].ravel()
-    best = np.full(len(seeds), (1 << 64) - 1, np.uint64)
+def _min_hashes(s: np.ndarray) -> np.ndarray:
+    """Signature of one set, ``TREES`` by ``DEPTH``, from a bounded number of shingles at a time."""
+    best = np.full(len(_SEEDS), (1 << 64) - 1, np.uint64)
     for a in range(0, len(s), 4096):
-        x = s[a:a + 4096, None] * seeds
+        x = s[a:a + 4096, None] * _SEEDS
         best = np.minimum(best, ((x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)).min(axis=0))
-    return best.reshape(TREES, depth)
+    return best.astype(np.uint32)  # the low halves; the high ones of minima are mostly zero
+
+
+def _trees(signatures: list[bytes]) -> np.ndarray:
+    """Signatures as an array of sets by ``TREES`` by ``DEPTH``."""
+    return np.frombuffer(b"".join(signatures), np.uint32).reshape(-1, TREES, DEPTH)
 
 
 def _slim(docs: DataFrame) -> DataFrame:
@@ -90,35 +103,35 @@ def text_id(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def signatures(docs: DataFrame, depth: int) -> DataFrame:
-    """``doc_id, text_id, content, labels``: set identity (null without a word) and the trees' label prefixes."""
+def signatures(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_id, content, size, signature``: set identity, number of shingles and MinHash values (null without a word)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, offs = T.text_buffer(batch.column(1))
             for i, j in T.row_blocks(offs, 2 << 20):
-                content, labels = [], []
-                for s in shingles(buf, offs[i:j + 1]):
-                    if not len(s):
-                        content.append(None)
-                        labels.append(None)
-                        continue
-                    content.append(_content(s))
-                    m = _min_hashes(s, depth)
-                    key = np.arange(TREES, dtype=np.uint64)
-                    for k in range(depth):
-                        key = T.mix(key * np.uint64(T._R) + m[:, k])
-                    labels.append(key.tobytes())
-                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(content, pa.binary()),
-                                       pa.array(labels, pa.binary())], names=["doc_id", "text_id", "content", "labels"])
-
-    return _slim(docs).mapInArrow(run, "doc_id long, text_id long, content binary, labels binary")
-
-
-def _labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
-        yield pa.record_batch([pa.array(np.repeat(batch.column(0).to_numpy(), TREES)),
-                               pa.array(np.concatenate([*keys, np.zeros(0, np.int64)]))], names=["node", "bucket"])
+                sets = shingles(buf, offs[i:j + 1])
+                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(2).slice(i, j - i),
+                                       pa.array([_content(s) if len(s) else None for s in sets], pa.binary()),
+                                       pa.array([len(s) for s in sets], pa.int64()),
+                                       pa.array([_min_hashes(s).tobytes() if len(s) else None for s in sets], pa.binary())],
+                                      names=["doc_id", "text_id", "content", "size", "signature"])
+
+    return _slim(docs).mapInArrow(run, "doc_id long, text_id long, content binary, size long, signature binary")
+
+
+def _prefixes(depth: int):
+    """``node, size, bucket`` of each tree's prefix of ``depth`` values."""
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = _trees(batch.column(2).to_pylist()).astype(np.uint64)
+            key = np.tile(np.arange(TREES, dtype=np.uint64) + np.uint64(TREES * depth), (len(values), 1))
+            for k in range(depth):
+                key = T.mix(key * np.uint64(T._R) + values[:, :, k])
+            yield pa.record_batch([pa.array(np.repeat(batch.column(0).to_numpy(), TREES)),
+                                   pa.array(np.repeat(batch.column(1).to_numpy(), TREES)),
+                                   pa.array(key.ravel().view(np.int64))], names=["node", "size", "bucket"])
+
+    return prefixes
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +143,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             same = pa.array([len(x) > 0 and _content(x) == c for x, c in zip(sets, batch.column(2).slice(i, j - i).to_pylist())], pa.bool_())
             part = pa.record_batch([batch.column(0).slice(i, j - i), *(c.slice(i, j - i) for c in batch.columns[3:]),
                                     pa.array([x.tobytes() for x in sets], pa.binary())],
-                                   names=["node", "first", "copies", "buckets", "shingles"])
+                                   names=["node", "first", "copies", "signature", "buckets", "shingles"])
             yield part.filter(same)
 
 
@@ -154,7 +167,8 @@ def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def _verify(threshold: float):
+def _verify(threshold: float, before: int | None):
+    """Links of a block pair's sets; pairs with an equal prefix of ``before`` values met in an earlier round."""
     def verify(group: pa.Table) -> pa.Table:
         keep = np.unique(group.column("node").to_numpy(), return_index=True)[1]  # a repeated row is a counted copy
         group = group.take(pa.array(keep))
@@ -163,13 +177,17 @@ def _verify(threshold: float):
         copies = group.column("copies").to_numpy()
         chunk = group.column("chunk").to_numpy()
         buckets = group.column("buckets").to_pylist()
+        trees = _trees(group.column("signature").to_pylist())
         sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
         size = np.array([len(s) for s in sets])
         inter = _overlaps(sets)
-        near = inter >= threshold * (size[:, None] + size[None, :] - inter) - 1e-9
-        near &= node[:, None] != node[None, :]
+        union = size[:, None] + size[None, :] - inter
+        pair = node[:, None] != node[None, :]
         if lo != hi:
-            near &= (chunk[:, None] != chunk[None, :])
+            pair &= (chunk[:, None] != chunk[None, :])
+        near = pair & (inter >= threshold * union - 1e-9)
+        seen = pair & (inter >= (threshold - SLACK) * union)
+        weakest = np.where(seen, np.maximum(inter / union, threshold), 1.0).min(axis=1) if seen.any() else np.ones(len(node))
         i, j = np.nonzero(near)
         width = max(map(len, buckets))
         table = np.full((len(node), width), np.iinfo(np.int64).min, np.int64)
@@ -179,8 +197,9 @@ def _verify(threshold: float):
         for a in range(0, len(i), 1 << 14):
             p, q = i[a:a + (1 << 14)], j[a:a + (1 << 14)]
             common = (table[p][:, :, None] == table[q][:, None, :]).any(axis=2) & (table[p] != np.iinfo(np.int64).min)
-            first = np.where(common, table[p], np.iinfo(np.int64).max).min(axis=1)
-            own = first == bucket
+            own = np.where(common, table[p], np.iinfo(np.int64).max).min(axis=1) == bucket
+            if before is not None:
+                own &= ~(trees[p, :, :before] == trees[q, :, :before]).all(axis=2).any(axis=1)
             np.add.at(links, p[own], copies[q[own]])
         root = np.arange(len(node))
         while True:  # the smallest place reachable over near pairs
@@ -191,8 +210,8 @@ def _verify(threshold: float):
                 break
             root = new
         first = group.column("first").to_numpy()
-        return pa.table([pa.array(x) for x in (node, first, links, node[root], first[root])],
-                        names=["node", "first", "links", "root", "root_first"])
+        return pa.table([pa.array(x) for x in (node, first, links, node[root], first[root], weakest, seen.any(axis=1))],
+                        names=["node", "first", "links", "root", "root_first", "weakest", "seen"])
 
     return verify
 
@@ -249,34 +268,67 @@ def representatives(docs: DataFrame, threshold: float = 0.8, recall: float = 0.9
     return classes.groupBy("doc_id", "content").agg(F.min("text_id").alias("text_id")).select("doc_id", "text_id")
 
 
-def _classes(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
-    """The rows' classes; nodes are numbers of the distinct contents, and ``is_root`` marks a class's first content."""
-    depth = prefix_depth(threshold, recall)
-    rows = cut_lineage(signatures(docs, depth))
-    valid = rows.where(F.col("doc_id").isNotNull() & F.col("content").isNotNull())
-    contents = cut_lineage(valid.groupBy("content", "labels")
-                           .agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first"))
-                           .withColumn("node", F.monotonically_increasing_id()))
-    places = contents.select("node", "labels").mapInArrow(_labels, "node long, bucket long")
-    ranges = (places.groupBy("bucket")
-              .agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("node")).alias("h1"),
-                   F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2"))
-              .where("n > 1").groupBy("n", "h1", "h2").agg(F.min("bucket").alias("bucket")).select("bucket", "n"))
-    members = places.join(ranges, "bucket")
-    chunks = F.ceil(F.col("n") / CHUNK).cast("int")
-    per_node = cut_lineage(members.groupBy("node").agg(F.collect_list(F.struct("bucket", chunks.alias("chunks"))).alias("ranges"))
-                           .join(contents.select("node", "content", "first", "copies"), "node"))
+def _nodes(places: DataFrame) -> DataFrame:
+    """The trie nodes of two members or more, one of those with the same members."""
+    return (places.groupBy("bucket")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("size"), F.bit_xor(F.xxhash64("node")).alias("h1"),
+                 F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("h2"))
+            .where("n > 1").groupBy("n", "size", "h1", "h2").agg(F.min("bucket").alias("bucket")))
+
+
+def _round(docs: DataFrame, contents: DataFrame, threshold: float, depth: int, before: int | None, done: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """Verifies the trie nodes of ``depth`` but those of ``done``: (verified nodes, links and edges found)."""
+    places = contents.select("node", "size", "signature").mapInArrow(_prefixes(depth), "node long, size long, bucket long")
+    ranges = _nodes(places)
+    if done is not None:
+        ranges = ranges.join(done.select("n", "size", "h1", "h2"), ["n", "size", "h1", "h2"], "left_anti")
+    ranges = cut_lineage(ranges)
+    chunks = F.least(F.col("n"), F.greatest(F.ceil(F.col("n") / CHUNK), F.ceil(F.col("size") / SHINGLES))).cast("int")
+    members = places.select("node", "bucket").join(ranges.select("bucket", chunks.alias("chunks")), "bucket")
+    per_node = (members.groupBy("node").agg(F.collect_list(F.struct("bucket", "chunks")).alias("ranges"))
+                .join(contents.select("node", "content", "first", "copies", "signature"), "node"))
     texts = _slim(docs).select(F.col("doc_id").alias("first"), "text")
-    sets = texts.join(per_node, "first").select("node", "text", "content", "first", "copies", "ranges").mapInArrow(
-        _sets, "node long, first long, copies long, buckets array<struct<bucket:long,chunks:int>>, shingles binary")
+    sets = (texts.join(per_node, "first").select("node", "text", "content", "first", "copies", "signature", "ranges")
+            .mapInArrow(_sets, "node long, first long, copies long, signature binary, "
+                               "buckets array<struct<bucket:long,chunks:int>>, shingles binary"))
     spread = (sets.withColumn("r", F.explode("buckets"))
               .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("r.chunks")).cast("int"))
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("r.chunks") - 1)))
               .select(F.col("r.bucket").alias("bucket"), F.least("chunk", "other").alias("lo"),
-                      F.greatest("chunk", "other").alias("hi"), "chunk", "node", "first", "copies",
+                      F.greatest("chunk", "other").alias("hi"), "chunk", "node", "first", "copies", "signature",
                       F.col("buckets.bucket").alias("buckets"), "shingles"))
-    found = cut_lineage(spread.groupBy("bucket", "lo", "hi")
-                        .applyInArrow(_verify(threshold), "node long, first long, links long, root long, root_first long"))
+    found = spread.groupBy("bucket", "lo", "hi").applyInArrow(
+        _verify(threshold, before), "node long, first long, links long, root long, root_first long, weakest double, seen boolean")
+    return ranges, cut_lineage(found)
+
+
+def forest_rounds(docs: DataFrame, contents: DataFrame, threshold: float, recall: float) -> list[tuple[int, DataFrame]]:
+    """(prefix depth, links and edges found) of each round."""
+    out, weakest, before, done, depth = [], None, None, None, DEPTH
+    while True:
+        nodes, found = _round(docs, contents, threshold, depth, before, done)
+        out.append((depth, found))
+        done = nodes if done is None else done.unionByName(nodes)
+        lowest = found.where("seen").agg(F.min("weakest")).first()[0]
+        weakest = min((x for x in (weakest, lowest) if x is not None), default=None)
+        need = prefix_depth(threshold if weakest is None else weakest, recall)
+        if need >= depth:
+            return out
+        before, depth = depth, need
+
+
+def _contents(rows: DataFrame) -> DataFrame:
+    """The distinct sets, numbered, with their copies and smallest doc_id."""
+    valid = rows.where(F.col("doc_id").isNotNull() & F.col("content").isNotNull())
+    return (valid.groupBy("content", "size", "signature").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first"))
+            .withColumn("node", F.monotonically_increasing_id()))
+
+
+def _classes(docs: DataFrame, threshold: float, recall: float) -> DataFrame:
+    """The rows' classes; nodes are numbers of the distinct contents, and ``is_root`` marks a class's first content."""
+    rows = cut_lineage(signatures(docs))
+    contents = cut_lineage(_contents(rows))
+    found = reduce(DataFrame.unionByName, [f for _, f in forest_rounds(docs, contents, threshold, recall)])
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     # the doc_id goes first, so a component's smallest node has its smallest doc_id
     roots = components(found.select(F.struct("first", "node").alias("a"),

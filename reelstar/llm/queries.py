@@ -217,6 +217,6 @@ NO_ORACLE: dict[str, str] = {
     "op8_bestfit_packing": "word-piece merges; the tokenizers library in tests/llm",
     "op11_embedding_whitening": "eigenvectors; brute force in tests/llm",
     "op13_rule_ensemble": "a trained classifier; brute force of its measurements and rules, held-out accuracy in tests/llm",
-    "op10_lsh_forest_jaccard": "connected components of sampled candidates; brute force in tests/llm",
+    "op10_lsh_forest_jaccard": "connected components of MinHash candidates; brute force in tests/llm",
     "pipeline": "a trained network and classifier decide the first two stages; tests/llm/test_pipeline.py",
 }

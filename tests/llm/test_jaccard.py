@@ -5,6 +5,7 @@ import re
 
 import corpus_pipeline
 from reelstar.llm import jaccard
+from reelstar.session import cut_lineage
 
 
 def _set(text):
@@ -76,6 +77,55 @@ def test_prefix_depth():
     assert 1 - (1 - 0.8**d) ** jaccard.TREES >= 0.999 > 1 - (1 - 0.8 ** (d + 1)) ** jaccard.TREES
 
 
+def _depths(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    contents = cut_lineage(jaccard._contents(cut_lineage(jaccard.signatures(docs))))
+    return [depth for depth, _ in jaccard.forest_rounds(docs, contents, 0.8, 0.999)]
+
+
+def test_prefixes_are_shortened_as_far_as_the_pairs_ask(spark):
+    rng = random.Random(3)
+    texts = [[f"w{rng.randrange(5000)}" for _ in range(1000)] for _ in range(8)]
+
+    def copies(edits):
+        out = []
+        for words in texts:
+            changed = list(words)
+            for k in range(edits):
+                changed[50 + 10 * k] = f"new{k}"
+            out += [" ".join(words), " ".join(changed)]
+        return list(enumerate(out))
+
+    assert _depths(spark, copies(2)) == [jaccard.DEPTH]          # similarity 0.98: deep prefixes do
+    assert _depths(spark, copies(15))[-1] in (4, 5)                # 0.86
+    assert _depths(spark, copies(22))[-1] == 3                     # 0.80
+    assert _depths(spark, list(enumerate("one two three four five six".split())))[-1] == 3   # no pair seen
+
+
+def test_recall_at_the_threshold(spark):
+    """Of 600 pairs that share 144 of 180 shingles (0.8), the forest finds nearly all."""
+    rng = random.Random(9)
+    rows = []
+    for k in range(600):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(166)]
+        other = list(words)
+        for c in range(3):
+            other[20 + 40 * c] = f"x{k}"
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other + [f"y{k}-{c}" for c in range(3)]))]
+    near = sum(n == 1 for _, _, n in _brute(rows[:40])) / 40
+    assert near == 1
+    out = jaccard.similarity_classes(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert out.where("n_links = 1").count() >= 0.99 * len(rows)
+
+
+def test_long_sets_are_split_by_shingles(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SHINGLES", 500)
+    rows = _fixture()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.class_id, r.n_links) for r in jaccard.similarity_classes(docs).collect()), key=str)
+    assert got == _brute(rows)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101)], "a long, b long")
     got = {r.node: r.root for r in jaccard.components(edges).collect()}
