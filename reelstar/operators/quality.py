@@ -8,9 +8,11 @@ Failure counts follow the usual meaning of these column tests:
 * relationships -- child rows with a non-null value missing from the parent;
 * accepted_values -- distinct non-null values outside the accepted list.
 
-All checks of one model come from one aggregation of ``(column, value)``
-pairs: a single pass and shuffle over the model, with partial aggregation
-collapsing hot values before the shuffle.
+Nulls are counted in place: no value is shuffled for them.  The other checks of
+a model share one aggregation of ``(column, fingerprint)`` pairs, with partial
+aggregation collapsing hot values before the shuffle.  A fingerprint is 16
+bytes, two 64-bit hashes of the value's text, so no text is shuffled; two
+different values share one with a probability of about 1e-15 among 10**12.
 """
 
 from __future__ import annotations
@@ -103,55 +105,75 @@ def _long(one_row: DataFrame, checks: Sequence[Check], aliases: Sequence[str]) -
     return one_row.select(F.expr(f"stack({len(checks)}, {args}) AS (model, `column`, test, failures)"))
 
 
+def _fingerprint(text: str) -> tuple[str, str]:
+    return f"xxhash64({text})", f"xxhash64('reelstar', {text})"
+
+
 def column_value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column index, value as text, rows) for several columns in one shuffle;
-    partial aggregation collapses a hot value in every task first."""
+    """(column index, fingerprint, rows) of the non-null values of several columns in one
+    shuffle; partial aggregation collapses a hot value in every task first."""
     pairs = ", ".join(f"struct({i} AS _c, CAST(`{c}` AS STRING) AS _v)" for i, c in enumerate(columns))
-    return (df.selectExpr(f"inline(array({pairs}))")
-            .groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_k")))
+    h, g = _fingerprint("_v")
+    return (df.selectExpr(f"inline(array({pairs}))").where("_v IS NOT NULL").selectExpr("_c", f"{h} AS _h", f"{g} AS _g")
+            .groupBy("_c", "_h", "_g").agg(F.count(F.lit(1)).alias("_k")))
 
 
-def model_checks(df: DataFrame, model: str, checks: Sequence[Check],
+def null_checks(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
+    """not_null checks of one model: a null count per column from one pass, one row a task shuffled."""
+    counts = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(f"_a{i}") for i, c in enumerate(checks)])
+    return _long(counts, list(checks), [f"_a{i}" for i in range(len(checks))])
+
+
+def value_checks(df: DataFrame, model: str, checks: Sequence[Check],
                  tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All checks of one model in one aggregation over its (column, value, rows).
+    """The other checks of one model in one aggregation over its (column, fingerprint, rows).
 
     The model is read once.  Relationship checks left-join the counted values
     of their column with the parent's distinct keys (cast to the child's
-    type, compared as text, tagged with the column index), so an orphan is a
-    counted value without a tag; accepted values are tested on the counted
-    values.  One output branch per model -- nothing depends on Spark reusing
-    a shared subplan.
+    type, compared by the fingerprint of their text, tagged with the column
+    index), so an orphan is a counted value without a tag; accepted values are
+    tested on the counted values.  One output branch per model -- nothing
+    depends on Spark reusing a shared subplan.
     """
     columns = list(dict.fromkeys(c.column for c in checks))
     counts = column_value_counts(df, columns)
+    h, g = _fingerprint("_v")
     for n, c in enumerate(ch for ch in checks if ch.test == RELATIONSHIPS):
         i = columns.index(c.column)
         child_type = df.schema[c.column].dataType
         keys = (tables[c.to].select(F.col(c.field).cast(child_type).cast("string").alias("_v"))
-                .where("_v IS NOT NULL").distinct()
-                .select(F.lit(i).alias("_c"), "_v", F.lit(True).alias(f"_hit{n}")))
-        counts = counts.join(keys, ["_c", "_v"], "left")
+                .where("_v IS NOT NULL").selectExpr(f"{h} AS _h", f"{g} AS _g").distinct()
+                .select(F.lit(i).alias("_c"), "_h", "_g", F.lit(True).alias(f"_hit{n}")))
+        counts = counts.join(keys, ["_c", "_h", "_g"], "left")
     aggs, n_rel = [], 0
     for c in checks:
         i = columns.index(c.column)
         alias = f"`_a{len(aggs)}`"
-        if c.test == NOT_NULL:
-            aggs.append(f"coalesce(sum(CASE WHEN _c = {i} AND _v IS NULL THEN _k END), 0) AS {alias}")
-        elif c.test == UNIQUE:
-            aggs.append(f"count_if(_c = {i} AND _v IS NOT NULL AND _k > 1) AS {alias}")
+        if c.test == UNIQUE:
+            aggs.append(f"count_if(_c = {i} AND _k > 1) AS {alias}")
         elif c.test == RELATIONSHIPS:
-            aggs.append(f"coalesce(sum(CASE WHEN _c = {i} AND _v IS NOT NULL AND _hit{n_rel} IS NULL "
-                        f"THEN _k END), 0) AS {alias}")
+            aggs.append(f"coalesce(sum(CASE WHEN _c = {i} AND _hit{n_rel} IS NULL THEN _k END), 0) AS {alias}")
             n_rel += 1
         else:
             child_type = df.schema[c.column].dataType.simpleString()
-            allowed = ", ".join(f"CAST(CAST({v!r} AS {child_type}) AS STRING)" for v in c.values)
-            aggs.append(f"count_if(_c = {i} AND _v IS NOT NULL AND _v NOT IN ({allowed})) AS {alias}")
+            allowed = [_fingerprint(f"CAST(CAST({v!r} AS {child_type}) AS STRING)") for v in c.values]
+            known = " OR ".join(f"(_h = {x} AND _g = {y})" for x, y in allowed) or "false"
+            aggs.append(f"count_if(_c = {i} AND NOT ({known})) AS {alias}")
     return _long(counts.selectExpr(*aggs), list(checks), [f"_a{i}" for i in range(len(aggs))])
 
 
+def model_checks(df: DataFrame, model: str, checks: Sequence[Check],
+                 tables: Mapping[str, DataFrame]) -> DataFrame:
+    """All checks of one model."""
+    nulls = [c for c in checks if c.test == NOT_NULL]
+    values = [c for c in checks if c.test != NOT_NULL]
+    parts = [null_checks(df, model, nulls)] if nulls else []
+    parts += [value_checks(df, model, values, tables)] if values else []
+    return reduce(DataFrame.unionByName, parts)
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataFrame:
-    """Run a list of checks; one output row per check, one pass per model."""
+    """Run a list of checks; one output row per check, one pass per model for nulls and one for values."""
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         by_model.setdefault(c.model, []).append(c)

@@ -22,6 +22,25 @@ def test_checks_count_failures(spark):
     }
 
 
+def test_checks_of_an_empty_model_and_of_texts(spark):
+    empty = spark.createDataFrame([], "k string")
+    texts = spark.createDataFrame([("a",), ("A",), ("",), ("",), (None,)], "k string")
+    checks = [Q.Check("e", "k", t, to="t", field="k", values=("a",)) for t in Q.KINDS]
+    assert {r.test: r.failures for r in Q.run_checks({"e": empty, "t": texts}, checks).collect()} == dict.fromkeys(Q.KINDS, 0)
+    checks = [Q.Check("t", "k", t, to="e", field="k", values=("a",)) for t in Q.KINDS]
+    got = {r.test: r.failures for r in Q.run_checks({"e": empty, "t": texts}, checks).collect()}
+    assert got == {"not_null": 1, "unique": 1, "relationships": 4, "accepted_values": 2}
+
+
+def test_null_checks_shuffle_no_value(spark):
+    df = spark.range(100).selectExpr("CAST(id AS STRING) AS k")
+    plan = Q.run_checks({"m": df}, [Q.Check("m", "k", Q.NOT_NULL)])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan
+    plan = Q.run_checks({"m": df}, [Q.Check("m", "k", Q.UNIQUE)])._jdf.queryExecution().executedPlan().toString()
+    exchanged = plan.split("hashpartitioning", 1)[1].split(")", 1)[0]
+    assert "_h#" in exchanged and "_v#" not in exchanged
+
+
 def test_declared_suite_shape():
     suite = Q.DECLARED_SUITE
     assert len(suite) == 53
