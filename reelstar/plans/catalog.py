@@ -4,6 +4,7 @@ else on Spark, so its work grows with the data."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import StreamingQueryException
@@ -24,6 +25,7 @@ from reelstar.plans import queries as A
 from reelstar.plans.warehouse import Warehouse
 from reelstar.schemas import RAW_PURCHASE
 from reelstar.session import scratch_folder
+from reelstar.sources import bucketed as B
 from reelstar.sources import ledger as L
 from reelstar.sources import quarantine as R
 from reelstar.sources.files import list_files, table
@@ -246,45 +248,41 @@ def m8(spark, d):
 
 # -- data quality ----------------------------------------------------------------
 
-def dq_tables(w: Warehouse, mode: str = M.INTENT, stored: bool = True) -> dict[str, DataFrame]:
+# The sources that a checked model is built from.
+DQ_SOURCES = {"user_purchase": ("user_purchase",), "stg_user_purchase": ("user_purchase",),
+              "classified_movie_review": ("classified_movie_review",), "stg_classified_movie_review": ("classified_movie_review",),
+              "review_logs": ("review_logs",), "stg_review_logs": ("review_logs",),
+              "fact_movie_analytics": ("user_purchase", "classified_movie_review", "review_logs")}
+DQ_DIM = ("classified_movie_review", "review_logs")
+
+
+def dq_tables(w: Warehouse, mode: str = M.INTENT, models: set[str] | None = None) -> dict[str, DataFrame]:
     """The models the declared suite checks.
 
-    With ``stored`` the three source tables are written once to the shared
-    checkpoint folder -- the suite runs against stored sources, as it would
-    in the warehouse -- and staging, dims and fact derive from those copies,
-    so the ~20 check branches do not each rebuild the feeds.
+    Of the sources, those from which two or more of ``models`` (default: all)
+    are built are written once to the shared checkpoint folder, so that check
+    branches do not each rebuild the feeds; the others are read in place, with
+    the columns that the checks need.
     """
-    if stored:
-        from reelstar.plans.jobs import build_marts
-        from reelstar.session import cut_lineage_all
-        up, cr, rl = cut_lineage_all([w.user_purchase, w.classified_movie_review, w.review_logs])
-        tables = {
-            "user_purchase": up,
-            "classified_movie_review": cr,
-            "review_logs": rl,
-            "stg_review_logs": S.stg_review_logs(rl),
-            "stg_classified_movie_review": cr,
-            "stg_user_purchase": S.stg_user_purchase(up),
-        }
-        tables.update(build_marts(up, cr, rl, mode, store=False))
-        return tables
-    tables = {
-        "user_purchase": w.user_purchase,
-        "classified_movie_review": w.classified_movie_review,
-        "review_logs": w.review_logs,
-        "stg_review_logs": w.stg_review_logs,
-        "stg_classified_movie_review": w.stg_classified_movie_review,
-        "stg_user_purchase": w.stg_user_purchase,
-        "fact_movie_analytics": w.fact(mode),
-    }
-    tables.update(w.dims(mode))
+    from reelstar.plans.jobs import build_marts
+    from reelstar.session import cut_lineage_all
+    names = models or {x for c in Q.DECLARED_SUITE for x in (c.model, c.to) if x}
+    used = [s for m in names for s in DQ_SOURCES.get(m, DQ_DIM)]
+    sources = {"user_purchase": w.user_purchase, "classified_movie_review": w.classified_movie_review, "review_logs": w.review_logs}
+    shared = [s for s in sources if used.count(s) > 1]
+    sources.update(zip(shared, cut_lineage_all([sources[s] for s in shared])))
+    up, cr, rl = sources.values()
+    tables = {**sources, "stg_review_logs": S.stg_review_logs(rl), "stg_classified_movie_review": cr,
+              "stg_user_purchase": S.stg_user_purchase(up)}
+    tables.update(build_marts(up, cr, rl, mode, store=False))
     return tables
 
 
 def _dq(kind: str | None, mode: str = M.INTENT) -> Query:
     def run(spark, d):
         suite = Q.DECLARED_SUITE if kind is None else Q.checks_of_kind(kind)
-        return Q.run_checks(dq_tables(_w(spark, d), mode), suite)
+        models = {x for c in suite for x in (c.model, c.to) if x}
+        return Q.run_checks(dq_tables(_w(spark, d), mode, models), suite)
     run.__name__ = f"dq_{kind or 'report'}" + ("_asis" if mode == M.AS_WRITTEN else "")
     return run
 
@@ -365,6 +363,17 @@ def insert_new_purchases(spark, d):
     return C.insert_new(staged, target.select(*C.PURCHASE_KEY))
 
 
+def insert_ignore_bucketed(spark, d):
+    """A bucketed table of half the purchases after all of them are loaded into it, twice."""
+    folder = scratch_folder(spark, "bucketed")
+    staged = _w(spark, d).stg_user_purchase
+    name = f"purchases_{uuid.uuid4().hex}"
+    B.create(staged.where(F.col("invoice_number").try_cast("bigint") % 2 == 0), name, path=folder)
+    B.insert_ignore(staged, name)
+    B.insert_ignore(staged, name)
+    return spark.read.parquet(folder).select(*staged.columns)
+
+
 def purchase_ids(spark, d):
     staged = _w(spark, d).stg_user_purchase
     return C.dense_serial_id(staged, ["invoice_number", "stock_code", "quantity", "unit_price"])
@@ -474,6 +483,7 @@ QUERIES: dict[str, Query] = {
     "ingest_new_files": ingest_new_files,
     "ledger_merge": ledger_merge,
     "insert_new_purchases": insert_new_purchases,
+    "insert_ignore_bucketed": insert_ignore_bucketed,
     "purchase_ids": purchase_ids,
     "classify_reviews_ml": classify_reviews_ml,
     "review_sentiment_nb": review_sentiment_nb,

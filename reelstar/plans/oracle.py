@@ -441,6 +441,13 @@ ORACLE: dict[str, str] = {
                                                     customer_id, country) AS rn
               FROM stg_user_purchase) t
         WHERE rn = 1 AND NOT coalesce(TRY_CAST(invoice_number AS BIGINT) % 2 = 0, false)"""),
+    "insert_ignore_bucketed": sql(("stg_user_purchase",), """
+        SELECT invoice_number, stock_code, detail, quantity, invoice_date, unit_price, customer_id, country
+        FROM (SELECT *, row_number() OVER (PARTITION BY invoice_number, stock_code
+                                           ORDER BY invoice_date, quantity, unit_price, detail,
+                                                    customer_id, country) AS rn
+              FROM stg_user_purchase) t
+        WHERE rn = 1"""),
     "purchase_ids": sql(("stg_user_purchase",), """
         SELECT row_number() OVER (ORDER BY invoice_number, stock_code, quantity, unit_price) AS id, *
         FROM stg_user_purchase"""),
