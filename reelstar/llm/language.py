@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from reelstar.llm import textscan as T
-from reelstar.llm.folds import fold
+from reelstar.llm.folds import fold, smallest
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -124,7 +124,12 @@ def train(x: np.ndarray, y: np.ndarray, langs: list[str], epochs: int = 8, batch
 
 
 def fit(docs: DataFrame, per_language: int = 600, each: int = 3, folds: int = 3, held: int = 1) -> Net:
-    """Network of a sample of about ``per_language`` texts per language outside fold ``held``, ``each`` windows of a text."""
+    """Network of about ``per_language`` texts per language outside fold ``held``, ``each`` windows of a text.
+
+    Rows are drawn by a hash of id and text, so null or repeated ids do not swell
+    the sample, and a row that repeats whole counts once; twice ``per_language``
+    times the languages are the most.
+    """
     rows = docs.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"),
                        F.col("doc_id").cast("long").alias("doc_id"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (fold(F.col("doc_id"), folds) != held))
@@ -133,7 +138,8 @@ def fit(docs: DataFrame, per_language: int = 600, each: int = 3, folds: int = 3,
         return Net([np.zeros((w, CLASSES, FILTERS)) for w in WIDTHS], np.zeros((len(WIDTHS) * FILTERS, 1)), np.zeros(1), [UNKNOWN])
     langs = sorted(counts)
     share = F.create_map(*(F.lit(v) for k in langs for v in (k, int(min(1.0, per_language / counts[k]) * (1 << 30)))))
-    chosen = rows.where(F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1 << 30)) < share[F.col("lang")])
+    h = F.xxhash64(F.lit(3), "doc_id", "text")
+    chosen = smallest(rows.where(F.pmod(h, F.lit(1 << 30)) < share[F.col("lang")]), h, 2 * per_language * len(langs))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

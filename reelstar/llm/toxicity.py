@@ -113,16 +113,22 @@ def _slim(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, positives: int = 4000, unlabelled: int = 12000,
         folds: int = 5, held: int = 0) -> Model:
-    """Model of the rows outside fold ``held``.  ``prior`` is the toxic share of their labels."""
+    """Model of the rows outside fold ``held``.  ``prior`` is the toxic share of their labels.
+
+    At most ``positives`` texts of toxic ids and ``unlabelled`` others are learned
+    from, also where ids are null or repeat: rows are drawn by a hash of id and
+    text, and a row that repeats whole counts once.
+    """
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
              .where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != held)))
     prior = known.agg(F.avg((F.col("toxic") == 1).cast("int"))).first()[0] or 0.0
     toxic = known.where("toxic = 1").select("doc_id").distinct()
-    toxic = sampled(toxic, F.col("doc_id"), positives, 1).withColumn("positive", F.lit(True))
+    toxic = sampled(toxic, [F.col("doc_id")], positives, 1)
     rows = _slim(docs).where(fold(F.col("doc_id"), folds) != held)
-    plain = sampled(rows, F.col("doc_id"), unlabelled, 2).withColumn("positive", F.lit(False))
+    both = [F.col("doc_id"), F.col("text")]
+    plain = sampled(rows, both, unlabelled, 2).withColumn("positive", F.lit(False))
     # ``toxic`` holds ``positives`` ids at most, so its broadcast is bounded
-    chosen = rows.join(F.broadcast(toxic), "doc_id").unionByName(plain)
+    chosen = sampled(rows.join(F.broadcast(toxic), "doc_id"), both, positives, 1).withColumn("positive", F.lit(True)).unionByName(plain)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
