@@ -24,10 +24,11 @@ from reelstar.plans import feeds
 from reelstar.plans import queries as A
 from reelstar.plans.warehouse import Warehouse
 from reelstar.schemas import RAW_PURCHASE
-from reelstar.session import scratch_folder
+from reelstar.session import cut_lineage, scratch_folder
 from reelstar.sources import bucketed as B
 from reelstar.sources import ledger as L
 from reelstar.sources import quarantine as R
+from reelstar.sources.clustered import write_clustered
 from reelstar.sources.files import list_files, table
 from reelstar.sources.sinks import export_csv
 from reelstar.streaming import ingest as I
@@ -164,6 +165,19 @@ def fact_movie_analytics_asis(spark, d):
     return _fact_out(_w(spark, d).fact(M.AS_WRITTEN))
 
 
+def fact_clustered_readback(spark, d):
+    """The fact from a store in Z-order of customer and amount, a folder a year; the
+    latest year is stored with wrong scores at first and then replaced alone."""
+    path = scratch_folder(spark, "clustered")
+    fact = cut_lineage(_w(spark, d).fact(M.INTENT).withColumn("year", F.coalesce(F.year("insert_date"), F.lit(0))))
+    last = fact.agg(F.max("year")).first()[0] or 0
+    score = F.when(F.col("year") == last, F.lit(-1)).otherwise(F.col("review_score")).cast("bigint")
+    by = ["customer_id", "amount_spent"]
+    write_clustered(fact.withColumn("review_score", score), path, by, partition_by=["year"])
+    write_clustered(fact.where(F.col("year") == last), path, by, partition_by=["year"])
+    return _fact_out(spark.read.schema(fact.schema).parquet(path).drop("year"))
+
+
 # -- analytic queries ------------------------------------------------------------
 
 def _star(spark, d):
@@ -458,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "purchases_with_reviews": purchases_with_reviews,
     "fact_movie_analytics": fact_movie_analytics,
     "fact_movie_analytics_asis": fact_movie_analytics_asis,
+    "fact_clustered_readback": fact_clustered_readback,
     "q1_reviews_by_state_device": q1,
     "q2_positive_by_location": q2,
     "q3_revenue_sentiment": q3,

@@ -304,6 +304,7 @@ ORACLE: dict[str, str] = {
               FROM stg_classified_movie_review GROUP BY user_id) r
           ON p.customer_id = r.user_id"""),
     "fact_movie_analytics": sql(("fact_movie_analytics",), _FACT_OUT.format("fact_movie_analytics")),
+    "fact_clustered_readback": sql(("fact_movie_analytics",), _FACT_OUT.format("fact_movie_analytics")),
     "fact_movie_analytics_asis": sql(("fact_movie_analytics_aw",), _FACT_OUT.format("fact_movie_analytics_aw")),
     "q1_reviews_by_state_device": sql(("fact_movie_analytics", "dim_location", "dim_devices"), f"""
         SELECT l.location AS state, d.device, count(f.review_count) AS total_reviews
