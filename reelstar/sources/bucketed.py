@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from reelstar.operators.clean import PURCHASE_KEY, first_per_key
 from reelstar.session import cut_lineage
 
-BUCKETS = 64   # of a new table; as many as one load needs tasks
-
 
 def buckets_of(spark: SparkSession, name: str) -> tuple[int, list[str]]:
     """Number and columns of a table's buckets (0 and none of a plain table)."""
@@ -33,10 +31,12 @@ def _append(rows: DataFrame, name: str, n: int, key: Sequence[str], path: str |
     writer.saveAsTable(name)
 
 
-def create(rows: DataFrame, name: str, key: Sequence[str] = PURCHASE_KEY, buckets: int = BUCKETS, path: str | None = None,
+def create(rows: DataFrame, name: str, key: Sequence[str] = PURCHASE_KEY, buckets: int | None = None, path: str | None = None,
            order: Sequence[str] = ("invoice_date", "quantity", "unit_price")) -> DataFrame:
-    """A table of the first row per key, in ``buckets`` files by the key; ``rows`` may be empty."""
-    _append(first_per_key(rows, key, order), name, buckets, key, path)
+    """A table of the first row per key, in ``buckets`` files by the key (default: as many as
+    shuffle partitions); ``rows`` may be empty."""
+    n = buckets or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    _append(first_per_key(rows, key, order), name, n, key, path)
     return rows.sparkSession.table(name)
 
 
