@@ -1,13 +1,20 @@
 """Exact top-k inner-product search by branch and bound over ball trees.
 
-Vectors are quantised to integers, so scores are exact.  Every shard (a hash
-slice of the vectors) builds a ball tree; queries visit its nodes in the order
-of the bound ``q.centre + |q| * radius`` and drop a node whose bound lies below
-the query's current k-th score.  That score is shared: each query starts with
-the k-th best score over a common set of pilot vectors, which are candidates
-themselves, so the bound is valid in every shard (it is fixed: no shard sees a
-score that another one has raised).  Queries meet shards in
-blocks; per (query, shard) k rows at most are merged.
+Vectors are quantised to integers, so scores are exact.  They are dealt to
+cells by their nearest centre (pilot vectors, ``PILOTS`` at most); a cell is one
+or more shards of about ``SHARD_ROWS`` rows.  A shard builds a ball tree;
+queries visit its nodes in the order of the bound ``q.centre + |q| * radius``
+and drop a node whose bound lies below the query's current k-th score.
+
+That score is shared by rounds.  A query starts with its k-th best score over
+the pilots, which are candidates themselves.  In the first round it visits one
+shard of the cell of highest bound, which raises the score; in the second it
+takes the raised score to the shards of all other cells, but to those only
+whose ball bound reaches it.
+
+A task holds one shard and one block of at most about ``QUERY_BLOCK`` queries,
+whatever the table's size.  Equal rows (id and vector) are counted, and as many
+of them as can have a rank are kept: k.
 
 Wide vectors, whose squared norm could leave 64-bit integers, stay out of the
 trees: every pair with one is scored with Python integers.
@@ -27,8 +34,9 @@ from pyspark.sql import functions as F
 from reelstar.session import cut_lineage
 
 SHARD_ROWS = 16384     # vectors per shard, about
-QUERY_ROWS = 2048      # queries that go down a tree together
-PILOTS = 2048          # vectors of the common first bound
+QUERY_BLOCK = 16384    # queries that meet a shard in one task, about
+QUERY_ROWS = 2048      # rows compared together: queries in a tree, vectors with pilots
+PILOTS = 2048          # vectors of the common first bound, cells at most
 LEAF = 128
 HIT = "query_id long, vec_id long, score long"
 
@@ -75,9 +83,14 @@ def _exact_hits(store: DataFrame, queries: DataFrame, shards: int, k: int) -> Da
         return pa.table([pa.array(v, t) for v, t in zip(zip(*out) if out else [[]] * 4, types)],
                         names=["query_id", "vec_id", "score", "sort_key"])
 
-    dealt = store.withColumn("shard", F.pmod(F.xxhash64(F.lit(6), "vec_id", "x", "c"), F.lit(shards)).cast("int"))
-    asked = queries.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    return dealt.groupBy("shard").cogroup(asked.groupBy("shard")).applyInArrow(look, HIT + ", sort_key binary")
+    blocks = max(1, math.ceil(queries.count() / QUERY_BLOCK))
+    every_of = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    dealt = (store.withColumn("shard", F.pmod(F.xxhash64(F.lit(6), "vec_id", "x", "c"), F.lit(shards)).cast("int"))
+             .withColumn("block", every_of(blocks)))
+    asked = (queries.withColumn("block", F.pmod(F.xxhash64("vec_id", "x", "c"), F.lit(blocks)).cast("int"))
+             .withColumn("shard", every_of(shards)))
+    by = ("shard", "block")
+    return dealt.groupBy(*by).cogroup(asked.groupBy(*by)).applyInArrow(look, HIT + ", sort_key binary")
 
 
 def _with_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,46 +207,122 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50) -> DataFrame:
             .select("query_id", "rank", "vec_id", "score"))
 
 
+LOWEST = np.iinfo(np.int64).min
+ASKED = "vec_id long, x binary, floor long, shard long"
+STATE = ASKED + ", ids array<long>, scores array<long>"
+
+
+def _blocks(queries: DataFrame, store: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the ``block`` that their (shard, block) task needs; a shard no query asks for drops out."""
+    counts = queries.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / QUERY_BLOCK).alias("blocks"))
+    asked = queries.join(counts, "shard").withColumn("block", F.pmod(F.xxhash64("vec_id", "x"), F.col("blocks"))).drop("blocks")
+    dealt = store.join(counts, "shard").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    return asked, dealt
+
+
+def _visit(queries: DataFrame, store: DataFrame, k: int, state: bool) -> DataFrame:
+    """Each (query, shard) with the hits that may belong to the k best; with ``state`` also the query and its raised floor."""
+    def look(left: pa.Table, right: pa.Table) -> pa.Table:
+        qid, floor = right.column("vec_id").to_numpy(), right.column("floor").to_numpy().copy()
+        ids, scores = [[] for _ in qid], [[] for _ in qid]
+        if left.num_rows and right.num_rows:
+            x, q = _widened(_matrix(left.column("x")), _matrix(right.column("x")))
+            copies = left.column("copies").to_numpy()
+            who, tree = np.repeat(left.column("vec_id").to_numpy(), copies), BallTree(np.repeat(x, copies, axis=0))
+            for a in range(0, len(q), QUERY_ROWS):
+                part = slice(a, a + QUERY_ROWS)
+                for at, vec, score in zip(*tree.search(who, q[part], qid[part], floor[part], k)):
+                    ids[a + at].append(vec)
+                    scores[a + at].append(score)
+        hits = [pa.array(v, pa.list_(pa.int64())) for v in (ids, scores)]
+        if not state:
+            return pa.table([right.column("vec_id"), *hits], names=["vec_id", "ids", "scores"])
+        return pa.table([right.column("vec_id"), right.column("x"), pa.array(floor), right.column("shard"), *hits],
+                        names=["vec_id", "x", "floor", "shard", "ids", "scores"])
+
+    asked, dealt = _blocks(queries, store)
+    by = ("shard", "block")
+    return dealt.groupBy(*by).cogroup(asked.groupBy(*by)).applyInArrow(look, STATE if state else "vec_id long, ids array<long>, scores array<long>")
+
+
+def _hits(visited: DataFrame) -> DataFrame:
+    return (visited.select(F.col("vec_id").alias("query_id"), F.explode(F.arrays_zip("ids", "scores")).alias("h"))
+            .select("query_id", F.col("h.ids").alias("vec_id"), F.col("h.scores").alias("score")))
+
+
 def _narrow_hits(rows: DataFrame, n: int, k: int, every: int) -> DataFrame:
     """Hits among the ``n`` vectors of 64-bit integers that may belong to the k best."""
     spark = rows.sparkSession
-    shards = max(1, math.ceil(n / SHARD_ROWS))
-    # a bounded common set: PILOTS rows of smallest hash
-    pilots = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PILOTS).toArrow()
-    pilot = spark.sparkContext.broadcast((pilots.column("vec_id").to_numpy(),
-                                          _matrix(pa.array([np.array(v, np.int64).tobytes() for v in pilots.column("x").to_pylist()]))))
+    # a bounded common set: PILOTS rows of smallest hash; the first distinct ones are the cells' centres
+    pilots = rows.orderBy(F.xxhash64("vec_id", "x"), "vec_id").limit(PILOTS).toArrow()
+    packed_pilots = [np.array(v, np.int64).tobytes() for v in pilots.column("x").to_pylist()]
+    centres = list(dict.fromkeys(packed_pilots))[:math.ceil(n / SHARD_ROWS)]
+    pilot = spark.sparkContext.broadcast((pilots.column("vec_id").to_numpy(), _matrix(pa.array(packed_pilots)), _matrix(pa.array(centres))))
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data = [np.array(v, np.int64).tobytes() for v in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(data, pa.binary())], names=["vec_id", "x"])
 
-    def floors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, x = pilot.value
+    def celled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The nearest centre of each vector, and the distance to it."""
         for batch in batches:
-            q, p = _widened(_matrix(batch.column(1)), x)
-            s = _scores(q, p)
-            s[ids[None, :] == batch.column(0).to_numpy()[:, None]] = np.iinfo(np.int64).min
-            s.sort(axis=1)
-            low = s[:, -k] if s.shape[1] >= k else np.full(len(s), np.iinfo(np.int64).min)
-            yield pa.record_batch([*batch.columns, pa.array(low)], names=["vec_id", "x", "floor"])
-
-    every_row = rows.mapInArrow(packed, "vec_id long, x binary")
-    queries = (every_row.where(F.col("vec_id") % every == 0).distinct().mapInArrow(floors, "vec_id long, x binary, floor long")
-               .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    store = every_row.withColumn("shard", F.pmod(F.xxhash64(F.lit(6), "vec_id", "x"), F.lit(shards)).cast("int"))
-
-    def look(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [np.zeros(0, np.int64)] * 3
-        if left.num_rows and right.num_rows:
-            x, q = _widened(_matrix(left.column("x")), _matrix(right.column("x")))
-            ids, qid = left.column("vec_id").to_numpy(), right.column("vec_id").to_numpy()
-            tree, parts = BallTree(x), []
-            for a in range(0, len(q), QUERY_ROWS):
-                floor = right.column("floor").to_numpy()[a:a + QUERY_ROWS].copy()
-                at, vec, score = tree.search(ids, q[a:a + QUERY_ROWS], qid[a:a + QUERY_ROWS], floor, k)
-                parts.append((qid[a:a + QUERY_ROWS][at], vec, score))
-            out = [np.concatenate(c) for c in zip(*parts)]
-        return pa.table([pa.array(c) for c in out], names=["query_id", "vec_id", "score"])
-
-    return store.groupBy("shard").cogroup(queries.groupBy("shard")).applyInArrow(look, HIT)
+            for a in range(0, batch.num_rows, QUERY_ROWS):
+                part = batch.slice(a, QUERY_ROWS)
+                x, c = (m.astype(np.float64) for m in _widened(_matrix(part.column(1)), pilot.value[2]))
+                cell = ((c * c).sum(axis=1) - 2 * (x @ c.T)).argmin(axis=1)
+                gap = np.linalg.norm(x - c[cell], axis=1)
+                yield pa.record_batch([*part.columns, pa.array(cell), pa.array(gap)], names=["vec_id", "x", "copies", "cell", "gap"])
+
+    counted = (rows.mapInArrow(packed, "vec_id long, x binary").groupBy("vec_id", "x")
+               .agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("copies")))
+    store = cut_lineage(counted.mapInArrow(celled, "vec_id long, x binary, copies long, cell long, gap double"))
+    # one row per cell: PILOTS rows at most
+    found = store.groupBy("cell").agg(F.sum("copies").alias("n"), F.max("gap").alias("gap")).toArrow().sort_by("cell")
+    cells = found.column("cell").to_numpy()
+    parts = -(-found.column("n").to_numpy().astype(np.int64) // SHARD_ROWS)
+    first = np.cumsum(parts) - parts
+    radius = found.column("gap").to_numpy() * (1 + 1e-9) + 1e-6
+    plan = spark.createDataFrame(pa.table([pa.array(cells), pa.array(first), pa.array(parts)], names=["cell", "first", "parts"]))
+    store = (store.join(F.broadcast(plan), "cell")
+             .select("vec_id", "x", "copies", (F.col("first") + F.pmod(F.xxhash64(F.lit(6), "vec_id", "x"), F.col("parts"))).alias("shard")))
+
+    def bounds(q: np.ndarray) -> np.ndarray:
+        """No score of a query with a row of a cell lies above this."""
+        q, c = (m.astype(np.float64) for m in _widened(q, pilot.value[2][cells]))
+        norm, far = np.linalg.norm(q, axis=1)[:, None], np.linalg.norm(c, axis=1) + radius
+        return q @ c.T + norm * radius + norm * far * 1e-15 * (1000 + q.shape[1]) + 1e-3
+
+    def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The k-th score over the pilots, and a shard of the cell of highest bound."""
+        ids, x, _ = pilot.value
+        for batch in batches:
+            for a in range(0, batch.num_rows, QUERY_ROWS):
+                part = batch.slice(a, QUERY_ROWS)
+                qid, own = part.column(0).to_numpy(), _matrix(part.column(1))
+                s = _scores(*_widened(own, x))
+                s[ids[None, :] == qid[:, None]] = LOWEST
+                s.sort(axis=1)
+                low = s[:, -k] if s.shape[1] >= k else np.full(len(s), LOWEST)
+                cell = bounds(own).argmax(axis=1)
+                yield pa.record_batch([*part.columns, pa.array(low), pa.array(first[cell] + qid // every % parts[cell])],
+                                      names=["vec_id", "x", "floor", "shard"])
+
+    def rest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row per other shard whose bound reaches the raised score."""
+        cell_of = np.repeat(np.arange(len(parts)), parts)
+        for batch in batches:
+            for a in range(0, batch.num_rows, QUERY_ROWS):
+                part = batch.slice(a, QUERY_ROWS)
+                near = (bounds(_matrix(part.column(1))) >= part.column(2).to_numpy()[:, None])[:, cell_of]
+                near[np.arange(len(near)), part.column(3).to_numpy()] = False
+                for row, wanted in enumerate(near):
+                    shards = np.flatnonzero(wanted)
+                    if len(shards):
+                        same = part.slice(row, 1).select(["vec_id", "x", "floor"]).take(pa.array(np.zeros(len(shards), np.int64)))
+                        yield pa.record_batch([*same.columns, pa.array(shards)], names=["vec_id", "x", "floor", "shard"])
+
+    queries = store.where(F.col("vec_id") % every == 0).select("vec_id", "x").mapInArrow(start, ASKED)
+    visited = cut_lineage(_visit(cut_lineage(queries), store, k, True))
+    other = visited.select("vec_id", "x", "floor", "shard").mapInArrow(rest, ASKED)
+    return _hits(visited).unionByName(_hits(_visit(cut_lineage(other), store, k, False)))

@@ -16,6 +16,7 @@ from reelstar.llm import search, suffix_tree
 def test_top_k_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(search, "SHARD_ROWS", 300)
     monkeypatch.setattr(search, "PILOTS", 40)
+    monkeypatch.setattr(search, "QUERY_BLOCK", 7)
     monkeypatch.setattr(search, "LEAF", 16)
     rng = np.random.default_rng(3)
     rows = [(i, [float(v) for v in rng.normal(0, 0.2, 8)], 1) for i in range(1200)]
@@ -32,6 +33,23 @@ def test_top_k_equals_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, search.top_k(df).collect())) == sorted(want)
 
 
+def test_clustered_vectors_and_repeated_rows(spark, monkeypatch):
+    """Tight clusters, a third of all rows one row, a query id with several vectors, a vector of another width."""
+    for name, value in (("SHARD_ROWS", 50), ("PILOTS", 30), ("QUERY_BLOCK", 3), ("LEAF", 8)):
+        monkeypatch.setattr(search, name, value)
+    rng = np.random.default_rng(5)
+    homes = rng.normal(0, 2, (6, 4))
+    rows = [(i, [float(v) for v in homes[i % 6] + rng.normal(0, 0.01, 4)]) for i in range(400)]
+    rows += [(777, rows[3][1])] * 200 + [(100, [float(v) for v in rng.normal(0, 1, 4)]) for _ in range(5)] + [(150, [0.5, 0.25])]
+    whole = [(i, tuple(math.floor(256 * c) for c in v)) for i, v in rows]
+    want = []
+    for q in sorted({i for i, _ in whole if i % 50 == 0}):
+        hits = [(-sum(a * b for a, b in zip(x, y)), j) for x in {x for i, x in whole if i == q} for j, y in whole if j != q]
+        want += [(q, r + 1, j, -s) for r, (s, j) in enumerate(sorted(hits)[:5])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    assert sorted(map(tuple, search.top_k(df).collect())) == sorted(want)
+
+
 def test_search_small_tables(spark):
     schema = "vec_id long, embedding array<float>"
     assert search.top_k(spark.createDataFrame([], schema)).count() == 0
