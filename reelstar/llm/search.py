@@ -128,6 +128,7 @@ class BallTree:
     def __init__(self, x: np.ndarray):
         self.x = x
         self.points = x.astype(np.float64)
+        self.largest = float(np.abs(self.points).max(initial=0))
         self.slack = float(np.linalg.norm(self.points, axis=1).max(initial=0)) * 1e-15 * (1000 + x.shape[1])
         self.nodes: list[tuple[np.ndarray, float, np.ndarray, int, int]] = []
         todo = [(np.arange(len(x)), None)]
@@ -152,7 +153,9 @@ class BallTree:
         """Hits (query place, row, score) that may belong to the k best; ``floor`` is raised in place."""
         qf = q.astype(np.float64)
         norm = np.linalg.norm(qf, axis=1)
-        best = np.full((len(q), k), np.iinfo(np.int64).min, np.int64)   # scores
+        lowest = np.iinfo(np.int64).min
+        small = float(np.abs(q).max(initial=0)) * self.largest * max(q.shape[1], 1) < 2.0**53   # doubles hold every sum
+        best = np.full((len(q), k), lowest, np.int64)   # scores
         who = np.full((len(q), k), np.iinfo(np.int64).max, np.int64)
         todo = [(0, np.arange(len(q)))]
         while todo:
@@ -169,15 +172,18 @@ class BallTree:
                     if len(group):
                         todo += [(n, group) for n in order]
                 continue
-            s = _scores(q[some], self.x[rows])
-            s[ids[rows][None, :] == qid[some][:, None]] = np.iinfo(np.int64).min
+            s = (qf[some] @ self.points[rows].T).astype(np.int64) if small else _scores(q[some], self.x[rows])
+            s[ids[rows][None, :] == qid[some][:, None]] = lowest
+            # only queries with a row that may enter their k best are sorted
+            gains = s.max(axis=1) >= np.maximum(floor[some], best[some, -1])
+            some, s = some[gains], s[gains]
             all_s = np.concatenate([best[some], s], axis=1)
             all_w = np.concatenate([who[some], np.broadcast_to(ids[rows], s.shape)], axis=1)
             order = np.lexsort((all_w, ~all_s), axis=1)[:, :k]
             best[some] = np.take_along_axis(all_s, order, 1)
             who[some] = np.take_along_axis(all_w, order, 1)
         np.maximum(floor, best[:, -1], out=floor)
-        at, col = np.nonzero((best > np.iinfo(np.int64).min) & (best >= floor[:, None]))
+        at, col = np.nonzero((best > lowest) & (best >= floor[:, None]))
         return at, who[at, col], best[at, col]
 
 
