@@ -26,16 +26,20 @@ from reelstar.plans.warehouse import Warehouse
 from reelstar.schemas import RAW_PURCHASE
 from reelstar.session import cut_lineage, scratch_folder
 from reelstar.sources import bucketed as B
+from reelstar.sources import infer
 from reelstar.sources import ledger as L
+from reelstar.sources import metrics as K
 from reelstar.sources import quarantine as R
 from reelstar.sources.clustered import write_clustered
 from reelstar.sources.files import list_files, table
-from reelstar.sources.sinks import export_csv
+from reelstar.sources.sinks import csv_to_table, export_csv
 from reelstar.streaming import ingest as I
 
 REVIEW_IDS = T.StructType([T.StructField("cid", T.LongType()), T.StructField("id_review", T.LongType())])
 LOG_FILE = T.StructType([T.StructField("id_review", T.LongType()), T.StructField("logs", T.StringType())])
 
+REVIEW_TEXT = T.StructType([T.StructField("doc_id", T.LongType()), *(T.StructField(c, T.StringType()) for c in ("text", "lang", "source"))])
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -371,6 +375,34 @@ def load_rejects(spark, d):
     return R.outcomes(spark, RAW_PURCHASE, f"{folder}/out", "Quantity").withColumnRenamed("Quantity", "quantity")
 
 
+def inferred_schema(spark, d):
+    """Types of the columns of purchase files, and the values that refuse narrower ones;
+    the files come in two loads whose states are merged."""
+    folder = scratch_folder(spark, "infer")
+    rows = feeds.faulty_purchases(spark, d)
+    even = F.coalesce(F.col("InvoiceNo").try_cast("bigint") % 2 == 0, F.lit(False))
+    export_csv(rows.withColumn("load", F.when(even, 0).otherwise(1)), f"{folder}/in", partition_by=["load"], rows_per_file=ROWS_PER_FILE)
+    return infer.with_types(infer.merge(*(infer.read_state(spark, f"{folder}/in/load={k}") for k in (0, 1))))
+
+
+def load_metrics(spark, d):
+    """Metrics of a purchase load, observed on its write: rows read, dropped, filled and kept, nulls of each column."""
+    folder = scratch_folder(spark, "metrics")
+    cleaned, rows = C.clean_observed(_w(spark, d).raw_purchases)
+    cleaned, nulls = K.observe_nulls(cleaned)
+    K.write_observed(cleaned, folder, "1", rows, nulls)
+    return K.read_metrics(spark, folder).select("metric", "value")
+
+
+def csv_export_reload(spark, d):
+    """Whole review texts after their export to CSV files and the load of these into a table."""
+    folder = scratch_folder(spark, "reload")
+    docs = table(spark, d, "documents").select(*REVIEW_TEXT.names)
+    export_csv(docs, f"{folder}/csv", rows_per_file=ROWS_PER_FILE)
+    loaded = csv_to_table(spark, f"{folder}/csv", REVIEW_TEXT, f"reviews_{uuid.uuid4().hex}", path=f"{folder}/table")
+    return loaded.select("doc_id", "lang", "source", F.length("text").alias("n_chars"), F.md5("text").alias("text_md5"))
+
+
 def insert_new_purchases(spark, d):
     staged = _w(spark, d).stg_user_purchase
     target = staged.where(F.col("invoice_number").try_cast("bigint") % 2 == 0)
@@ -506,4 +538,7 @@ QUERIES: dict[str, Query] = {
     "purchase_ids_incremental": purchase_ids_incremental,
     "fact_incremental": fact_incremental,
     "load_rejects": load_rejects,
+    "inferred_schema": inferred_schema,
+    "load_metrics": load_metrics,
+    "csv_export_reload": csv_export_reload,
 }

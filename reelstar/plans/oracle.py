@@ -243,6 +243,36 @@ def _dims(suffix: str, sel_suffix: str = "") -> dict[str, str]:
     return out
 
 
+# a text of the purchase files -> the condition under which it fits a kind of type
+_FITS = {
+    "bigint": "regexp_full_match(v, '[+-]?[0-9]{{1,18}}')",
+    "double": "regexp_full_match(v, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')",
+    "timestamp_ntz": "v IS NULL OR try_strptime(v, '%m/%d/%Y %H:%M') IS NOT NULL",
+    "boolean": "lower(v) IN ('true', 'false')",
+}
+_FILE_TEXT = {
+    "InvoiceNo": "InvoiceNo", "StockCode": "StockCode", "Description": "Description", "Quantity": "CAST(Quantity AS VARCHAR)",
+    "InvoiceDate": "CASE WHEN CAST(InvoiceNo AS BIGINT) % 53 = 0 THEN 'unknown' ELSE InvoiceDate END",
+    "UnitPrice": "CASE WHEN CAST(StockCode AS BIGINT) % 41 = 0 THEN 'n/a' ELSE CAST(UnitPrice AS VARCHAR) END",
+    "CustomerID": "CAST(CustomerID AS VARCHAR)", "Country": "Country",
+}
+_INFERRED = f"""
+        WITH v AS ({" UNION ALL ".join(f"SELECT '{c}' AS column_name, {e} AS v FROM raw_purchases" for c, e in _FILE_TEXT.items())}),
+        s AS (SELECT column_name, count(*) AS n_rows, count(*) - count(v) AS n_null,
+              {", ".join(f"count(*) FILTER (WHERE NOT ({f})) AS not_{k}, min(v) FILTER (WHERE NOT ({f})) AS bad_{k}" for k, f in _FITS.items())}
+              FROM v GROUP BY column_name)
+        SELECT *, CASE WHEN n_rows = n_null THEN 'string' {" ".join(f"WHEN not_{k} = 0 THEN '{k}'" for k in _FITS)} ELSE 'string' END AS column_type
+        FROM s""".replace("{{", "{").replace("}}", "}")
+_PURCHASE_COLUMNS = ("invoice_number", "stock_code", "detail", "quantity", "invoice_date", "unit_price", "customer_id", "country")
+_METRICS = """
+        SELECT 'rows_in' AS metric, count(*) AS value FROM raw_purchases
+        UNION ALL SELECT 'dropped_missing_customer', count(*) FROM raw_purchases WHERE CustomerID IS NULL
+        UNION ALL SELECT 'rows_out', count(*) FROM raw_purchases WHERE CustomerID IS NOT NULL
+        UNION ALL SELECT 'filled_values', CAST(sum((InvoiceNo IS NULL)::INT + (StockCode IS NULL)::INT + (Description IS NULL)::INT
+                                                   + (InvoiceDate IS NULL)::INT + (Country IS NULL)::INT) AS BIGINT)
+                  FROM raw_purchases WHERE CustomerID IS NOT NULL""" + "".join(
+    f" UNION ALL SELECT 'nulls_{c}', count(*) FROM user_purchase WHERE {c} IS NULL" for c in _PURCHASE_COLUMNS)
+
 ORACLE: dict[str, str] = {
     "clean_user_purchase": sql(("user_purchase",), "SELECT * FROM user_purchase"),
     "drop_missing_customer": sql(("raw_purchases",), "SELECT * FROM raw_purchases WHERE CustomerID IS NOT NULL"),
@@ -435,6 +465,9 @@ ORACLE: dict[str, str] = {
                count(*) AS n_rows, CAST(sum(Quantity) AS BIGINT) AS quantity
         FROM o GROUP BY reason
         UNION ALL SELECT 'read', '', count(*), CAST(sum(Quantity) AS BIGINT) FROM o"""),
+    "inferred_schema": sql(("raw_purchases",), _INFERRED),
+    "load_metrics": sql(("raw_purchases", "user_purchase"), _METRICS),
+    "csv_export_reload": "SELECT doc_id, lang, source, length(text) AS n_chars, md5(text) AS text_md5 FROM documents",
     "insert_new_purchases": sql(("stg_user_purchase",), """
         SELECT invoice_number, stock_code, detail, quantity, invoice_date, unit_price, customer_id, country
         FROM (SELECT *, row_number() OVER (PARTITION BY invoice_number, stock_code

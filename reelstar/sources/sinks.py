@@ -62,14 +62,15 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
 
 
 def csv_to_table(spark: SparkSession, paths, schema: T.StructType, name: str,
-                 fmt: str = "parquet", multiline: bool = True) -> DataFrame:
+                 fmt: str = "parquet", multiline: bool = True, path: str | None = None) -> DataFrame:
     """Load CSV (header skipped) into a table, creating or truncating it.
 
     Quoted texts may hold newlines; ``multiline=False`` lets the large files
-    of a feed without such texts be split.
+    of a feed without such texts be split.  ``path`` is the table's folder where
+    it is not the warehouse's.
     """
-    df = read_csv(spark, paths, schema, multiline=multiline, keep_empty=True)
-    df.write.mode("overwrite").format(fmt).saveAsTable(name)
+    writer = read_csv(spark, paths, schema, multiline=multiline, keep_empty=True).write.mode("overwrite").format(fmt)
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     return spark.table(name)
 
 
