@@ -157,12 +157,42 @@ def log_keys(logs: DataFrame, reviews: DataFrame, mode: str = INTENT,
     if mode == INTENT and log_join_key != USER_KEY:
         raise ValueError("the intent fact holds one log key per customer: join the logs on user_id, "
                          "or use the as-written fact, which keeps every key")
+    if mode == INTENT:
+        # a reviewed user's log ids are the user id: distinct numbers, hashed afterwards
+        users = logs.join(review_users(reviews).withColumnRenamed("user_id", "log_id"), "log_id", "left_semi")
+        return users.select(F.col("log_id").alias("user_id")).distinct().withColumn(LOG_KEY, surrogate_key("user_id"))
     return _dim_rows(logs, reviews, LOG_KEY, [], mode, weighted=True, log_join_key=log_join_key)
 
 
+LOGS = "_n_logs"
+
+
+def star_rows(logs: DataFrame, reviews: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``user_id``, the attributes of several dims and the number of logs that share them: one pass over the logs."""
+    attrs = [a for n in names for a in DIMS[n][1]]
+    users = review_users(reviews).withColumnRenamed("user_id", "log_id")
+    return (logs.join(users, "log_id", "left_semi").groupBy(F.col("log_id").alias("user_id"), *attrs)
+            .agg(F.count(F.lit(1)).alias(LOGS)))
+
+
+def star_dims(rows: DataFrame, names: Sequence[str]) -> dict[str, DataFrame]:
+    """The intent dims of ``names`` and, as ``LOG_KEY``, the fact's key lookup, all from the same ``star_rows``.
+
+    Their columns hang on the count, so the planner can neither drop that
+    aggregate nor push a filter below it: all of them read one exchange.
+    """
+    def dim(key: str, attrs: Sequence[str]) -> DataFrame:
+        some = F.col(LOGS) > 0
+        return rows.select(F.when(some, F.col("user_id")).alias("user_id"), *(F.when(some, F.col(a)).alias(a) for a in attrs)
+                           ).distinct().withColumn(key, surrogate_key("user_id"))
+    return {n: dim(*DIMS[n]) for n in names} | {LOG_KEY: dim(LOG_KEY, ())}
+
+
 def _dim_key_per_user(dim: DataFrame, key: str) -> DataFrame:
     """One key per user; ``min`` keeps the fact at one row per customer even if
-    a user ever had logs under several keys."""
+    a user ever had logs under several keys.  ``log_keys`` has one already."""
+    if key == LOG_KEY:
+        return dim.select("user_id", key)
     return dim.groupBy("user_id").agg(F.min(key).alias(key))
 
 

@@ -185,17 +185,16 @@ def fact_clustered_readback(spark, d):
 # -- analytic queries ------------------------------------------------------------
 
 def _star(spark, d):
-    w = _w(spark, d)
-    return w, w.fact(M.INTENT), w.dim("dim_location"), w.dim("dim_devices")
+    return _w(spark, d).star("dim_location", "dim_devices")
 
 
 def q1(spark, d):
-    _, f, loc, dev = _star(spark, d)
+    f, loc, dev = _star(spark, d)
     return A.q1_reviews_by_state_device(f, loc, dev)
 
 
 def q2(spark, d):
-    _, f, loc, _ = _star(spark, d)
+    f, loc = _w(spark, d).star("dim_location")
     return A.q2_positive_by_location(f, loc)
 
 
@@ -204,7 +203,7 @@ def q3(spark, d):
 
 
 def q5(spark, d):
-    _, f, loc, dev = _star(spark, d)
+    f, loc, dev = _star(spark, d)
     return A.q5_device_by_region(f, loc, dev)
 
 
@@ -223,27 +222,27 @@ def q7_asis(spark, d):
 
 
 def q8(spark, d):
-    _, f, loc, _ = _star(spark, d)
+    f, loc = _w(spark, d).star("dim_location")
     return A.q8_avg_spend_by_state(f, loc)
 
 
 def m1(spark, d):
-    _, f, loc, _ = _star(spark, d)
+    f, loc = _w(spark, d).star("dim_location")
     return A.m1_reviews_by_location(f, loc)
 
 
 def m2(spark, d):
-    _, f, loc, dev = _star(spark, d)
+    f, loc, dev = _star(spark, d)
     return A.m2_reviews_by_device_region(f, loc, dev)
 
 
 def m3(spark, d):
-    _, f, loc, _ = _star(spark, d)
+    f, loc = _w(spark, d).star("dim_location")
     return A.m3_extreme_states(f, loc)
 
 
 def m4(spark, d):
-    _, f, loc, dev = _star(spark, d)
+    f, loc, dev = _star(spark, d)
     return A.m4_device_share(f, loc, dev)
 
 
@@ -252,7 +251,7 @@ def m5(spark, d):
 
 
 def m6(spark, d):
-    _, f, loc, dev = _star(spark, d)
+    f, loc, dev = _star(spark, d)
     return A.m6_most_positive(f, loc, dev)
 
 

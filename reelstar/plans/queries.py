@@ -115,11 +115,14 @@ def m1_reviews_by_location(fact, dim_location) -> DataFrame:
             .orderBy(F.desc("total_reviews"), "location"))
 
 
-def m2_reviews_by_device_region(fact, dim_location, dim_devices) -> DataFrame:
+def _device_region_totals(fact, dim_location, dim_devices) -> DataFrame:
     joined = _with_device(_with_location(fact, dim_location, "region"), dim_devices)
-    return (joined.groupBy("region", "device")
-            .agg(F.sum("review_count").cast("bigint").alias("total_reviews"))
-            .orderBy("region", F.desc("total_reviews"), "device"))
+    return joined.groupBy("region", "device").agg(F.sum("review_count").cast("bigint").alias("total_reviews"))
+
+
+def m2_reviews_by_device_region(fact, dim_location, dim_devices) -> DataFrame:
+    totals = _device_region_totals(fact, dim_location, dim_devices)
+    return totals.orderBy("region", F.desc("total_reviews"), "device")
 
 
 def m3_extreme_states(fact, dim_location) -> DataFrame:
@@ -136,7 +139,7 @@ def m3_extreme_states(fact, dim_location) -> DataFrame:
 
 def m4_device_share(fact, dim_location, dim_devices) -> DataFrame:
     """Share of each device in the reviews of its region."""
-    counts = m2_reviews_by_device_region(fact, dim_location, dim_devices).withColumnRenamed(
+    counts = _device_region_totals(fact, dim_location, dim_devices).withColumnRenamed(
         "total_reviews", "reviews")
     region_total = F.sum("reviews").over(Window.partitionBy("region"))
     return counts.select("region", "device", "reviews",

@@ -78,6 +78,13 @@ class Warehouse:
     def dims(self, mode: str = M.INTENT) -> dict[str, DataFrame]:
         return {n: self.dim(n, mode) for n in ("dim_date", *M.DIMS)}
 
+    def star(self, *names: str) -> tuple[DataFrame, ...]:
+        """The intent fact and the dims ``names`` from one scan of the logs, whose exchange they share."""
+        rows = M.star_rows(self.stg_review_logs, self.stg_classified_movie_review, names)
+        dims = M.star_dims(rows, names)
+        fact = M.fact_intent(self.stg_user_purchase, self.stg_classified_movie_review, dict.fromkeys(M.FACT_DIMS, dims[M.LOG_KEY]))
+        return fact, *(dims[n] for n in names)
+
     def fact(self, mode: str = M.INTENT, shared_keys: bool = True) -> DataFrame:
         key = ("fact", mode, shared_keys)
         if key not in self._marts:

@@ -7,8 +7,10 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from reelstar.operators import marts as M
+from reelstar.plans.catalog import QUERIES
 
 TOKEN = "_dbt_utils_surrogate_key_null_"
 
@@ -103,6 +105,30 @@ def test_fact_intent_one_row_per_customer_and_spend_invariant(spark):
     assert sorted(map(tuple, per_dim.collect())) == sorted(map(tuple, rows))
 
 
+def test_star_dims_equal_the_single_dims(spark):
+    L, R, _ = _fixture(spark)
+    L = L.union(L.limit(2)).union(L.limit(1).select(*(F.lit(None).cast(t).alias(c) if c == "device" else c for c, t in L.dtypes)))
+    names = ("dim_location", "dim_devices")
+    dims = M.star_dims(M.star_rows(L, R, names), names)
+
+    def rows(df, *cols):
+        return sorted((tuple(r) for r in df.select(*cols).collect()), key=repr)
+
+    for n in names:
+        cols = (M.DIMS[n][0], *M.DIMS[n][1], "user_id")
+        assert rows(dims[n], *cols) == rows(M.named_dim(n, L, R), *cols)
+    assert rows(dims[M.LOG_KEY], "user_id", M.LOG_KEY) == rows(M.log_keys(L, R), "user_id", M.LOG_KEY)
+
+
+@pytest.mark.parametrize("key", ["q1_reviews_by_state_device", "q2_positive_by_location", "q5_device_by_region", "m4_device_share", "m6_most_positive"])
+def test_star_queries_scan_the_logs_once(spark, key):
+    df = QUERIES[key](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert sum("FileScan" in line and "events" in line for line in plan.split("\n")) == 1
+    assert "SortAggregate" not in plan
+
+
 def test_mode_is_checked(spark):
     L, R, _ = _fixture(spark)
     with pytest.raises(ValueError):
