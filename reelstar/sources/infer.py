@@ -8,6 +8,7 @@ look at earlier files.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,13 +17,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelstar.functions import parse_invoice_ts
+from reelstar.schemas import INVOICE_DATE_FORMAT
 from reelstar.sources.files import read_csv
 
+
+def _like_invoice_ts(c: str) -> Column:
+    """Whether a text holds the literals of the date format: one that lacks them cannot
+    parse, and a parse that fails costs an exception a value."""
+    return reduce(Column.__and__, [F.col(c).contains(x) for x in sorted(set(re.sub("[A-Za-z]", "", INVOICE_DATE_FORMAT)))])
+
+
 # kind -> test of a text, narrowest first; numbers are plain ASCII, integers of 18 digits at most
 KINDS = {
     "bigint": lambda c: F.col(c).rlike(r"\A[+-]?[0-9]{1,18}\z"),
     "double": lambda c: F.col(c).rlike(r"\A[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\z"),
-    "timestamp_ntz": lambda c: parse_invoice_ts(c).isNotNull(),
+    "timestamp_ntz": lambda c: F.when(_like_invoice_ts(c), parse_invoice_ts(c).isNotNull()),
     "boolean": lambda c: F.lower(c).isin("true", "false"),
 }
 TEXT = "string"
@@ -44,17 +53,23 @@ def state_of(rows: DataFrame) -> DataFrame:
     its rows to one, whatever the values.  An empty text is a value, and no
     kind takes it.  An empty table gives zeros, no columns no rows.
     """
-    def state(name: str) -> Column:
+    def refused(name: str, kind: str) -> Column:
         c = _quoted(name)
-        parts = [F.lit(name).alias("column_name"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(c).isNull()).alias("n_null")]
-        for kind, fits in KINDS.items():
-            refused = F.col(c).isNotNull() & ~F.coalesce(fits(c), F.lit(False))
-            parts += [F.count_if(refused).alias(f"not_{kind}"), F.min(F.when(refused, F.col(c))).alias(f"bad_{kind}")]
+        return F.col(c).isNotNull() & ~F.coalesce(KINDS[kind](c), F.lit(False))
+
+    def state(i: int, name: str) -> Column:
+        parts = [F.lit(name).alias("column_name"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(f"v{i}").isNull()).alias("n_null")]
+        for kind in KINDS:
+            no = F.col(f"{kind}{i}")
+            parts += [F.count_if(no).alias(f"not_{kind}"), F.min(F.when(no, F.col(f"v{i}"))).alias(f"bad_{kind}")]
         return F.struct(*parts)
 
     if not rows.columns:
         return rows.sparkSession.createDataFrame([], _state_schema())
-    return rows.agg(F.array(*map(state, rows.columns)).alias("s")).select(F.inline("s"))
+    # each test once a value: count and minimum both read its result
+    tested = rows.select(*(F.col(_quoted(c)).alias(f"v{i}") for i, c in enumerate(rows.columns)),
+                         *(refused(c, k).alias(f"{k}{i}") for i, c in enumerate(rows.columns) for k in KINDS))
+    return tested.agg(F.array(*(state(i, c) for i, c in enumerate(rows.columns))).alias("s")).select(F.inline("s"))
 
 
 def _state_schema() -> str:

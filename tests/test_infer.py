@@ -63,3 +63,13 @@ def test_metrics_of_a_write_and_of_its_repetition(spark, tmp_path):
     got = {(r.load, r.metric): r.value for r in metrics.read_metrics(spark, str(tmp_path / "m")).collect()}
     assert got == {("7", "nulls_a"): 2, ("7", "nulls_b c"): 2, ("8", "nulls_a"): 0, ("8", "nulls_b c"): 0}
     assert spark.read.parquet(str(tmp_path / "m/data")).count() == 3
+
+
+def test_each_value_is_parsed_once_and_only_if_it_may_be_a_date(spark):
+    df = spark.createDataFrame(ROWS, COLS).repartition(2)
+    plan = infer.state_of(df)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("gettimestamp(") == len(df.columns)
+    assert plan.count("case when (contains(") + plan.count("case when ((contains(") >= len(df.columns)
+    odd = ["1/1/2020", "1:2", "1/2/2020 3:04x", "1 / : 2", " 1/2/2020 3:04", "1/2/2020 3:04"]
+    state = _state(infer.state_of(spark.createDataFrame([(t,) for t in odd], "t string")))["t"]
+    assert (state["not_timestamp_ntz"], state["bad_timestamp_ntz"]) == (5, " 1/2/2020 3:04")
