@@ -106,12 +106,13 @@ def season_of_date(spark, d):
 
 
 def surrogate_keys(spark, d):
-    p = _w(spark, d).stg_user_purchase
+    # distinct before the keys: they follow from these columns, and a task holds and sends the short rows
+    p = _w(spark, d).stg_user_purchase.select("invoice_number", "stock_code", "customer_id").distinct()
     return p.select(
         "invoice_number", "stock_code", "customer_id",
         surrogate_key("invoice_number", "stock_code").alias("purchase_key"),
         surrogate_key("customer_id").alias("customer_key"),
-    ).distinct()
+    )
 
 
 def page_titles(spark, d):

@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 
 from reelstar.plans import queries as A
+from reelstar.plans.catalog import QUERIES
 
 D = dt.datetime
 
@@ -83,3 +84,11 @@ def test_m5_counts_negatives(spark):
     reviews = spark.createDataFrame([(1, 1, 10, D(2024, 3, 1)), (1, 0, 11, D(2024, 3, 9)), (2, 0, 12, D(2024, 4, 1))],
                                     "user_id bigint, positive_review int, review_id bigint, insert_date timestamp_ntz")
     assert rows(A.m5_sentiment_trend(reviews)) == [(2024, 3, 1, 1), (2024, 4, 0, 1)]
+
+
+def test_surrogate_keys_are_made_of_distinct_rows(spark):
+    plan = QUERIES["surrogate_keys"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    grouped = plan[plan.index("Aggregate ["):]
+    keys = grouped[len("Aggregate ["):grouped.index("]")]
+    below = grouped[grouped.index("\n"):]
+    assert len(keys.split(", ")) == 3 and "md5(" not in below and "md5(" in plan
