@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from reelstar.functions import parse_invoice_ts
 from reelstar.schemas import PURCHASE_RENAMES
-from reelstar.session import cut_lineage
+from reelstar.session import cut_lineage, store
 
 PURCHASE_KEY = ("invoice_number", "stock_code")
 SERIAL_CHUNK = 1 << 16
@@ -116,26 +116,20 @@ def dense_serial_id(df: DataFrame, order: Sequence[str], name: str = "id",
     A global ``row_number()`` would pull every row into one task, and a plain
     range sort cannot split a sort key shared by a third of the rows.  So:
 
-    1. identical rows collapse to one row with a multiplicity (map-side);
-    2. each such row becomes one row per chunk of at most ``chunk`` copies,
-       so a hot row is many distinct sort keys;
-    3. the chunks are range-sorted across partitions (ties broken by every
-       column and the chunk start), expanded in place, and materialised to
-       the reliable checkpoint folder so both passes below see the same
-       partitions even after an executor loss;
-    4. per-partition counts -- one row per partition, a size bound known up
-       front -- give each partition its offset.
+    1. the rows are stored once in the shared checkpoint folder, where a row's
+       place is the same in every pass over them and after an executor loss;
+    2. they are range-sorted across partitions, ties broken by every column and
+       then by that place in steps of ``chunk``, so that a hot row is many distinct
+       sort keys (equal rows are alike, whichever comes first), and materialised to the
+       reliable checkpoint folder so that both passes below see the same
+       partitions;
+    3. per-partition counts -- one row per partition, a size bound known up
+       front -- give each partition its offset, broadcast to the rows.
     """
     cols = df.columns
     rest = [c for c in cols if c not in order]
-    counted = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_m"))
-    starts = F.sequence(F.lit(0).cast("bigint"), F.col("_m") - 1, F.lit(chunk).cast("bigint"))
-    chunks = counted.select(*cols, "_m", F.explode(starts).alias("_c0"))
-    copies = F.least(F.lit(chunk).cast("bigint"), F.col("_m") - F.col("_c0")).cast("int")
-    expanded = (chunks.orderBy(*order, *rest, "_c0")
-                .select(*cols, F.explode(F.array_repeat(F.lit(0), copies)).alias("_r"))
-                .select(*cols))
-    sorted_df = cut_lineage(expanded)
+    place = F.floor(F.monotonically_increasing_id() / chunk)
+    sorted_df = cut_lineage(store(df, "unnumbered").withColumn("_place", place).orderBy(*order, *rest, "_place").select(*cols))
     with_pos = sorted_df.select(
         "*",
         F.spark_partition_id().alias("_part"),
@@ -147,5 +141,5 @@ def dense_serial_id(df: DataFrame, order: Sequence[str], name: str = "id",
         (F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
     ).fillna(0, subset=["_off"])
     local_pos = F.col("_mono") - F.shiftleft(F.col("_part").cast("bigint"), 33)
-    return with_pos.join(offsets, "_part").select(
+    return with_pos.join(F.broadcast(offsets), "_part").select(
         (F.col("_off") + local_pos + 1).alias(name), *cols)

@@ -103,6 +103,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet to a new folder below the shared checkpoint folder, and read from there."""
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage_all(dfs: list[DataFrame]) -> list[DataFrame]:
     """Checkpoint independent DataFrames as concurrent jobs (one submitting
     thread each), so small jobs share the cluster instead of queueing."""

@@ -113,3 +113,11 @@ def test_inferred_schema_path_gives_same_clean_rows(spark, tmp_path):
     a = sorted(map(tuple, C.clean_user_purchase(typed).collect()))
     b = sorted(map(tuple, C.clean_user_purchase(_raw(spark, tmp_path)).collect()))
     assert a == b
+
+
+def test_dense_serial_id_shuffles_offsets_alone_after_the_sort(spark):
+    df = spark.range(0, 400).select((F.col("id") % 7).alias("k"), F.lit(None).cast("string").alias("v")).repartition(5)
+    out = C.dense_serial_id(df, ["k"])
+    assert "strategy=broadcast" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["id"] for r in out.collect()) == list(range(1, 401))
+    assert C.dense_serial_id(df.limit(0), ["k"]).count() == 0
