@@ -24,7 +24,7 @@ from reelstar.plans import feeds
 from reelstar.plans import queries as A
 from reelstar.plans.warehouse import Warehouse
 from reelstar.schemas import RAW_PURCHASE
-from reelstar.session import cut_lineage, scratch_folder
+from reelstar.session import cut_lineage, scratch_folder, store
 from reelstar.sources import bucketed as B
 from reelstar.sources import infer
 from reelstar.sources import ledger as L
@@ -429,7 +429,7 @@ def purchase_ids_incremental(spark, d):
     """Ids of two appended batches; the second dies after its reservation and is
     appended again, and the first is appended once more."""
     folder = scratch_folder(spark, "ids")
-    staged = _w(spark, d).stg_user_purchase
+    staged = store(_w(spark, d).stg_user_purchase, "staged")      # the appends read one staged table
     even = F.coalesce(F.col("invoice_number").try_cast("bigint") % 2 == 0, F.lit(False))
     order = ["invoice_number", "stock_code", "quantity", "unit_price"]
     first, second = staged.where(even), staged.where(~even)
