@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -86,18 +87,26 @@ def load(spark: SparkSession, path: str) -> Model:
 
 
 def _weighted(exploded: DataFrame, model: Model, keys: Sequence[str]) -> DataFrame:
-    """One partial score row per review and join: frequent tokens by a broadcast
-    of their weights (at most FREQUENT short ones), all others by a shuffle on
-    the token, in which no token is frequent."""
+    """Partial score rows of a review in one pass over ``exploded`` (``keys, token, _n``):
+    the weights of frequent tokens (at most FREQUENT short ones) are broadcast and
+    summed at once; every other token is counted per review and meets its weight by
+    a shuffle on the token, in which no token is frequent.
+
+    A review's sum of the former travels under a text of its own that holds a
+    space, as no token does, so these rows are dealt evenly and meet no weight.
+    Weights are summed as whole numbers of the last digit.
+    """
     cols = model.columns()
-    often = (model.weights.where(F.length("token") <= FREQUENT_CHARS).orderBy(F.desc("n"), "token").limit(FREQUENT)
+    weights = model.weights.select("token", "n", *((F.col(c) * 10 ** SCALE).cast("long").alias(c) for c in cols))
+    often = (weights.where(F.length("token") <= FREQUENT_CHARS).orderBy(F.desc("n"), "token").limit(FREQUENT)
              .select("token", *cols, F.lit(True).alias("_often")))
-    met = exploded.join(F.broadcast(often), "token", "left")
-    sums = [F.sum(c).alias(c) for c in cols]
-    near = met.where("_often").groupBy(*keys).agg(*sums)
-    rare = (met.where("_often IS NULL").select("token", *keys)
-            .join(model.weights.select("token", *cols), "token").groupBy(*keys).agg(*sums))
-    return near.unionByName(rare)
+    met = exploded.join(F.broadcast(often), "token", "left").withColumn("_rare", F.when(F.col("_often").isNull(), F.col("token")))
+    near = met.groupBy(*keys, "_rare").agg(*(F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(f"_near{c}") for c in cols),
+                                           F.count(F.lit(1)).alias("_count"), F.sum("_n").alias("_n"))
+    dealt = near.withColumn("_at", F.coalesce("_rare", F.concat(F.lit(" "), F.col("_h").cast("string"))))
+    rare = weights.select(F.col("token").alias("_at"), *cols)
+    return dealt.join(rare, "_at", "left").select(
+        *keys, *((F.col(f"_near{c}") + F.coalesce(F.col(c) * F.col("_count"), F.lit(0).cast("long"))).alias(c) for c in cols), "_n")
 
 
 def classify(reviews: DataFrame, model: Model, text_col: str = "review_str", out_col: str = "sentiment") -> DataFrame:
@@ -114,13 +123,12 @@ def classify(reviews: DataFrame, model: Model, text_col: str = "review_str", out
         return reviews.select(*keys, F.lit(None).cast("array<string>").alias(out_col), F.lit(None).cast("double").alias("margin"))
     cols, own = model.columns(), [f"_k{i}" for i in range(len(keys))] + ["_h"]
     rows = reviews.select(*(F.col(c).alias(f"_k{i}") for i, c in enumerate(keys)), F.xxhash64(text_col).alias("_h"), F.col(text_col).alias("_text"))
-    exploded = rows.select(*own, F.explode(tokens("_text")).alias("token"))
-    copies = rows.groupBy(*own).agg(F.count(F.lit(1)).alias("_n"))
-    empty = [F.lit(0).cast(WEIGHT).alias(c) for c in cols]
-    parts = _weighted(exploded, model, own).withColumn("_n", F.lit(0).cast("long")).unionByName(copies.select(*own, *empty, "_n"))
-    whole = parts.groupBy(*own).agg(*(F.sum(c).alias(c) for c in cols), F.sum("_n").alias("_n"))
+    exploded = rows.select(*own, F.posexplode_outer(tokens("_text")).alias("_p", "token")).select(
+        *own, "token", F.when(F.coalesce("_p", F.lit(0)) == 0, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("_n"))
+    whole = _weighted(exploded, model, own).groupBy(*own).agg(*(F.sum(c).alias(c) for c in cols), F.sum("_n").alias("_n"))
     # copies were added up: their sums and priors grow alike, so a copy's share is exact
-    score = [(F.col(c) / F.col("_n")).cast(WEIGHT) + F.lit(p).cast(WEIGHT) for c, p in zip(cols, model.priors)]
+    unit = F.lit(Decimal(1).scaleb(-SCALE))
+    score = [(F.expr(f"{c} div _n").cast("decimal(20,0)") * unit).cast(WEIGHT) + F.lit(p).cast(WEIGHT) for c, p in zip(cols, model.priors)]
     ranked = F.sort_array(F.array(*(F.struct((-s).alias("s"), F.lit(k).alias("k")) for k, s in enumerate(score))))
     names = F.array(*map(F.lit, model.classes))
     told = whole.withColumn("_r", ranked).withColumn("_again", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))))

@@ -99,3 +99,9 @@ def test_held_out_reviews_beside_the_logistic_regression(spark):
 
     share = Counter(want.values())["positive"] / len(want)
     assert len(want) > 50 and right(nb) >= max(share, right(lr) - 0.05)
+
+
+def test_texts_are_split_once(spark, rows):
+    df = spark.createDataFrame(rows, SCHEMA)
+    plan = bayes.classify(df, bayes.fit(df))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") == 1
