@@ -17,3 +17,10 @@ def spark():
                       warehouse=tempfile.mkdtemp(prefix="reelstar-wh-"))
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def _nothing_cached(spark):
+    """Tables that a module caches would replace the scans in the plans of later modules."""
+    yield
+    spark.catalog.clearCache()
