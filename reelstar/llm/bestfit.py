@@ -31,6 +31,7 @@ from reelstar.llm.word_bpe import word_bpe
 from reelstar.session import cut_lineage
 
 END_ID = 1
+BLOCK_BYTES = 2 << 20   # of text whose words a worker holds at once
 PIECE_SCHEMA = "doc_id long, piece int, start long, length int, ids_crc32 long, ids binary, part int, local_rank long"
 
 
@@ -149,6 +150,12 @@ def _block_ids(bpe, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.n
     return flat[at], stop[ptr]
 
 
+def _ids_by_block(bpe, buf: np.ndarray, offs: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Row ranges of at most ``BLOCK_BYTES`` of text (one row at least), each with its ids and offsets."""
+    for i, j in T.row_blocks(offs, BLOCK_BYTES):
+        yield i, j, *_block_ids(bpe, buf, offs[i:j + 1])
+
+
 def token_pieces(docs: DataFrame, vocabulary_path: str, capacity: int = 4096, keep_ids: bool = False) -> DataFrame:
     """Pieces of at most ``capacity`` ids of every document.
 
@@ -167,8 +174,7 @@ def token_pieces(docs: DataFrame, vocabulary_path: str, capacity: int = 4096, ke
         for batch in batches:
             buf, offs = T.text_buffer(batch.column(1))
             keys = batch.column(0)
-            for i, j in T.row_blocks(offs):
-                flat, ptr = _block_ids(bpe, buf, offs[i:j + 1])
+            for i, j, flat, ptr in _ids_by_block(bpe, buf, offs):
                 rows, piece, start, length, crc, out, local = [], [], [], [], [], [], []
                 for k in range(j - i):
                     ids = flat[ptr[k]:ptr[k + 1]].tobytes() + END_ID.to_bytes(4, "little")

@@ -1,6 +1,7 @@
 """Best-fit packing: pieces against the tokenizer library, sequences against the contract, the plan against brute force."""
 
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -10,6 +11,7 @@ import public_tokenizers as P
 from tokenizers import Tokenizer
 
 from reelstar.llm import bestfit
+from reelstar.llm.word_bpe import word_bpe
 
 PATH = P.path("word_bpe_49k.json")
 LONG = "alpha beta gamma don't 1234 ünïcode ≈ 東京 #*$\n" * 900
@@ -83,3 +85,20 @@ def test_gap_is_filled_exactly_where_three_lengths_can():
         sums = {sum(c) for n in (1, 2, 3) for c in combinations(pool, n)}
         assert (got is not None) == (gap in sums)
         assert got is None or sum(got) == gap and not Counter(got) - Counter(pool)
+
+
+def test_a_batch_is_read_in_blocks_of_bounded_memory():
+    with open(PATH, encoding="utf-8") as f:
+        bpe = word_bpe(f.read())
+    text = b"one two a word in between " * 100
+    buf, n = np.frombuffer(text * 5000, np.uint8), 5000
+    offs = np.arange(n + 1, dtype=np.int64) * len(text)
+    want = bestfit._block_ids(bpe, buf, offs[:2])[0]
+    tracemalloc.start()
+    at = 0
+    for i, j, flat, ptr in bestfit._ids_by_block(bpe, buf, offs):
+        assert i == at and (flat.reshape(j - i, -1) == want).all() and (np.diff(ptr) == len(want)).all()
+        at = j
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert at == n and peak < 96 << 20
