@@ -412,7 +412,7 @@ def insert_new_purchases(spark, d):
 def insert_ignore_bucketed(spark, d):
     """A bucketed table of half the purchases after all of them are loaded into it, twice."""
     folder = scratch_folder(spark, "bucketed")
-    staged = _w(spark, d).stg_user_purchase
+    staged = store(_w(spark, d).stg_user_purchase, "staged")      # the loads read one staged table
     name = f"purchases_{uuid.uuid4().hex}"
     B.create(staged.where(F.col("invoice_number").try_cast("bigint") % 2 == 0), name, path=folder)
     B.insert_ignore(staged, name)

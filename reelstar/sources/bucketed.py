@@ -7,6 +7,7 @@ bucket, so that a load moves the batch alone, whatever the target holds.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -44,18 +45,25 @@ def new_rows(incoming: DataFrame, name: str, order: Sequence[str] = ("invoice_da
     """The first row of each key of ``incoming`` that the table ``name`` lacks.
 
     A null in a key equals a null.  The batch is reduced before it meets the
-    table (and written to the checkpoint folder, or the optimizer would join
-    first), so a hot key is one row; it is exchanged to the table's buckets.  Rows
-    with a null in their key meet the table's rows of that kind alone.
+    table, so a hot key is one row; it is exchanged to the table's buckets, by
+    the reduction itself if these are as many as shuffle partitions.  The
+    reduction is observed, or the optimizer would join first.  If the table holds
+    rows with a null in their key, the reduced batch is written to the checkpoint
+    folder, and its rows of that kind meet the table's rows of that kind alone.
     """
     spark = incoming.sparkSession
     n, key = buckets_of(spark, name)
     if not n:
         raise ValueError(f"{name} has no buckets")
-    firsts = cut_lineage(first_per_key(incoming, key, order))
+    firsts = first_per_key(incoming, key, order)
     held = spark.table(name).select(*key)
     broken = reduce(Column.__or__, [F.col(c).isNull() for c in key])
-    whole = firsts.where(~broken).repartition(n, *key).join(held.where(~broken).hint("merge"), list(key), "left_anti")
+    kept = held.where(~broken).hint("merge")
+    if held.where(broken).isEmpty():   # a key with a null equals none of the table's
+        observed = firsts.observe(f"firsts_{uuid.uuid4().hex}", F.count(F.lit(1)).alias("keys"))
+        return observed.repartition(n, *key).join(kept, list(key), "left_anti").select(*incoming.columns)
+    firsts = cut_lineage(firsts)
+    whole = firsts.where(~broken).repartition(n, *key).join(kept, list(key), "left_anti")
     left, right = firsts.where(broken).alias("i"), held.where(broken).alias("t")
     same = reduce(Column.__and__, [F.col(f"i.{c}").eqNullSafe(F.col(f"t.{c}")) for c in key])
     return whole.select(*incoming.columns).unionByName(left.join(right, same, "left_anti").select(*incoming.columns))
